@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sharding
+from . import chat, quality_rules, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,3 +24,16 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 @query
 def op9_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.perspective_rows(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge_documents(table(spark, sf_dir, "documents"))
+
+
+ORACLES |= {"op7_perspective_rotation": chat.ORACLE, "op8_quality_rules": quality_rules.ORACLE}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, quality_rules, sharding, warc
+from . import bpe, chat, quality_rules, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,3 +42,8 @@ ORACLES |= {"op7_perspective_rotation": chat.ORACLE, "op8_quality_rules": qualit
 @query
 def op6_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf_dir, "pages"))
+
+
+@query
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, quality_rules, sharding, warc
+from . import bpe, chat, quality_lm, quality_rules, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,3 +47,8 @@ def op6_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_lm.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, quality_lm, quality_rules, sharding, warc
+from . import bpe, chat, decontaminate, quality_lm, quality_rules, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,3 +52,8 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_lm.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

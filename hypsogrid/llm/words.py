@@ -28,9 +28,8 @@ def _power(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64; kept, and made anew only when a longer one is asked for."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        n = max(n, 1 << 16)
         with np.errstate(over="ignore"):
-            steps = np.full(n, base, np.uint64)
+            steps = np.full(max(n, 1 << 16), base, np.uint64)
             steps[0] = 1
             have = _powers[base] = np.multiply.accumulate(steps)
     return have[:n]

@@ -126,6 +126,12 @@ def judge_documents(docs: DataFrame, version: str = CURRENT) -> DataFrame:
     )
 
 
+def keep_passing(docs: DataFrame, version: str = CURRENT) -> DataFrame:
+    """docs without those that fail the policy, with their own columns only."""
+    held = docs.select(F.struct("*").alias("_doc"), F.col("text").alias("text"))
+    return apply_policy(ledger(held), version).where("kept").select("_doc.*")
+
+
 ORACLE = r"""with d as (select row_number() over () as rid, doc_id, coalesce(text, '') as t from documents),
 a as (select *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws,
   list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as ls from d),

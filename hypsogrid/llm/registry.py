@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontaminate, quality_lm, quality_rules, sharding, warc
+from . import bpe, chat, decontaminate, jaccard_join, quality_lm, quality_rules, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,3 +57,8 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_documents(table(spark, sf_dir, "documents"))

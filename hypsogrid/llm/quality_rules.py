@@ -49,18 +49,24 @@ def _without(text: Column, characters: str) -> Column:
     return F.length(F.translate(text, characters, ""))
 
 
+def _computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """df with columns as the output of a generator of one row: the optimiser does not copy their expressions into
+    the places that use them, where a lambda or a filter would evaluate them again for every element."""
+    return df.select("*", F.inline(F.array(F.struct(*(c.alias(name) for name, c in columns.items())))))
+
+
 def _measured(df: DataFrame, text: str) -> DataFrame:
     """Adds the measurements. Three-word windows are told apart by a 64-bit hash of their words."""
-    df = df.withColumn("_t", F.coalesce(F.col(text), F.lit("")))
+    df = _computed(df, {"_t": F.coalesce(F.col(text), F.lit(""))})
     t = F.col("_t")
-    df = df.withColumns({
+    df = _computed(df, {
         "_w": F.expr(r"filter(split(_t, '[\\x20\\x09-\\x0D]+'), x -> x <> '')"),
         "_l": F.expr(r"filter(split(_t, '\n'), x -> x rlike '[^\\x20\\x09-\\x0D]')"),
         "_chars": F.length(t),
+        "word_chars": _without(t, _SPACE).cast("long"),
     })
-    df = df.withColumns({
+    df = _computed(df, {
         "n_words": F.size("_w").cast("long"),
-        "word_chars": _without(t, _SPACE).cast("long"),
         "n_symbols": (F.col("_chars") - _without(t, _SYMBOLS)).cast("long"),
         "n_upper": (F.col("_chars") - _without(t, _UPPER)).cast("long"),
         "n_exclamations": (F.col("_chars") - _without(t, "!")).cast("long"),
@@ -69,16 +75,17 @@ def _measured(df: DataFrame, text: str) -> DataFrame:
         "_h": F.expr("transform(slice(_w, 1, greatest(size(_w) - 2, 0)), (x, i) -> xxhash64(x, _w[i + 1], _w[i + 2]))"),
     })
     # Equal windows are neighbours once sorted; most texts have none and skip the sort.
-    df = df.withColumn("_s", F.expr(
+    df = _computed(df, {"_s": F.expr(
         "case when size(array_distinct(_h)) < size(_h) then sort_array(transform(_h, (h, i) -> struct(h as h, i as i))) end"
-    ))
-    df = df.withColumn("_p", F.expr(
+    )})
+    df = _computed(df, {"_p": F.expr(
         "sort_array(transform(filter(_s, (s, j) -> (j > 0 and _s[j - 1].h = s.h) or (j + 1 < size(_s) and _s[j + 1].h = s.h)), s -> s.i))"
-    ))
+    )})
     # A repeated window covers three words, or as many as lie before the next repeated one.
-    return df.withColumn("n_repeat_words", F.expr(
+    df = _computed(df, {"n_repeat_words": F.expr(
         "coalesce(aggregate(transform(_p, (p, j) -> case when j + 1 < size(_p) then least(3, _p[j + 1] - p) else 3 end), 0L, (a, x) -> a + x), 0L)"
-    )).drop("_t", "_w", "_l", "_chars", "_h", "_s", "_p")
+    )})
+    return df.drop("_t", "_w", "_l", "_chars", "_h", "_s", "_p")
 
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_upper", "n_exclamations", "n_lines", "n_dup_lines", "n_repeat_words")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import registry, sampling
+from . import grids, polygons, rasters, registry, sampling
 
 
 def all_queries() -> dict[str, registry.Query]:

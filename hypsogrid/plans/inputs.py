@@ -32,3 +32,34 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.pmod(F.col("event_id") * 37, F.lit(8 * WIDTH)) / 8).alias("u"),
         (F.pmod(F.col("event_id") * 101, 8 * F.col("n_rows")) / 8).alias("v"),
     )
+
+
+#: Six vertices a polygon, around a centre that depends on its number.
+VERTICES_SQL = """select c_custkey // 6 as world, c_custkey % 6 as seq,
+  cast((c_custkey // 6) * 7 % 64 + [0, 4, 6, 4, 0, -2][c_custkey % 6 + 1] as double) + (c_custkey * 29 % 8) / 8.0e0 as x,
+  cast((c_custkey // 6) * 13 % 32 + [0, 0, 3, 6, 6, 3][c_custkey % 6 + 1] as double) + (c_custkey * 31 % 4) / 8.0e0 as y from customer"""
+BOXES_SQL = """select s_suppkey as box, s_suppkey * 11 % 60 + 0.5e0 as west, s_suppkey * 17 % 30 + 0.25e0 as south,
+  s_suppkey * 11 % 60 + 1.5e0 + s_suppkey % 5 as east, s_suppkey * 17 % 30 + 1.25e0 + s_suppkey % 3 as north from supplier"""
+PLACES_SQL = "select event_id, 12 + (event_id * 37 % 4096) / 1024.0e0 as lon, 48.5e0 + (event_id * 101 % 2048) / 1024.0e0 as lat from events"
+
+
+def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key, n = F.col("c_custkey"), F.floor(F.col("c_custkey") / 6)
+    at = lambda values: F.element_at(F.array(*map(F.lit, values)), (key % 6 + 1).cast("int"))
+    return table(spark, sf_dir, "customer").select(
+        n.alias("world"), (key % 6).alias("seq"),
+        ((n * 7 % 64 + at([0, 4, 6, 4, 0, -2])).cast("double") + (key * 29 % 8) / 8).alias("x"),
+        ((n * 13 % 32 + at([0, 0, 3, 6, 6, 3])).cast("double") + (key * 31 % 4) / 8).alias("y"),
+    )
+
+
+def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("s_suppkey")
+    west, south = key * 11 % 60 + 0.5, key * 17 % 30 + 0.25
+    return table(spark, sf_dir, "supplier").select(
+        key.alias("box"), west.alias("west"), south.alias("south"), (west + 1 + key % 5).alias("east"), (south + 1 + key % 3).alias("north"))
+
+
+def places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("event_id")
+    return table(spark, sf_dir, "events").select(key, (12 + (key * 37 % 4096) / 1024).alias("lon"), (48.5 + (key * 101 % 2048) / 1024).alias("lat"))

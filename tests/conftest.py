@@ -1,8 +1,13 @@
+import sys
+from pathlib import Path
+
 import os
 
 import pytest
 from pyspark.sql import SparkSession
 
+sys.path[:0] = [str(Path(__file__).parent), str(Path(__file__).parent.parent)]
+
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 

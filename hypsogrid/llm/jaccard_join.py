@@ -39,6 +39,8 @@ SIMILARITY = 0.8
 COORDINATES = 128
 LEVELS = 2
 LEAF = 256
+#: Rows of a block where sketches are compared, and where whole sets are.
+SKETCH_BLOCK, SET_BLOCK = 1024, 256
 TARGET_RECALL = 0.9999
 #: Share of the threshold below which a sketch rules a pair out: 4.5 standard deviations at 128 coordinates.
 SKETCH_LEAST = 0.8
@@ -179,10 +181,25 @@ def _cells(df: DataFrame, group: str, block: int) -> DataFrame:
 
 
 def _tie(least: float):
-    """Links between rows of a cell whose sketches agree on `least` of the coordinates, as a spanning forest."""
+    """Links between rows of a cell whose sketches agree on `least` of the coordinates, as a spanning forest of all
+    cells of a task: sets that meet in many runs are linked once."""
     need = math.floor(least * COORDINATES)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        above: dict[bytes, bytes] = {}
+
+        def top(k: bytes) -> bytes:
+            while (up := above.get(k, k)) != k:
+                above[k] = above.get(up, up)
+                k = up
+            return k
+
+        def joins(a: bytes, b: bytes) -> bool:
+            a, b = top(a), top(b)
+            if a != b:
+                above[max(a, b)] = min(a, b)
+            return a != b
+
         for frame in _whole_cells(frames, ["node", "_i", "_j"]):
             n = len(frame)
             cell = np.concatenate([[0], np.cumsum(np.any([frame[c].to_numpy()[1:] != frame[c].to_numpy()[:-1] for c in ("node", "_i", "_j")], axis=0))])
@@ -205,7 +222,8 @@ def _tie(least: float):
             root = _roots(a, b, n)
             at = np.flatnonzero(root != np.arange(n))
             keys = frame["key"].to_numpy()
-            yield pd.DataFrame({"a": keys[at], "b": keys[root[at]]})
+            links = [(x, y) for x, y in zip(keys[at], keys[root[at]]) if joins(x, y)]
+            yield pd.DataFrame(links, columns=["a", "b"])
 
     return run
 
@@ -306,7 +324,7 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = TARGET
             yield pd.DataFrame({"key": frame["key"], "sketch": [x.tobytes() for x in (_signs(frame["sign"]) >> np.uint32(13)).astype(np.uint8)]})
 
     sketches = signs.mapInPandas(sketched, "key binary, sketch binary")
-    cells = _cells(leaves.join(sketches, "key"), "node", leaf)
+    cells = _cells(leaves.join(sketches, "key"), "node", SKETCH_BLOCK)
     candidates = components(cells.mapInPandas(_tie(SKETCH_LEAST * similarity), "a binary, b binary"))
 
     candidates = shared.keep(candidates, "jaccard-groups")
@@ -318,7 +336,7 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = TARGET
     fetched = taken.withColumnRenamed("doc_id", "_id").join(few, "digest").where(F.col("_id").eqNullSafe(F.col("first_id"))).select("component", "key", "copies", "_n", "text")
     sets = fetched.mapInPandas(_sets, "component binary, key binary, copies long, _n long, set binary")
     sets = sets.dropDuplicates(["key"])  # rows that are equal in doc_id and text
-    counted = _cells(sets, "component", leaf).mapInPandas(_count(similarity), "key binary, root binary, texts long, linked long")
+    counted = _cells(sets, "component", SET_BLOCK).mapInPandas(_count(similarity), "key binary, root binary, texts long, linked long")
     counted = shared.keep(counted, "jaccard-links")
     groups = shared.keep(components(counted.select(F.col("key").alias("a"), F.col("root").alias("b"))), "jaccard-final")
     links = counted.groupBy("key").agg(F.sum("texts").alias("n_texts"), F.sum("linked").alias("n_linked"))

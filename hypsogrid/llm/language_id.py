@@ -26,7 +26,8 @@ from pyspark.sql import Window
 ROWS_PER_LANGUAGE = 400
 CHUNK, CONTEXT = 192, 16
 HIDDEN = 8
-EPOCHS = 6
+#: Passes over the sample; more where they would be fewer steps of BATCH_CHUNKS chunks than LEAST_STEPS.
+EPOCHS, LEAST_STEPS, BATCH_CHUNKS = 6, 250, 64
 UNKNOWN = "und"
 _BATCH = 2048
 
@@ -105,7 +106,7 @@ class ByteGRU:
         grads["u" + d] = np.ascontiguousarray(du.T)
         grads["table" + d] = np.stack([np.bincount(at, dx[:, k].ravel(), 256) for k in range(3 * h)], 1).astype(np.float32)
 
-    def fit(self, chunks: np.ndarray, length: np.ndarray, label: np.ndarray, epochs: int = EPOCHS, batch: int = 64, rate: float = 0.02, seed: int = 1) -> ByteGRU:
+    def fit(self, chunks: np.ndarray, length: np.ndarray, label: np.ndarray, epochs: int = EPOCHS, batch: int = BATCH_CHUNKS, rate: float = 0.02, seed: int = 1) -> ByteGRU:
         """chunks (CHUNK + 2 * CONTEXT, n): each byte of a chunk is an example of its label. Adam, falling rate."""
         rng = np.random.default_rng(seed)
         m, v, step = {}, {}, 0
@@ -195,7 +196,7 @@ def train(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> ByteGR
     labels = sorted(rows["lang"].unique())
     chunks, length, text = cut(rows["passage"].tolist())
     label = np.searchsorted(labels, rows["lang"].to_numpy()[text])
-    return ByteGRU(labels).fit(chunks(0, len(text)), length, label)
+    return ByteGRU(labels).fit(chunks(0, len(text)), length, label, max(EPOCHS, -(-LEAST_STEPS * BATCH_CHUNKS // len(text))))
 
 
 def predict(docs: DataFrame, model: ByteGRU | None) -> DataFrame:

@@ -1,0 +1,208 @@
+import base64
+import hashlib
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+from hypsogrid.llm import attention_lm, bpe, chat, components, decontaminate, jaccard_join, language_id, quality_lm, quality_rules, sharding, warc
+from hypsogrid.llm.registry import ORACLES, QUERIES
+from oracle import same
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def docs_of(spark, rows):
+    return spark.createDataFrame([(i, t, lang, "s", len(t or "")) for i, t, lang in rows], DOCS)
+
+
+def odd_docs(spark):
+    long = " ".join(f"word{i % 977}x{i}" for i in range(30_000))
+    return docs_of(spark, [(1, None, None), (2, "", "en"), (3, " \n\t", "en"), (None, "a few words only", "en"), (4, long, "de"), (4, long, "de"), (5, "¡años, 漢字 \U0001f600!", "es")])
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_against_sql(spark, sf_dir, name):
+    same(QUERIES[name](spark, sf_dir), ORACLES[name], sf_dir)
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op6_warc_revisits", "op7_perspective_rotation"}))
+@pytest.mark.parametrize("some", [True, False])
+def test_odd_and_empty_documents(spark, tmp_path, name, some):
+    docs = odd_docs(spark) if some else odd_docs(spark).limit(0)
+    docs.withColumn("score", F.lit("clash")).withColumn("key", F.lit(1)).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(5, 1, 0), (None, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, None), (2, "")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = QUERIES[name](spark, str(tmp_path)).collect()
+    assert len(got) == (0 if name.startswith("op5") else 7 * some)
+
+
+def test_bpe_is_that_of_the_library(spark, sf_dir):
+    with open(public_tokenizers.path(bpe.VOCABULARY), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    own = bpe.Encoder(public_tokenizers.path(bpe.VOCABULARY))
+    texts = [r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()] + ["", "\x1c\x1d a", "x" * 5000, "aßé́ 漢字　\U0001f600", "12 345  \n\n  b"]
+    for t in texts:
+        ids = np.frombuffer(own.encode(t), "<u4").tolist()
+        assert ids == library.encode_ordinary(t or "")
+        assert bpe.Decoder(public_tokenizers.path(bpe.VOCABULARY)).decode(own.encode(t)) == (t or "").encode()
+
+
+def _links(texts):
+    """Brute force: sets of five-word windows, similarity of all pairs."""
+    sets = []
+    for t in texts:
+        w = "".join(c.lower() if c.isascii() else c for c in t or "").split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    n = len(texts)
+    return [[i != j and bool(sets[i]) and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9 for j in range(n)] for i in range(n)]
+
+
+def test_jaccard_join_is_brute_force(spark):
+    rng = np.random.default_rng(0)
+    texts = []
+    for g in range(12):
+        words = [f"w{x}" for x in rng.integers(0, 5000, 120)]
+        for _ in range(g):
+            copy = list(words)
+            for k in rng.integers(0, 120, rng.integers(0, 5)):
+                copy[k] = "changed"
+            texts.append(" ".join(copy))
+    texts += ["short text", "short  TEXT", "", None]
+    links = _links(texts)
+    group = list(range(len(texts)))
+    for _ in texts:
+        group = [min([group[i], *(group[j] for j in range(len(texts)) if links[i][j])]) for i in range(len(texts))]
+    docs = docs_of(spark, [(i, t, "en") for i, t in enumerate(texts)])
+    got = {r["doc_id"]: r for r in jaccard_join.link_documents(docs, leaf=8).collect()}
+    assert [got[i]["n_links"] for i in range(len(texts))] == [sum(x) for x in links]
+    assert [got[i]["class_id"] for i in range(len(texts))] == group
+    kept = {r["doc_id"] for r in jaccard_join.keep_one(docs.unionByName(docs.limit(3))).collect()}
+    assert kept == set(group)
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(50)] + [(100, 102), (101, 102), (7, 7)]
+    got = dict(tuple(r) for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect())
+    assert got == {**{i: 0 for i in range(51)}, 100: 100, 101: 100, 102: 100}
+
+
+def test_attention_gradients():
+    rng = np.random.default_rng(0)
+    m = attention_lm.Attention(np.ones(attention_lm.CLASSES))
+    m.p = {k: v.astype(np.float64) for k, v in m.p.items()}
+    keys, t = rng.integers(0, attention_lm.CLASSES, (3, 32)).astype(np.uint8), rng.integers(0, attention_lm.CLASSES, (3, 16)).astype(np.uint8)
+    keys[0, :16], t[2, 9:] = attention_lm.NONE, attention_lm.NONE
+    loss = lambda: -m.log_p(keys, t).sum() / (t != attention_lm.NONE).sum()
+    for n, g in m.gradients(keys, t).items():
+        at = np.unravel_index(np.abs(g).argmax(), g.shape)
+        m.p[n][at] += 1e-4
+        up = loss()
+        m.p[n][at] -= 2e-4
+        assert abs((up - loss()) / 2e-4 - g[at]) < 1e-4
+        m.p[n][at] += 1e-4
+
+
+def test_attention_is_causal():
+    rng = np.random.default_rng(0)
+    m = attention_lm.Attention(np.ones(attention_lm.CLASSES))
+    keys, t = rng.integers(0, attention_lm.CLASSES, (1, 32)).astype(np.uint8), rng.integers(0, attention_lm.CLASSES, (1, 16)).astype(np.uint8)
+    other = keys.copy()
+    other[0, 24:] = 3
+    a, b = m.log_p(keys, t)[0], m.log_p(other, t)[0]
+    assert np.allclose(a[:8], b[:8]) and not np.allclose(a[8:], b[8:])
+
+
+def test_base_score_with_few_words_broadcast(spark):
+    docs = docs_of(spark, [(i, f"the cat number {i % 7} and a dog{i}", "en") for i in range(60)])
+    a = {r["doc_id"]: r for r in attention_lm.score_documents(docs).collect()}
+    train = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5 != 1]
+    counts: dict[str, int] = {}
+    for i in train:
+        for w in f"the cat number {i % 7} and a dog{i}".split() + ["</end>"]:
+            counts[w] = counts.get(w, 0) + 1
+    n, v = sum(counts.values()), len(counts)
+    b = {r["doc_id"]: r for r in attention_lm.score_documents(docs, model_words=4).collect()}
+    for i in range(60):
+        words = f"the cat number {i % 7} and a dog{i}".split() + ["</end>"]
+        want = sum(np.log10((counts.get(w, 0) + 0.5) / (n + 0.5 * (v + 1))) for w in words)
+        for got in (a[i], b[i]):
+            assert abs(got["base_score"] - want) < 1e-6 and got["n_known"] == sum(w in counts for w in words)
+            assert got["n_tokens"] == len(words) and got["train_tokens"] == n and got["score"] < 0
+
+
+def test_language_gradients():
+    m = language_id.ByteGRU(["a", "b"], hidden=3)
+    chunks, length, text = language_id.cut(["hello world", "ça va très bien"])
+    sums = m.pooled(chunks(0, 2), length)
+    assert np.allclose(sums.sum(1), length, rtol=1e-4)
+    fitted = language_id.ByteGRU(["a", "b"]).fit(chunks(0, 2), length, np.array([0, 1]), epochs=60)
+    assert fitted.probabilities(["hello world", "ça va très bien"]).argmax(1).tolist() == [0, 1]
+
+
+def test_languages_held_out(spark, sf_dir):
+    got = language_id.identify(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    truth = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
+    rows = got.where("held_out and lang_pred <> 'und'").join(truth, "doc_id").collect()
+    assert sum(r["lang_pred"] == r["lang"] for r in rows) >= 0.9 * len(rows)
+
+
+def test_warc_revisits(spark):
+    pages = spark.createDataFrame([(3, "u3", "x"), (1, "u1", "x"), (2, None, None), (5, "u5", "WARC/1.1\r\n\r\n"), (4, "u4", "")], "page_id long, url string, html string")
+    got = {r["page_id"]: r for r in warc.archive_pages(pages).collect()}
+    assert {k: (r["record_type"], r["refers_to"]) for k, r in got.items()} == {
+        1: ("response", None), 3: ("revisit", 1), 2: ("response", None), 4: ("revisit", 2), 5: ("response", None)}
+    assert got[3]["payload_digest"] == base64.b32encode(hashlib.sha1(b"x").digest()).decode()
+
+
+def test_decontamination_of_another_parameter(spark):
+    item = "A train leaves Prague at 7 and covers 120 km in 3 hours before it stops near the old bridge again"
+    docs = docs_of(spark, [(1, "Intro. " + item.replace("120", "260").replace("Prague", "Vienna") + " End.", "en"), (2, "Nothing of this kind is here at all, only a plain sentence of words.", "en")])
+    bench = spark.createDataFrame([(9, item)], "item_id long, text string")
+    assert [(r["doc_id"], r["item_id"]) for r in decontaminate.find(docs, bench).collect()] == [(1, 9)]
+    assert [(r["doc_id"], r["item_id"]) for r in decontaminate.find(docs, bench, broadcast_windows=0).collect()] == [(1, 9)]
+    assert [r["doc_id"] for r in decontaminate.drop_contaminated(docs, bench).collect()] == [2]
+
+
+def test_shards(spark):
+    docs = docs_of(spark, [(i % 40, "t", "en") for i in range(103)])
+    rows = sharding.shard_documents(docs, 16).collect()
+    by: dict[int, list] = {}
+    for r in rows:
+        by.setdefault(r["shard"], []).append(r["slot"])
+    assert sorted(len(x) for x in by.values()) == [6] * 9 + [7] * 7
+    assert all(sorted(x) == list(range(len(x))) for x in by.values())
+
+
+def test_ablation(spark):
+    led = quality_rules.ledger(docs_of(spark, [(1, "few words", "en"), (2, "good " + " ".join(f"word{i}" for i in range(80)), "en")]))
+    got = {r["rule"]: r for r in quality_rules.ablation(led).collect()}
+    assert got["few_words"]["n_failed"] == 1 and got["few_words"]["n_only"] == 1 and got["few_words"]["n_kept_without"] == 2
+
+
+def test_quality_join_equals_broadcast(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality_lm.train(docs, labels, 50)
+    few = docs.limit(20).select("doc_id", "text")
+    a = {r["doc_id"]: r["log_p"] for r in quality_lm.score(few, model).collect()}
+    b = {r["doc_id"]: r["log_p"] for r in quality_lm.score_by_join(few, model).collect()}
+    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-6 * abs(a[k]) for k in a)
+
+
+def test_rotation_of_turns_that_tie(spark):
+    turns = spark.createDataFrame([(1, 0, "a", "x"), (1, 0, "b", "y"), (1, 1, "system", None), (None, 0, None, "z")], "conv_id long, turn int, role string, text string")
+    assert sorted((r["conv_id"] or 0, r["perspective"]) for r in chat.perspective_rows(turns).collect()) == [(0, "unknown"), (1, "a"), (1, "b")]
+
+
+def test_pipeline_stages(spark, sf_dir):
+    import corpus_pipeline as p
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    out = p.run(spark, sf_dir)
+    ids = {r["doc_id"] for r in out.collect()}
+    assert 0.5 * docs.count() < len(ids) <= docs.count() and out.count() == len(ids)
+    assert [n for n, _ in p.STAGES] == ["quality_classifier", "quality_rules", "jaccard_join", "decontamination", "byte_bpe"]

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Pre-tokens that a worker keeps with their ids, and the longest one kept, in characters.
-CACHED, CACHED_LENGTH = 700_000, 40
+CACHED, CACHED_LENGTH = 300_000, 40
 
 
 class RankQueue:

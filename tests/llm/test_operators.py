@@ -193,6 +193,32 @@ def test_quality_join_equals_broadcast(spark, sf_dir):
     assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-6 * abs(a[k]) for k in a)
 
 
+def test_quality_recall_and_loss(spark):
+    """Trusted texts of made-up words; junk of other words lies above the threshold, rule lines lie below the floor."""
+    rng = np.random.default_rng(0)
+    known = ["".join(rng.choice(list("abcdefghij"), rng.integers(2, 8))) for _ in range(400)]
+    of = lambda vocabulary, n: " ".join(rng.choice(vocabulary, n))
+    rows, labelled = [], []
+    for i in range(600):
+        own = [*known, *("".join(rng.choice(list("klmnopqrst"), 5)) for _ in range(int(rng.integers(0, 60))))]
+        rows.append((i, of(own, 120) + "-" * 40, "en"))
+        labelled.append((i, 1, 0))
+    other = [*known[:200], *("".join(rng.choice(list("klmnopqrst"), 5)) for _ in range(70))]
+    rows += [(1000 + i, of(other, 150), "en") for i in range(40)] + [(2000, "-" * 5000, "en")]
+    got = {r["doc_id"]: r["kept"] for r in quality_lm.classify(docs_of(spark, rows), spark.createDataFrame(labelled, "doc_id long, quality int, toxic int")).collect()}
+    assert sum(not got[i] for i in range(600)) <= 12
+    assert sum(not got[1000 + i] for i in range(40)) >= 36 and not got[2000]
+
+
+def test_quality_threshold_is_a_quantile(spark):
+    rows = [(i, "en", 999, -1000 * (1.4 + 0.2 * i / 2000)) for i in range(2000)] + [(5000, "en", 9999, -17_500.0), (5001, "en", 9999, -5_000.0), (5002, "en", 9999, -15_900.0)]
+    scored = spark.createDataFrame(rows, "doc_id long, lang string, n_bytes long, log_p double")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(2000)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r["kept"] for r in quality_lm.judge(scored, quality_lm.thresholds(scored, labels)).collect()}
+    assert sum(not got[i] for i in range(2000)) <= 30
+    assert (got[5000], got[5001], got[5002]) == (False, False, True)
+
+
 def test_rotation_of_turns_that_tie(spark):
     turns = spark.createDataFrame([(1, 0, "a", "x"), (1, 0, "b", "y"), (1, 1, "system", None), (None, 0, None, "z")], "conv_id long, turn int, role string, text string")
     assert sorted((r["conv_id"] or 0, r["perspective"]) for r in chat.perspective_rows(turns).collect()) == [(0, "unknown"), (1, "a"), (1, "b")]

@@ -1,9 +1,13 @@
 """Benchmark decontamination by templates: numbers, names and units become typed placeholders.
 
 Both sides are cut into words, canonicalised, and hashed in windows of WINDOW template words. Windows are
-joined by hash; where a document's windows cover at least MIN_COVERAGE of an item's words, the values in the
-slots are compared: a re-parameterised question maps each of the item's values to one value of its own, so
-the document counts as contaminated if at least MIN_CONSISTENT of the slots agree with a one-to-one mapping.
+joined by hash, and those of a document and an item are put into alignments: about one distance between the
+places in both (DRIFT words more or less, nearest first), or, for an item cut to pieces, any distance, the one
+that covers most first. Each alignment is judged by itself and any may pass. Where it covers at least
+MIN_COVERAGE of the item's words, the values in the slots are compared: a re-parameterised question maps each of
+the item's values to one value of its own, so the document counts as contaminated if no slot differs or at
+least MIN_CONSISTENT of them agree with a one-to-one mapping. Reported is the alignment that passes with the
+largest coverage, then with the fewest slots that differ.
 
 Words are runs of bytes other than white space; ASCII punctuation is dropped and A-Z lowered. A word with a
 digit is a number; a unit of UNITS after a number is a unit; a capitalised word that does not begin a
@@ -19,6 +23,7 @@ are each reported, equal items too; an empty table on either side gives no rows;
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -32,6 +37,7 @@ from .words import _INVERSE, _MULTIPLIER, _VALUE, LOWER, SEPARATOR, _power, mix,
 
 WINDOW, LEAST_WORDS, LEAST_LITERAL = 8, 4, 4
 MIN_COVERAGE, MIN_CONSISTENT = 0.5, 0.8
+DRIFT = 3
 BROADCAST_WINDOWS = 1_000_000
 UNITS = (
     "kg g mg lb lbs oz t km m cm mm mi ft in yd l ml gal s ms min h hr hrs second seconds minute minutes hour hours day days "
@@ -45,11 +51,12 @@ _DIGIT = np.zeros(256, bool)
 _DIGIT[0x30:0x3A] = True
 _SENTENCE_END = np.zeros(256, bool)
 _SENTENCE_END[[ord(c) for c in ".!?:"]] = True
+_SLOT = np.uint64(1)
 _NUMBER, _NAME, _UNIT = (np.uint64(k * 0x1F3D5B79A2C4E6F1 & (1 << 64) - 1) for k in (3, 5, 7))
 
 
 def _scan(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Template hashes and value hashes of all words (value 0: no slot), and where each text's words begin."""
+    """Template hashes and own hashes of all words (odd: a slot), and where each text's words begin."""
     encoded = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
     raw = np.frombuffer(b"\n".join([*encoded, b""]), np.uint8)
     apart = SEPARATOR[raw]
@@ -77,8 +84,10 @@ def _scan(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     begins[first[:-1][first[:-1] < len(start)]] = True
     unit = np.zeros(len(start), bool)
     unit[1:] = number[:-1] & np.isin(h[1:], _unit_hashes())
-    template = np.where(number, _NUMBER, np.where(unit, _UNIT, np.where(capital & ~begins, _NAME, h)))
-    return template, np.where(template == h, np.uint64(0), h | np.uint64(1)), first
+    own = h & ~_SLOT
+    name = capital & ~begins
+    template = np.where(number, _NUMBER, np.where(unit, _UNIT, np.where(name, _NAME, own)))
+    return template, own | (number | unit | name).astype(np.uint64), first
 
 
 _units: list[np.ndarray] = []
@@ -102,13 +111,13 @@ def _windows(template: np.ndarray, value: np.ndarray, first: np.ndarray, size: i
     with np.errstate(over="ignore"):
         for k in range(size):
             h = h * np.uint64(_MULTIPLIER) + template[k : k + n]
-            literal += value[k : k + n] == 0
+            literal += value[k : k + n] & _SLOT == 0
     last = np.repeat(first[1:], np.diff(first))[:n]  # where the text of each word ends
     return mix(h), (np.arange(n) + size <= last) & (literal >= min(LEAST_LITERAL, size - 1))
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """hash, item_id, item (a number of its own for each row), size, at, n_words and the window's slot values."""
+    """hash, item_id, item (a number of its own for each row), size, at, n_words and the window's words."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -132,15 +141,10 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     return numbered.mapInPandas(run, "hash long, item_id long, item long, size int, at int, n_words int, slots array<long>")
 
 
-def judge(matches: list[tuple[int, int, list[int], list[int]]], n_words: int) -> tuple[float, int, int, bool]:
-    """From (place in the item, place in the document, the item's slots, the document's slots) of all windows
-    that match: coverage of the item, slots, slots whose value differs, and whether it is contamination."""
-    covered: set[int] = set()
-    for at, _, slots, _ in matches:
-        covered.update(range(at, at + len(slots)))
-    pairs = {(at + k, place + k): (a, b) for at, place, own, theirs in matches for k, (a, b) in enumerate(zip(own, theirs)) if a}
+def _agree(own: np.ndarray, theirs: np.ndarray) -> int:
+    """Slots that agree with the best one-to-one mapping of the item's values to the document's."""
     forth: dict[int, Counter] = {}
-    for a, b in pairs.values():
+    for a, b in zip(own.tolist(), theirs.tolist()):
         forth.setdefault(a, Counter())[b] += 1
     taken: dict[int, int] = {}
     agree = 0
@@ -148,9 +152,47 @@ def judge(matches: list[tuple[int, int, list[int], list[int]]], n_words: int) ->
         b, n = min(seen.items(), key=lambda x: (-x[1], x[0]))
         if taken.setdefault(b, a) == a:  # two of the item's values may not share one
             agree += n
-    coverage = len(covered) / n_words
-    changed = sum(a != b for a, b in pairs.values())
-    return coverage, len(pairs), changed, coverage >= MIN_COVERAGE and agree >= MIN_CONSISTENT * len(pairs)
+    return agree
+
+
+def _alignments(at: np.ndarray, place: np.ndarray, size: int, n_words: int) -> Iterator[np.ndarray]:
+    """For each alignment the place of each of the item's words in the document, -1 where no window covers it."""
+    order = np.argsort(place - at, kind="stable")
+    shifts, begin = np.unique((place - at)[order], return_index=True)
+    covers = []
+    for a in np.split(at[order], begin[1:]):
+        edge = np.zeros(n_words + 1, np.int64)
+        np.add.at(edge, a, 1)
+        np.add.at(edge, a + size, -1)
+        covers.append(np.cumsum(edge[:-1]) > 0)
+
+    def laid(chosen) -> np.ndarray:
+        where = np.full(n_words, -1, np.int64)
+        for j in chosen:
+            new = np.flatnonzero(covers[j] & (where < 0))
+            where[new] = new + shifts[j]
+        return where
+
+    for d in shifts.tolist():
+        near = range(*np.searchsorted(shifts, [d - DRIFT, d + DRIFT + 1]).tolist())
+        yield laid(sorted(near, key=lambda j: abs(int(shifts[j]) - d)))
+    if len(shifts) > 1:
+        yield laid(sorted(range(len(shifts)), key=lambda j: -int(covers[j].sum())))
+
+
+def judge(at: np.ndarray, place: np.ndarray, size: int, own: np.ndarray, theirs: np.ndarray) -> tuple[float, int, int, bool]:
+    """From the places of all windows that match, in the item and in the document, and the words of both: coverage
+    of the item, slots, slots whose value differs, and whether it is contamination, of the best alignment."""
+    best = None
+    for where in _alignments(at, place, size, len(own)):
+        found = np.flatnonzero(where >= 0)
+        a, b = own[found], theirs[where[found]] | _SLOT
+        a, b = a[a & _SLOT == 1], b[a & _SLOT == 1]
+        coverage, changed = len(found) / len(own), int((a != b).sum())
+        bad = coverage >= MIN_COVERAGE and (not changed or _agree(a, b) >= MIN_CONSISTENT * len(a))
+        if best is None or (bad, coverage, -changed) > (best[3], best[0], -best[2]):
+            best = coverage, len(a), changed, bad
+    return best
 
 
 class _Items:
@@ -163,6 +205,9 @@ class _Items:
         for i, h in enumerate(rows["hash"]):
             self.by_hash.setdefault(h, []).append(i)
         self.rows = rows
+        self.own: dict[int, np.ndarray] = {}
+        for item, n, at, slots in zip(rows["item"], rows["n_words"], rows["at"], rows["slots"]):
+            self.own.setdefault(item, np.zeros(n, np.uint64))[at : at + len(slots)] = np.array(slots, np.int64).view(np.uint64)
         self.known = np.array(sorted(self.by_hash), np.int64).view(np.uint64)
         self.known.sort()
         self.bits = np.zeros(1 << 22, bool)
@@ -171,18 +216,20 @@ class _Items:
     def hits(self, texts) -> Iterator[tuple[int, int, float, int, int]]:
         """(text, row of one of the item's windows, coverage, slots, changed slots) for each item found in a text."""
         template, value, first = _scan(texts)
-        found: dict[tuple[int, int], tuple[list, int]] = {}
+        found: dict[tuple[int, int], tuple[array, array, int]] = {}
         for size in self.sizes:
             h, good = _windows(template, value, first, size)
             maybe = np.flatnonzero(good & self.bits[(h >> np.uint64(42)).astype(np.int64)])
             maybe = maybe[np.isin(h[maybe], self.known)]
             text = np.searchsorted(first, maybe, side="right") - 1
             for d, i in zip(text.tolist(), maybe.tolist()):
-                theirs = value[i : i + size].view(np.int64).tolist()
                 for r in self.by_hash[int(h[i : i + 1].view(np.int64)[0])]:
-                    found.setdefault((d, self.rows["item"][r]), ([], r))[0].append((self.rows["at"][r], i, self.rows["slots"][r], theirs))
-        for (d, _), (matches, r) in found.items():
-            coverage, slots, changed, bad = judge(matches, self.rows["n_words"][r])
+                    if self.rows["size"][r] == size:
+                        at, place, _ = found.setdefault((d, self.rows["item"][r]), (array("q"), array("q"), r))
+                        at.append(self.rows["at"][r])
+                        place.append(i)
+        for (d, item), (at, place, r) in found.items():
+            coverage, slots, changed, bad = judge(np.array(at), np.array(place), self.rows["size"][r], self.own[item], value)
             if bad:
                 yield d, r, coverage, slots, changed
 
@@ -252,7 +299,14 @@ def _find_by_join(rows: DataFrame, windows: DataFrame) -> DataFrame:
 
     @F.pandas_udf("coverage double, n_slots int, n_changed int, bad boolean")
     def decide(m: pd.Series, n: pd.Series) -> pd.DataFrame:
-        rows = [judge([(x["at"], x["place"], list(x["slots"]), list(x["theirs"])) for x in a], b) for a, b in zip(m, n)]
+        rows = []
+        for matches, n_words in zip(m, n):
+            at, place = (np.array([x[k] for x in matches], np.int64) for k in ("at", "place"))
+            size, place = len(matches[0]["slots"]), place - place.min()
+            own, theirs = np.zeros(n_words, np.uint64), np.zeros(int(place.max()) + size, np.uint64)
+            for a, b, x in zip(at.tolist(), place.tolist(), matches):
+                own[a : a + size], theirs[b : b + size] = (np.array(x[k], np.int64).view(np.uint64) for k in ("slots", "theirs"))
+            rows.append(judge(at, place, size, own, theirs))
         return pd.DataFrame(rows, columns=["coverage", "n_slots", "n_changed", "bad"])
 
     found = grouped.withColumn("d", decide("m", "n_words")).where("d.bad").select("_row", "item_id", "d.coverage", "d.n_slots", "d.n_changed")

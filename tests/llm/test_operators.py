@@ -168,6 +168,25 @@ def test_decontamination_of_another_parameter(spark):
     assert [r["doc_id"] for r in decontaminate.drop_contaminated(docs, bench).collect()] == [2]
 
 
+def found_by_both(docs, bench):
+    """Rows of `find`, equal with broadcast and joined windows."""
+    rows = [sorted(map(tuple, decontaminate.find(docs, bench, broadcast_windows=n).collect())) for n in (10**6, 0)]
+    assert rows[0] == rows[1]
+    return rows[0]
+
+
+def test_decontamination_by_alignment(spark):
+    twice = "Ann has 3 red apples in the old basket. Bob has 5 red apples in the old basket."
+    item = "A train leaves Prague at 7 and covers 120 km in 3 hours before it stops near the old bridge again"
+    other = [item.replace("120", str(n)).replace("7", str(n + 1)).replace("3 hours", f"{n + 2} hours") for n in (260, 390)]
+    halves = item.replace("before it", "as one reads " + "and so on " * 9 + "before it")
+    texts = [twice, f"{item}\n{other[0]}", f"{other[0]}\n{other[1]}", item.replace("covers", "then covers"), halves, "The old basket is here, a plain sentence of no item at all."]
+    bench = spark.createDataFrame([(8, twice), (9, item)], "item_id long, text string")
+    got = {(r[0], r[1]): r for r in found_by_both(docs_of(spark, [(i, t, "en") for i, t in enumerate(texts)]), bench)}
+    assert sorted(got) == [(0, 8), (1, 9), (2, 9), (3, 9), (4, 9)]
+    assert got[0, 8][4] == 0 and got[1, 9][4] == 0 and got[2, 9][4] == 3
+
+
 def test_shards(spark):
     docs = docs_of(spark, [(i % 40, "t", "en") for i in range(103)])
     rows = sharding.shard_documents(docs, 16).collect()

@@ -1,18 +1,21 @@
 """Benchmark decontamination by templates: numbers, names and units become typed placeholders.
 
-Both sides are cut into words, canonicalised, and hashed in windows of WINDOW template words. Windows are
-joined by hash, and those of a document and an item are put into alignments: about one distance between the
+Both sides are cut into words, canonicalised, and hashed in windows of WINDOW words, both as templates and as
+they are. Windows are joined by hash, and those of a document and an item are put into alignments: about one distance between the
 places in both (DRIFT words more or less, nearest first), or, for an item cut to pieces, any distance, the one
 that covers most first. Each alignment is judged by itself and any may pass. Where it covers at least
 MIN_COVERAGE of the item's words, the values in the slots are compared: a re-parameterised question maps each of
 the item's values to one value of its own, so the document counts as contaminated if no slot differs or at
-least MIN_CONSISTENT of them agree with a one-to-one mapping. Reported is the alignment that passes with the
+least MIN_CONSISTENT of them agree with a one-to-one mapping. VERBATIM words in a row that are the item's own,
+or all of a shorter item, are contamination whatever the coverage. Reported is the alignment that passes with the
 largest coverage, then with the fewest slots that differ.
 
-Words are runs of bytes other than white space; ASCII punctuation is dropped and A-Z lowered. A word with a
+Words are runs of bytes other than white space; ASCII punctuation is dropped, A-Z and À-Þ lowered. A word with a
 digit is a number; a unit of UNITS after a number is a unit; a capitalised word that does not begin a
-sentence or line, nor goes on with a capital, is a name. Windows with fewer than LEAST_LITERAL words that are not placeholders are not
-used. An item of fewer than WINDOW words is one window; below LEAST_WORDS words it matches nothing.
+sentence or line, nor goes on with a capital, is a name. Templates with fewer than
+LEAST_LITERAL words that are not placeholders are not used; such windows match word for word only. An item of
+fewer than WINDOW words is one window; below LEAST_WORDS words it matches where it is a line of its own, word
+for word, as one word inside a sentence tells nothing.
 
 Items of at most BROADCAST_WINDOWS windows are broadcast and joined where the documents lie; more are joined
 by shuffling the documents' windows, with equal results.
@@ -37,7 +40,7 @@ from .words import _INVERSE, _MULTIPLIER, _VALUE, LOWER, SEPARATOR, _power, mix,
 
 WINDOW, LEAST_WORDS, LEAST_LITERAL = 8, 4, 4
 MIN_COVERAGE, MIN_CONSISTENT = 0.5, 0.8
-DRIFT = 3
+DRIFT, VERBATIM = 3, 13
 BROADCAST_WINDOWS = 1_000_000
 UNITS = (
     "kg g mg lb lbs oz t km m cm mm mi ft in yd l ml gal s ms min h hr hrs second seconds minute minutes hour hours day days "
@@ -55,8 +58,9 @@ _SLOT = np.uint64(1)
 _NUMBER, _NAME, _UNIT = (np.uint64(k * 0x1F3D5B79A2C4E6F1 & (1 << 64) - 1) for k in (3, 5, 7))
 
 
-def _scan(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Template hashes and own hashes of all words (odd: a slot), and where each text's words begin."""
+def _scan(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Template hashes and own hashes of all words (odd: a slot), where each text's words begin, and which words
+    begin a line (one more for the end)."""
     encoded = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
     raw = np.frombuffer(b"\n".join([*encoded, b""]), np.uint8)
     apart = SEPARATOR[raw]
@@ -69,11 +73,13 @@ def _scan(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     offset = np.concatenate([[0], np.cumsum([len(x) + 1 for x in encoded])]).astype(np.int64)
     first = np.searchsorted(start, offset)
     if not len(start):
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), first
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), first, np.ones(1, bool)
     at = before[start]
+    low = LOWER[raw]
+    low[1:][(raw[:-1] == 0xC3) & (raw[1:] >= 0x80) & (raw[1:] <= 0x9E) & (raw[1:] != 0x97)] += 32
     with np.errstate(over="ignore"):
         n = int(before[-1])
-        h = mix(np.add.reduceat(_VALUE[LOWER[raw[kept]]] * _power(_MULTIPLIER, n), at) * _power(_INVERSE, n)[at])
+        h = mix(np.add.reduceat(_VALUE[low[kept]] * _power(_MULTIPLIER, n), at) * _power(_INVERSE, n)[at])
     number = np.add.reduceat(_DIGIT[raw].astype(np.int32), start) > 0
     a, b = raw[start], raw[np.minimum(start + 1, len(raw) - 1)]
     capital = (a >= 65) & (a <= 90) & ~((b >= 65) & (b <= 90)) | (a == 0xC3) & (b >= 0x80) & (b <= 0x9E)
@@ -87,7 +93,10 @@ def _scan(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     own = h & ~_SLOT
     name = capital & ~begins
     template = np.where(number, _NUMBER, np.where(unit, _UNIT, np.where(name, _NAME, own)))
-    return template, own | (number | unit | name).astype(np.uint64), first
+    breaks = np.cumsum((raw == 10) | (raw == 13))
+    line = np.ones(len(start) + 1, bool)
+    line[1:-1] = breaks[start[1:]] > breaks[end[:-1] - 1]
+    return template, own | (number | unit | name).astype(np.uint64), first, line
 
 
 _units: list[np.ndarray] = []
@@ -101,19 +110,25 @@ def _unit_hashes() -> np.ndarray:
     return _units[0]
 
 
-def _windows(template: np.ndarray, value: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the windows of `size` words that begin at each word, and which of them are whole and literal enough."""
+def _windows(template: np.ndarray, value: np.ndarray, first: np.ndarray, line: np.ndarray, size: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Hashes of the windows of `size` words that begin at each word, and which of them to use: as templates, where
+    literal enough, and as they are. Without slots both hashes are equal, and one is used."""
     n = len(template) - size + 1
     if n <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, bool)
-    h = np.full(n, size, np.uint64)
-    literal = np.zeros(n, np.int8)
+        return []
+    as_template, as_is = np.full(n, size, np.uint64), np.full(n, size, np.uint64)
+    slots = np.zeros(n, np.int8)
+    plain = value & ~_SLOT
     with np.errstate(over="ignore"):
         for k in range(size):
-            h = h * np.uint64(_MULTIPLIER) + template[k : k + n]
-            literal += value[k : k + n] & _SLOT == 0
+            as_template = as_template * np.uint64(_MULTIPLIER) + template[k : k + n]
+            as_is = as_is * np.uint64(_MULTIPLIER) + plain[k : k + n]
+            slots += value[k : k + n] & _SLOT == 1
     last = np.repeat(first[1:], np.diff(first))[:n]  # where the text of each word ends
-    return mix(h), (np.arange(n) + size <= last) & (literal >= min(LEAST_LITERAL, size - 1))
+    whole = np.arange(n) + size <= last
+    if size < LEAST_WORDS:
+        return [(mix(as_is), whole & line[:n] & line[size : size + n])]
+    return [(mix(as_template), whole & (size - slots >= min(LEAST_LITERAL, size - 1))), (mix(as_is), whole & (slots > 0))]
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
@@ -122,20 +137,18 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for item_id, item, text in zip(frame["item_id"], frame["item"], frame["text"]):
-                template, value, first = _scan([text])
+                template, value, first, line = _scan([text])
                 n = len(template)
-                if n < LEAST_WORDS:
-                    continue
                 size = min(WINDOW, n)
-                h, good = _windows(template, value, first, size)
-                at = np.flatnonzero(good)
-                if not len(at):
-                    continue
-                yield pd.DataFrame({
-                    "hash": h[at].view(np.int64), "item_id": pd.array([item_id if pd.notna(item_id) else None] * len(at), "Int64"),
-                    "item": item, "size": np.int32(size), "at": at.astype(np.int32), "n_words": np.int32(n),
-                    "slots": [value[i : i + size].view(np.int64).tolist() for i in at],
-                })
+                for h, good in _windows(template, value, first, line, size) if n else []:
+                    at = np.flatnonzero(good)
+                    if not len(at):
+                        continue
+                    yield pd.DataFrame({
+                        "hash": h[at].view(np.int64), "item_id": pd.array([item_id if pd.notna(item_id) else None] * len(at), "Int64"),
+                        "item": item, "size": np.int32(size), "at": at.astype(np.int32), "n_words": np.int32(n),
+                        "slots": [value[i : i + size].view(np.int64).tolist() for i in at],
+                    })
 
     numbered = benchmark.select("item_id", "text", F.xxhash64("item_id", "text").alias("item"))
     return numbered.mapInPandas(run, "hash long, item_id long, item long, size int, at int, n_words int, slots array<long>")
@@ -180,6 +193,13 @@ def _alignments(at: np.ndarray, place: np.ndarray, size: int, n_words: int) -> I
         yield laid(sorted(range(len(shifts)), key=lambda j: -int(covers[j].sum())))
 
 
+def _longest(same: np.ndarray, where: np.ndarray) -> int:
+    """Most words in a row, in both texts, that are the same."""
+    goes_on = same[1:] & same[:-1] & (where[1:] == where[:-1] + 1)
+    run = np.cumsum(np.concatenate([[True], ~goes_on]))[same]
+    return int(np.bincount(run).max()) if len(run) else 0
+
+
 def judge(at: np.ndarray, place: np.ndarray, size: int, own: np.ndarray, theirs: np.ndarray) -> tuple[float, int, int, bool]:
     """From the places of all windows that match, in the item and in the document, and the words of both: coverage
     of the item, slots, slots whose value differs, and whether it is contamination, of the best alignment."""
@@ -187,9 +207,12 @@ def judge(at: np.ndarray, place: np.ndarray, size: int, own: np.ndarray, theirs:
     for where in _alignments(at, place, size, len(own)):
         found = np.flatnonzero(where >= 0)
         a, b = own[found], theirs[where[found]] | _SLOT
+        same = np.zeros(len(own), bool)
+        same[found] = a | _SLOT == b
         a, b = a[a & _SLOT == 1], b[a & _SLOT == 1]
         coverage, changed = len(found) / len(own), int((a != b).sum())
         bad = coverage >= MIN_COVERAGE and (not changed or _agree(a, b) >= MIN_CONSISTENT * len(a))
+        bad = bad or _longest(same, where) >= min(VERBATIM, len(own))
         if best is None or (bad, coverage, -changed) > (best[3], best[0], -best[2]):
             best = coverage, len(a), changed, bad
     return best
@@ -215,10 +238,9 @@ class _Items:
 
     def hits(self, texts) -> Iterator[tuple[int, int, float, int, int]]:
         """(text, row of one of the item's windows, coverage, slots, changed slots) for each item found in a text."""
-        template, value, first = _scan(texts)
+        template, value, first, line = _scan(texts)
         found: dict[tuple[int, int], tuple[array, array, int]] = {}
-        for size in self.sizes:
-            h, good = _windows(template, value, first, size)
+        for size, (h, good) in ((size, x) for size in self.sizes for x in _windows(template, value, first, line, size)):
             maybe = np.flatnonzero(good & self.bits[(h >> np.uint64(42)).astype(np.int64)])
             maybe = maybe[np.isin(h[maybe], self.known)]
             text = np.searchsorted(first, maybe, side="right") - 1
@@ -280,9 +302,8 @@ def _find_by_join(rows: DataFrame, windows: DataFrame) -> DataFrame:
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row, text in zip(frame["_row"], frame["text"]):
-                template, value, first = _scan([text])
-                for size in sizes:
-                    h, good = _windows(template, value, first, size)
+                template, value, first, line = _scan([text])
+                for size, (h, good) in ((size, x) for size in sizes for x in _windows(template, value, first, line, size)):
                     at = np.flatnonzero(good)
                     if not len(at):
                         continue

@@ -187,6 +187,20 @@ def test_decontamination_by_alignment(spark):
     assert got[0, 8][4] == 0 and got[1, 9][4] == 0 and got[2, 9][4] == 3
 
 
+def test_decontamination_word_for_word(spark):
+    rng = np.random.default_rng(0)
+    numbers = " ".join(map(str, rng.integers(0, 1000, 30)))
+    german = "Dort legte Karl seine Äpfel und Birnen neben Brot und Käse auf Tische aus Holz"
+    long = " ".join(f"w{x}" if x % 3 else f"word{'abcdefghij'[x % 10]}" for x in rng.integers(0, 5000, 250))
+    texts = [
+        f"Here: {numbers} and so on", german.lower().replace(" und ", "\n und "), "Before. " + " ".join(long.split()[80:180]) + " After.",
+        "Seven?\n42, yes\nThen more", "He said 42, yes or no", " ".join(numbers.split()[:10]) + " are other numbers", "7 8 9 10 11",
+    ]
+    bench = spark.createDataFrame([(1, numbers), (2, german), (3, long), (4, "42 yes"), (5, "7 8 9 10 11")], "item_id long, text string")
+    got = found_by_both(docs_of(spark, [(i, t, "en") for i, t in enumerate(texts)]), bench)
+    assert [r[:2] for r in got] == [(0, 1), (1, 2), (2, 3), (3, 4), (6, 5)]
+
+
 def test_shards(spark):
     docs = docs_of(spark, [(i % 40, "t", "en") for i in range(103)])
     rows = sharding.shard_documents(docs, 16).collect()

@@ -3,8 +3,9 @@
 For every conversation and participant the dialogue is rendered as one text, with the character spans that
 the participant itself says (text and end mark), which are what a model is trained on.
 
-A conversation is cut into parts of `TURNS_PER_PART` turn numbers, so no row gathers an unbounded number of
-turns; short conversations have part 0 only, and spans count from the part's start.
+A conversation is cut into parts of `TURNS_PER_PART` turn numbers; short conversations have part 0 only, and
+spans count from the part's start. That bounds a part where turn numbers differ; turns that are NULL or tie all
+go into one part, and so into one row for each perspective, as the SQL has it.
 
 Edge cases: the role `system` is no participant and stays a system message in every perspective; a
 conversation of system messages only gives no rows; NULL role is the participant `unknown`; NULL text is

@@ -18,6 +18,7 @@ import base64
 import functools
 import heapq
 import re
+import struct
 import unicodedata
 from collections.abc import Iterator
 
@@ -28,19 +29,25 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import shared
+
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Pre-tokens that a worker keeps with their ids, and the longest one kept, in characters.
-CACHED, CACHED_LENGTH = 300_000, 40
+#: Pre-tokens of each of two generations that a worker keeps with their ids, some 200 bytes each, and the longest
+#: one kept, in characters.
+CACHED, CACHED_LENGTH = 400_000, 40
 
 
-class RankQueue:
-    """Positions by rank, lowest rank first, then lowest position."""
+_WIDTH = 256  # bits of a bitmap word; Python's integers make find-first-set one operation
+_BITS = [1 << k for k in range(_WIDTH)]
 
-    WIDTH = 256  # bits of a bitmap word; Python's integers make find-first-set one operation
+
+class RankQueue:
+    """Positions by rank, lowest rank first, then lowest position. Each rank has a bucket; a bit of `words` says
+    that a rank's bucket holds something, a bit of `summary` that a word does."""
 
     def __init__(self, ranks: int):
-        self.words = [0] * (ranks // self.WIDTH + 1)
-        self.summary = 0  # bit w: word w is not 0
+        self.words = [0] * (ranks // _WIDTH + 1)
+        self.summary = 0
         self.buckets: dict[int, list[int]] = {}
 
     def push(self, rank: int, position: int) -> None:
@@ -48,8 +55,10 @@ class RankQueue:
         if bucket is None:
             self.buckets[rank] = [position]
             w = rank >> 8
-            self.words[w] |= 1 << (rank & 255)
-            self.summary |= 1 << w
+            word = self.words[w]
+            if not word:
+                self.summary |= 1 << w
+            self.words[w] = word | _BITS[rank & 255]
         else:
             heapq.heappush(bucket, position)
 
@@ -59,16 +68,16 @@ class RankQueue:
             return None
         w = (summary & -summary).bit_length() - 1
         word = self.words[w]
-        rank = (w << 8) + (word & -word).bit_length() - 1
+        low = word & -word
+        rank = (w << 8) + low.bit_length() - 1
         bucket = self.buckets[rank]
-        position = heapq.heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            word &= word - 1
-            self.words[w] = word
-            if not word:
-                self.summary = summary & (summary - 1)
-        return rank, position
+        if len(bucket) > 1:
+            return rank, heapq.heappop(bucket)
+        del self.buckets[rank]
+        self.words[w] = word = word ^ low
+        if not word:
+            self.summary = summary & (summary - 1)
+        return rank, bucket[0]
 
 
 class Encoder:
@@ -78,71 +87,77 @@ class Encoder:
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.queue = RankQueue(max(self.ranks.values()))
+        self.of_bytes = [-1] * (1 << 16)  # rank of each pair of bytes
+        for piece, rank in self.ranks.items():
+            if len(piece) == 2:
+                self.of_bytes[piece[0] << 8 | piece[1]] = rank
         self.split = _splitter(pattern)
         self.cache = _Cache(self)
 
     def encode_piece(self, piece: bytes) -> list[int]:
         """Ids of one pre-token."""
-        ranks = self.ranks
-        whole = ranks.get(piece)
+        rank_of = self.ranks.get
+        whole = rank_of(piece)
         if whole is not None:
             return [whole]
-        n = len(piece)
+        n, of_bytes = len(piece), self.of_bytes
         end = list(range(1, n + 1))  # of the piece that begins at a position
         before = list(range(-1, n - 1))  # where the piece before it begins
-        pair = [-1] * n  # rank of a piece with the next one
-        queue, push, pop = self.queue, self.queue.push, self.queue.pop
-        for i in range(n - 1):
-            r = ranks.get(piece[i : i + 2])
-            if r is not None:
-                pair[i] = r
+        pair = [of_bytes[a << 8 | b] for a, b in zip(piece, piece[1:])]  # rank of a piece with the next one, or -1
+        pair.append(-1)
+        ids = [-1] * n  # of merged pieces
+        push, pop = self.queue.push, self.queue.pop
+        for i, r in enumerate(pair):
+            if r >= 0:
                 push(r, i)
         while (entry := pop()) is not None:
             rank, i = entry
             if pair[i] != rank:
                 continue  # stale: one of the two pieces has been merged into another
+            ids[i] = rank
             j = end[i]
             e = end[i] = end[j]
             pair[j] = -1
             if e < n:
                 before[e] = i
-                r = ranks.get(piece[i : end[e]])
-                if r is None:
-                    pair[i] = -1
-                else:
-                    pair[i] = r
+                r = pair[i] = rank_of(piece[i : end[e]], -1)
+                if r >= 0:
                     push(r, i)
             else:
                 pair[i] = -1
             p = before[i]
             if p >= 0:
-                r = ranks.get(piece[p:e])
-                if r is None:
-                    pair[p] = -1
-                else:
-                    pair[p] = r
+                r = pair[p] = rank_of(piece[p:e], -1)
+                if r >= 0:
                     push(r, p)
         out, i = [], 0
         while i < n:
-            out.append(ranks[piece[i : end[i]]])
+            out.append(ids[i] if ids[i] >= 0 else rank_of(piece[i : i + 1]))
             i = end[i]
         return out
 
     def pack(self, token: str) -> bytes:
-        return np.array(self.encode_piece(token.encode("utf-8", "surrogatepass")), "<u4").tobytes()
+        ids = self.encode_piece(token.encode("utf-8", "surrogatepass"))
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str | None) -> bytes:
         return b"".join(map(self.cache.__getitem__, self.split(text or "")))
 
 
 class _Cache(dict):
+    """Ids of pre-tokens seen lately, in two generations: when the young one is full it becomes the old one, and
+    what is still in use comes back from there."""
+
     def __init__(self, encoder: Encoder):
-        self.encoder = encoder
+        self.encoder, self.old = encoder, {}
 
     def __missing__(self, token: str) -> bytes:
-        ids = self.encoder.pack(token)
+        ids = self.old.get(token)
+        if ids is None:
+            ids = self.encoder.pack(token)
         if len(token) <= CACHED_LENGTH:
             if len(self) >= CACHED:
+                self.old = dict(self)
                 self.clear()
             self[token] = ids
         return ids
@@ -210,6 +225,7 @@ def decode_column(ids: Column, vocabulary: str = VOCABULARY) -> Column:
 
 def encode_documents(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """docs with `ids` (binary)."""
+    shared.bounded_batches(docs.sparkSession)
     return docs.withColumn("ids", encode_column(F.coalesce(F.col("text"), F.lit("")), vocabulary))
 
 

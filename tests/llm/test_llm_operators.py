@@ -97,8 +97,10 @@ def test_attention_gradients():
     m.p = {k: v.astype(np.float64) for k, v in m.p.items()}
     keys, t = rng.integers(0, attention_lm.CLASSES, (3, 32)).astype(np.uint8), rng.integers(0, attention_lm.CLASSES, (3, 16)).astype(np.uint8)
     keys[0, :16], t[2, 9:] = attention_lm.NONE, attention_lm.NONE
-    loss = lambda: -m.log_p(keys, t).sum() / (t != attention_lm.NONE).sum()
-    for n, g in m.gradients(keys, t).items():
+    weight = np.array([1.0, 3.0, 2.0])
+    each = (t != attention_lm.NONE) * weight[:, None]
+    loss = lambda: -(m.log_p(keys, t)[0] * each).sum() / each.sum()
+    for n, g in m.gradients(keys, t, weight).items():
         at = np.unravel_index(np.abs(g).argmax(), g.shape)
         m.p[n][at] += 1e-4
         up = loss()
@@ -113,26 +115,63 @@ def test_attention_is_causal():
     keys, t = rng.integers(0, attention_lm.CLASSES, (1, 32)).astype(np.uint8), rng.integers(0, attention_lm.CLASSES, (1, 16)).astype(np.uint8)
     other = keys.copy()
     other[0, 24:] = 3
-    a, b = m.log_p(keys, t)[0], m.log_p(other, t)[0]
+    a, b = m.log_p(keys, t)[0][0], m.log_p(other, t)[0][0]
     assert np.allclose(a[:8], b[:8]) and not np.allclose(a[8:], b[8:])
 
 
-def test_base_score_with_few_words_broadcast(spark):
-    docs = docs_of(spark, [(i, f"the cat number {i % 7} and a dog{i}", "en") for i in range(60)])
-    a = {r["doc_id"]: r for r in attention_lm.score_documents(docs).collect()}
-    train = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5 != 1]
+def _softmax(x):
+    e = np.exp(x - x.max())
+    return e / e.sum()
+
+
+def _score_by_hand(model, text, counts):
+    """The score of one text, id by id and word by word, from the weights and the counts of words alone."""
+    p, cl, size = {k: v.astype(np.float64) for k, v in model.net.p.items()}, model.classes, attention_lm.BLOCK
+    encode = attention_lm._encoding(model.vocabulary).encode_ordinary
+    words = [encode(" " + w) for w in text.lower().split()]
+    ids = [*(i for w in words for i in w), attention_lm.END]
+    before = [attention_lm.END, *ids[:-1]]
+    begin, own = [], []
+    for t in range(len(ids)):
+        keys = [int(cl.of[before[j]]) for j in range(max(0, (t // size - 1) * size), t + 1)]
+        q = p["q"][keys[-1]]
+        a = _softmax(np.array([q @ p["k"][k] + p["near"][len(keys) - 1 - j] for j, k in enumerate(keys)]))
+        h = np.maximum(sum(x * p["v"][k] for x, k in zip(a, keys)) @ p["o"] + p["e"][keys[-1]], 0)
+        start = 1 / (1 + np.exp(-(h @ p["z"] + p["y"][0])))
+        c, n = int(cl.of[ids[t]]), cl.begins
+        low, high = (0, n) if c < n else (n, attention_lm.CLASSES)
+        among = _softmax(h @ p["w"][:, low:high] + p["b"][low:high])[c - low] * np.exp(cl.within[ids[t]])
+        begin.append(start)
+        own.append(among if c < n else among * (1 - start))
+    total, t = 0.0, 0
+    for w, word in zip(words, text.lower().split()):
+        spelled = np.prod([own[t + k] for k in range(1, len(w))]) * begin[t + len(w)]
+        first = sum(c for x, c in counts.items() if encode(" " + x)[0] == w[0]), sum(encode(" " + x)[0] == w[0] for x in counts)
+        below = first[0] + first[1] + 1
+        total += np.log10(own[t] * (counts.get(word, 0) / below + (1 - first[0] / below) * spelled))
+        t += len(w)
+    return total + np.log10(own[t])
+
+
+def test_scores_by_hand_with_few_words_broadcast(spark):
+    text = lambda i: f"The cat number {i % 7} and a dog{i} " + "of the house " * (i % 9)
+    docs = docs_of(spark, [(i, text(i), "en") for i in range(60)])
     counts: dict[str, int] = {}
-    for i in train:
-        for w in f"the cat number {i % 7} and a dog{i}".split() + ["</end>"]:
+    for i in range(60):
+        for w in text(i).lower().split() + ["</end>"] if zlib.crc32(str(i).encode()) % 5 != 1 else []:
             counts[w] = counts.get(w, 0) + 1
     n, v = sum(counts.values()), len(counts)
-    b = {r["doc_id"]: r for r in attention_lm.score_documents(docs, model_words=4).collect()}
+    rows = [{r["doc_id"]: r for r in attention_lm.score_documents(docs, model_words=k).collect()} for k in (4, 10**6)]
+    model = attention_lm.fit(docs.where(~attention_lm.held_out()))
+    of_words = {w: c for w, c in counts.items() if w != "</end>"}
     for i in range(60):
-        words = f"the cat number {i % 7} and a dog{i}".split() + ["</end>"]
+        words = text(i).lower().split() + ["</end>"]
         want = sum(np.log10((counts.get(w, 0) + 0.5) / (n + 0.5 * (v + 1))) for w in words)
-        for got in (a[i], b[i]):
+        score = _score_by_hand(model, text(i), of_words)
+        for r in rows:
+            got = r[i]
             assert abs(got["base_score"] - want) < 1e-6 and got["n_known"] == sum(w in counts for w in words)
-            assert got["n_tokens"] == len(words) and got["train_tokens"] == n and got["score"] < 0
+            assert got["n_tokens"] == len(words) and got["train_tokens"] == n and abs(got["score"] - score) < 1e-4 * abs(score)
 
 
 def test_language_gradients():

@@ -3,14 +3,16 @@
 For every conversation and participant the dialogue is rendered as one text, with the character spans that
 the participant itself says (text and end mark), which are what a model is trained on.
 
-A conversation is cut into parts of `TURNS_PER_PART` turn numbers; short conversations have part 0 only, and
-spans count from the part's start. That bounds a part where turn numbers differ; turns that are NULL or tie all
-go into one part, and so into one row for each perspective, as the SQL has it.
+A conversation is one rendering for each participant, whatever its length, as a model needs all that was said
+before; so it has to fit a row of Spark, some 2 GB. Spans count characters from its start.
+
+In names and texts `<|` is written `< |` and in names `|>` is written `| >`, so that nothing said looks like a mark.
 
 Edge cases: the role `system` is no participant and stays a system message in every perspective; a
 conversation of system messages only gives no rows; NULL role is the participant `unknown`; NULL text is
-empty; NULL turn is in part 0, before all others; turns that tie, and repeated rows, are ordered by turn,
-name and text and all kept; rows with a NULL conv_id are a conversation of their own.
+empty; a NULL turn comes before all others; turns that tie, and repeated rows, are ordered by turn, name and
+text and all kept; each row with a NULL conv_id is a conversation of its own, as nothing says that two of them
+belong together; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -18,40 +20,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TURNS_PER_PART = 256
 SYSTEM = "system"
 END = "<|end|>\n"
 
 
-def perspectives(turns: DataFrame, turns_per_part: int = TURNS_PER_PART) -> DataFrame:
-    """conv_id, perspective, part, n_turns, n_own_turns, text, spans (array of start and end, half-open)."""
-    said = turns.select(
-        "conv_id", "turn", F.coalesce("role", F.lit("unknown")).alias("name"), F.coalesce("text", F.lit("")).alias("text"),
-        F.coalesce(F.floor(F.col("turn") / turns_per_part), F.lit(0)).cast("long").alias("part"),
-    )
-    speakers = said.where(F.col("name") != SYSTEM).select(F.col("conv_id").alias("_conv"), F.col("name").alias("perspective")).distinct()
-    viewed = said.join(speakers, F.col("conv_id").eqNullSafe(F.col("_conv"))).drop("_conv")
-    own = F.col("name") == F.col("perspective")
-    head = (
-        F.when(F.col("name") == SYSTEM, F.lit("<|system|>\n"))
-        .when(own, F.lit("<|assistant|>\n"))
-        .otherwise(F.concat(F.lit("<|user name="), F.col("name"), F.lit("|>\n")))
-    )
-    viewed = viewed.select(
-        "conv_id", "perspective", "part",
-        F.struct("turn", "name", "text", head.alias("head"), own.alias("own")).alias("s"),
+def perspectives(turns: DataFrame) -> DataFrame:
+    """conv_id, perspective, n_turns, n_own_turns, text, spans (array of start and end, half-open)."""
+    name = F.replace(F.replace(F.coalesce("role", F.lit("unknown")), F.lit("<|"), F.lit("< |")), F.lit("|>"), F.lit("| >"))
+    text = F.replace(F.coalesce("text", F.lit("")), F.lit("<|"), F.lit("< |"))
+    said = turns.select("conv_id", F.struct("turn", name.alias("name"), text.alias("text")).alias("s"))
+    lone = said.where("conv_id is null").select("conv_id", F.array("s").alias("said"))
+    talks = said.where("conv_id is not null").groupBy("conv_id").agg(F.sort_array(F.collect_list("s")).alias("said")).unionByName(lone)
+    speakers = F.array_distinct(F.filter(F.transform("said", lambda s: s["name"]), lambda n: n != SYSTEM))
+    viewed = talks.select("conv_id", "said", F.explode(speakers).alias("perspective"))
+    head = lambda s: (
+        F.when(s["name"] == SYSTEM, F.lit("<|system|>\n")).when(s["name"] == F.col("perspective"), F.lit("<|assistant|>\n"))
+        .otherwise(F.concat(F.lit("<|user name="), s["name"], F.lit("|>\n")))
     )
-    parts = viewed.groupBy("conv_id", "perspective", "part").agg(F.sort_array(F.collect_list("s")).alias("said"))
-    laid = F.expr(f"""aggregate(said, named_struct('at', 0, 'spans', cast(array() as array<struct<start: int, end: int>>)),
-        (a, s) -> named_struct(
-          'at', a.at + length(s.head) + length(s.text) + {len(END)},
-          'spans', case when s.own then array_append(a.spans, named_struct('start', a.at + length(s.head), 'end', a.at + length(s.head) + length(s.text) + {len(END)}))
-                   else a.spans end)).spans""")
-    return parts.select(
-        "conv_id", "perspective", "part", F.size("said").cast("long").alias("n_turns"),
-        F.size(F.expr("filter(said, s -> s.own)")).cast("long").alias("n_own_turns"),
-        F.array_join(F.transform("said", lambda s: F.concat(s["head"], s["text"], F.lit(END))), "").alias("text"),
-        laid.alias("spans"),
+    laid = viewed.select("conv_id", "perspective", F.transform("said", lambda s: F.struct(
+        head(s).alias("head"), F.concat(s["text"], F.lit(END)).alias("body"), (s["name"] == F.col("perspective")).alias("own"))).alias("said"))
+    nothing = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start: int, end: int>>").alias("spans"))
+
+    def place(a, s):
+        start = a["at"] + F.length(s["head"])
+        end = start + F.length(s["body"])
+        spans = F.when(s["own"], F.array_append(a["spans"], F.struct(start.alias("start"), end.alias("end")))).otherwise(a["spans"])
+        return F.struct(end.alias("at"), spans.alias("spans"))
+
+    return laid.select(
+        "conv_id", "perspective", F.size("said").cast("long").alias("n_turns"),
+        F.size(F.filter("said", lambda s: s["own"])).cast("long").alias("n_own_turns"),
+        F.array_join(F.transform("said", lambda s: F.concat(s["head"], s["body"])), "").alias("text"),
+        F.aggregate("said", nothing, place)["spans"].alias("spans"),
     )
 
 
@@ -61,17 +61,17 @@ def perspective_rows(turns: DataFrame) -> DataFrame:
     return perspectives(turns).withColumn("mask_spans", spans).drop("spans")
 
 
-ORACLE = """with t as (select conv_id, turn, coalesce(role, 'unknown') as name, coalesce(text, '') as text,
-  cast(coalesce(floor(turn / 256.0), 0) as bigint) as part, row_number() over () as rid from conversations),
-p as (select distinct conv_id, name as perspective from t where name <> 'system'),
+ORACLE = """with t as (select conv_id, turn, replace(replace(coalesce(role, 'unknown'), '<|', '< |'), '|>', '| >') as name,
+  replace(coalesce(text, ''), '<|', '< |') as text, row_number() over () as rid, case when conv_id is null then row_number() over () end as lone from conversations),
+p as (select distinct conv_id, lone, name as perspective from t where name <> 'system'),
 v as (select t.*, p.perspective, name = perspective as own,
   case when name = 'system' then '<|system|>' || chr(10) when name = perspective then '<|assistant|>' || chr(10)
   else '<|user name=' || name || '|>' || chr(10) end as head
-  from t join p on t.conv_id is not distinct from p.conv_id),
-o as (select *, sum(length(head) + length(text) + 8) over (partition by conv_id, perspective, part
+  from t join p on t.conv_id is not distinct from p.conv_id and t.lone is not distinct from p.lone),
+o as (select *, sum(length(head) + length(text) + 8) over (partition by conv_id, lone, perspective
   order by turn nulls first, name, text, rid rows between unbounded preceding and current row) as stop from v)
-select conv_id, perspective, part, count(*) as n_turns, count(*) filter (own) as n_own_turns,
+select conv_id, perspective, count(*) as n_turns, count(*) filter (own) as n_own_turns,
   string_agg(head || text || '<|end|>' || chr(10), '' order by turn nulls first, name, text, rid) as text,
   coalesce(string_agg(cast(stop - length(text) - 8 as varchar) || '-' || cast(stop as varchar), ',' order by turn nulls first, name, text, rid)
     filter (own), '') as mask_spans
-from o group by conv_id, perspective, part"""
+from o group by conv_id, lone, perspective"""

@@ -17,7 +17,7 @@ LEAST_LITERAL words that are not placeholders are not used; such windows match w
 fewer than WINDOW words is one window; below LEAST_WORDS words it matches where it is a line of its own, word
 for word, as one word inside a sentence tells nothing.
 
-Items of at most BROADCAST_WINDOWS windows are broadcast and joined where the documents lie; more are joined
+Items of at most BROADCAST_WINDOWS windows (some 100 bytes each) are broadcast and joined where the documents lie; more are joined
 by shuffling the documents' windows, with equal results.
 
 Edge cases: NULL and empty texts match nothing; NULL doc_id or item_id is reported as it is; equal documents
@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import shared
@@ -41,7 +41,7 @@ from .words import _INVERSE, _MULTIPLIER, _VALUE, LOWER, SEPARATOR, _power, mix,
 WINDOW, LEAST_WORDS, LEAST_LITERAL = 8, 4, 4
 MIN_COVERAGE, MIN_CONSISTENT = 0.5, 0.8
 DRIFT, VERBATIM = 3, 13
-BROADCAST_WINDOWS = 1_000_000
+BROADCAST_WINDOWS = 200_000
 UNITS = (
     "kg g mg lb lbs oz t km m cm mm mi ft in yd l ml gal s ms min h hr hrs second seconds minute minutes hour hours day days "
     "week weeks month months year years meter meters metre metres kilometer kilometers mile miles gram grams kilogram kilograms "
@@ -131,27 +131,31 @@ def _windows(template: np.ndarray, value: np.ndarray, first: np.ndarray, line: n
     return [(mix(as_template), whole & (size - slots >= min(LEAST_LITERAL, size - 1))), (mix(as_is), whole & (slots > 0))]
 
 
+def _item() -> Column:
+    """A number of its own for each different row of the benchmark."""
+    return F.xxhash64("item_id", "text")
+
+
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """hash, item_id, item (a number of its own for each row), size, at, n_words and the window's words."""
+    """hash, item, size, at, n_words and the window's words."""
+    shared.bounded_batches(benchmark.sparkSession)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for item_id, item, text in zip(frame["item_id"], frame["item"], frame["text"]):
+            for item, text in zip(frame["item"], frame["text"]):
                 template, value, first, line = _scan([text])
                 n = len(template)
                 size = min(WINDOW, n)
                 for h, good in _windows(template, value, first, line, size) if n else []:
                     at = np.flatnonzero(good)
-                    if not len(at):
-                        continue
-                    yield pd.DataFrame({
-                        "hash": h[at].view(np.int64), "item_id": pd.array([item_id if pd.notna(item_id) else None] * len(at), "Int64"),
-                        "item": item, "size": np.int32(size), "at": at.astype(np.int32), "n_words": np.int32(n),
-                        "slots": [value[i : i + size].view(np.int64).tolist() for i in at],
-                    })
+                    if len(at):
+                        yield pd.DataFrame({
+                            "hash": h[at].view(np.int64), "item": item, "size": np.int32(size), "at": at.astype(np.int32), "n_words": np.int32(n),
+                            "slots": [value[i : i + size].view(np.int64).tolist() for i in at],
+                        })
 
-    numbered = benchmark.select("item_id", "text", F.xxhash64("item_id", "text").alias("item"))
-    return numbered.mapInPandas(run, "hash long, item_id long, item long, size int, at int, n_words int, slots array<long>")
+    once = benchmark.select(_item().alias("item"), "text").dropDuplicates(["item"])
+    return once.mapInPandas(run, "hash long, item long, size int, at int, n_words int, slots array<long>")
 
 
 def _agree(own: np.ndarray, theirs: np.ndarray) -> int:
@@ -222,41 +226,42 @@ class _Items:
     """The benchmark's windows by hash, with a bitmap that sends most windows away."""
 
     def __init__(self, table):
-        rows = table.to_pydict()
-        self.sizes = sorted(set(rows["size"]))
-        self.by_hash: dict[int, list[int]] = {}
-        for i, h in enumerate(rows["hash"]):
-            self.by_hash.setdefault(h, []).append(i)
-        self.rows = rows
+        table = table.sort_by("hash")
+        self.known, self.item, self.size, self.at = (table.column(c).to_numpy() for c in ("hash", "item", "size", "at"))
+        self.sizes = sorted(set(self.size.tolist()))
         self.own: dict[int, np.ndarray] = {}
-        for item, n, at, slots in zip(rows["item"], rows["n_words"], rows["at"], rows["slots"]):
-            self.own.setdefault(item, np.zeros(n, np.uint64))[at : at + len(slots)] = np.array(slots, np.int64).view(np.uint64)
-        self.known = np.array(sorted(self.by_hash), np.int64).view(np.uint64)
-        self.known.sort()
+        words, n_words = table.column("slots").combine_chunks().flatten().to_numpy().view(np.uint64), table.column("n_words").to_numpy()
+        begin = np.cumsum(self.size) - self.size
+        for r, item in enumerate(self.item.tolist()):
+            own = self.own.setdefault(item, np.zeros(n_words[r], np.uint64))
+            own[self.at[r] : self.at[r] + self.size[r]] = words[begin[r] : begin[r] + self.size[r]]
         self.bits = np.zeros(1 << 22, bool)
-        self.bits[(self.known >> np.uint64(42)).astype(np.int64)] = True
+        self.bits[self._bit(self.known)] = True
+
+    @staticmethod
+    def _bit(h: np.ndarray) -> np.ndarray:
+        return (h.view(np.uint64) >> np.uint64(42)).astype(np.int64)
 
     def hits(self, texts) -> Iterator[tuple[int, int, float, int, int]]:
-        """(text, row of one of the item's windows, coverage, slots, changed slots) for each item found in a text."""
+        """(text, item, coverage, slots, changed slots) for each item found in a text."""
         template, value, first, line = _scan(texts)
         found: dict[tuple[int, int], tuple[array, array, int]] = {}
         for size, (h, good) in ((size, x) for size in self.sizes for x in _windows(template, value, first, line, size)):
-            maybe = np.flatnonzero(good & self.bits[(h >> np.uint64(42)).astype(np.int64)])
-            maybe = maybe[np.isin(h[maybe], self.known)]
+            h = h.view(np.int64)
+            maybe = np.flatnonzero(good & self.bits[self._bit(h)])
+            low, high = (np.searchsorted(self.known, h[maybe], side=side) for side in ("left", "right"))
             text = np.searchsorted(first, maybe, side="right") - 1
-            for d, i in zip(text.tolist(), maybe.tolist()):
-                for r in self.by_hash[int(h[i : i + 1].view(np.int64)[0])]:
-                    if self.rows["size"][r] == size:
-                        at, place, _ = found.setdefault((d, self.rows["item"][r]), (array("q"), array("q"), r))
-                        at.append(self.rows["at"][r])
+            some = np.flatnonzero(low < high)
+            for d, i, j, k in zip(text[some].tolist(), maybe[some].tolist(), low[some].tolist(), high[some].tolist()):
+                for r in range(j, k):
+                    if self.size[r] == size:
+                        at, place, _ = found.setdefault((d, int(self.item[r])), (array("q"), array("q"), size))
+                        at.append(int(self.at[r]))
                         place.append(i)
-        for (d, item), (at, place, r) in found.items():
-            coverage, slots, changed, bad = judge(np.array(at), np.array(place), self.rows["size"][r], self.own[item], value)
+        for (d, item), (at, place, size) in found.items():
+            coverage, slots, changed, bad = judge(np.array(at), np.array(place), size, self.own[item], value)
             if bad:
-                yield d, r, coverage, slots, changed
-
-
-_RESULT = "doc_id long, item_id long, coverage double, n_slots int, n_changed int"
+                yield d, item, coverage, slots, changed
 
 
 def _small(windows: DataFrame, bound: int):
@@ -266,28 +271,29 @@ def _small(windows: DataFrame, bound: int):
     return windows.sparkSession.sparkContext.broadcast(_Items(windows.toArrow()))
 
 
+_FOUND = ["item", "coverage", "n_slots", "n_changed"]
+
+
 def find(docs: DataFrame, benchmark: DataFrame, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
     """doc_id, item_id, coverage, n_slots, n_changed (slots whose value is another) for each item in a document."""
     windows = benchmark_windows(benchmark)
     items = _small(windows, broadcast_windows)
     if items is None:
-        return _find_by_join(_rows(docs), windows).select("doc_id", "item_id", "coverage", "n_slots", "n_changed")
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            texts, ids, out = frame["text"].tolist(), frame["doc_id"], []
-            for a, b in pieces(texts):
-                for d, r, coverage, slots, changed in items.value.hits(texts[a:b]):
-                    i = ids.iloc[a + d]
-                    out.append((None if pd.isna(i) else int(i), items.value.rows["item_id"][r], coverage, slots, changed))
-            yield _frame(out)
-
-    return docs.select("doc_id", "text").mapInPandas(run, _RESULT)
-
-
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    out = pd.DataFrame.from_records(rows, columns=["doc_id", "item_id", "coverage", "n_slots", "n_changed"])
-    return out.astype({"doc_id": "Int64", "item_id": "Int64", "coverage": "float64", "n_slots": "int32", "n_changed": "int32"})
+        found = _find_by_join(_rows(docs.select("doc_id", "text")), windows)
+    else:
+        @F.pandas_udf("array<struct<item: long, coverage: double, n_slots: int, n_changed: int>>")
+        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for batch in batches:
+                texts = batch.tolist()
+                out: list[list[dict]] = [[] for _ in texts]
+                for a, b in pieces(texts):
+                    for d, *hit in items.value.hits(texts[a:b]):
+                        out[a + d].append(dict(zip(_FOUND, hit)))
+                yield pd.Series(out, dtype=object)
+
+        found = docs.select("doc_id", F.explode(run("text")).alias("_f")).select("doc_id", "_f.*")
+    ids = benchmark.select("item_id", _item().alias("item"))
+    return found.join(ids, "item").select("doc_id", "item_id", "coverage", "n_slots", "n_changed")
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -315,7 +321,7 @@ def _find_by_join(rows: DataFrame, windows: DataFrame) -> DataFrame:
     mine = rows.select("_row", "text").mapInPandas(cut, "hash long, _row string, place long, theirs array<long>")
     joined = mine.join(windows, "hash")
     grouped = joined.groupBy("_row", "item").agg(
-        F.collect_list(F.struct("at", "place", "slots", "theirs")).alias("m"), F.first("n_words").alias("n_words"), F.first("item_id").alias("item_id")
+        F.collect_list(F.struct("at", "place", "slots", "theirs")).alias("m"), F.first("n_words").alias("n_words"),
     )
 
     @F.pandas_udf("coverage double, n_slots int, n_changed int, bad boolean")
@@ -330,23 +336,26 @@ def _find_by_join(rows: DataFrame, windows: DataFrame) -> DataFrame:
             rows.append(judge(at, place, size, own, theirs))
         return pd.DataFrame(rows, columns=["coverage", "n_slots", "n_changed", "bad"])
 
-    found = grouped.withColumn("d", decide("m", "n_words")).where("d.bad").select("_row", "item_id", "d.coverage", "d.n_slots", "d.n_changed")
-    return rows.select("_row", "doc_id").join(found, "_row")
+    found = grouped.withColumn("d", decide("m", "n_words")).where("d.bad").select("_row", "item", "d.coverage", "d.n_slots", "d.n_changed")
+    return rows.drop("text").join(found, "_row")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
     """docs that hold no item of the benchmark."""
     windows = benchmark_windows(benchmark)
     items = _small(windows, broadcast_windows)
+    held = docs.select(F.struct("*").alias("_doc"), "text")
     if items is None:
-        rows = _rows(docs)
-        return rows.join(_find_by_join(rows, windows).select("_row").distinct(), "_row", "left_anti").select(*docs.columns)
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            texts, clean = frame["text"].tolist(), np.ones(len(frame), bool)
+        rows = _rows(held)
+        return rows.join(_find_by_join(rows, windows).select("_row").distinct(), "_row", "left_anti").select("_doc.*")
+
+    @F.pandas_udf("boolean")
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            texts = batch.tolist()
+            out = np.ones(len(texts), bool)
             for a, b in pieces(texts):
-                clean[[a + hit[0] for hit in items.value.hits(texts[a:b])]] = False
-            yield frame[clean]
+                out[[a + hit[0] for hit in items.value.hits(texts[a:b])]] = False
+            yield pd.Series(out)
 
-    return docs.mapInPandas(run, docs.schema)
+    return held.where(clean("text")).select("_doc.*")

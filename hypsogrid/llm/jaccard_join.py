@@ -3,9 +3,10 @@
 Texts with equal shingle sets form a class and go on as one. A class carries COORDINATES min-hash values, an
 embedding in which two sets agree on each coordinate with the probability of their similarity. Every node of
 the path tree chooses each coordinate with probability 1 / (similarity * COORDINATES), the same for all its
-sets, and splits its sets by their value there; so a pair at the threshold is expected in one child. Nodes of
-at most LEAF sets, and nodes at the last level, are compared by brute force: larger ones in cells of two
-blocks each, spread over tasks. Runs are repeated until a pair at the threshold is met with TARGET_RECALL.
+sets, and splits its sets by their value there; so a pair at the threshold is expected in one child. Nodes are
+split again until they hold at most LEAF sets, or LEVELS times, as sets that are nearly equal never part; then
+they are compared by brute force, larger ones in cells of two blocks each, spread over tasks. Runs are repeated
+until a pair at the threshold is met with TARGET_RECALL, were all its nodes split LEVELS times.
 
 Sets that meet are compared by one byte of each coordinate first; pairs clearly above SKETCH_LEAST of the
 threshold tie candidate groups together, and within a group, again in cells of two blocks, all pairs are
@@ -15,7 +16,7 @@ Words are runs of bytes other than space and \\x09-\\x0D, A-Z lowered. A text of
 shingle, all of it.
 
 Edge cases: NULL texts and texts without words are like nothing and stay alone; equal rows count as links of
-each other; NULL doc_id is a row like any other, and class_id is NULL where a group has no other; texts of any
+each other; doc_id may be of any type that has an order, NULL is a row like any other, and class_id is NULL where a group has no other; texts of any
 length take part whole; an empty table gives no rows; clashing names among other columns are kept apart.
 """
 
@@ -37,7 +38,7 @@ from .words import _MULTIPLIER, mix, pieces, words
 SHINGLE = 5
 SIMILARITY = 0.8
 COORDINATES = 128
-LEVELS = 2
+LEVELS = 4
 LEAF = 256
 #: Rows of a block where sketches are compared, and where whole sets are.
 SKETCH_BLOCK, SET_BLOCK = 1024, 256
@@ -87,20 +88,20 @@ def _signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _embed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        texts, ids, digests = frame["text"].tolist(), frame["doc_id"], frame["digest"]
+def _embed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    """The digest of each text's shingle set and its min-hash values; NULL without words."""
+    for batch in batches:
+        texts = batch.tolist()
+        keys: list = [None] * len(texts)
+        signs: list = [None] * len(texts)
         for a, b in pieces(texts):
             sets = list(shingle_sets(texts[a:b]))
             some = [i for i, s in enumerate(sets) if len(s)]
-            keys: list = [None] * len(sets)
-            signs: list = [None] * len(sets)
             if some:
-                found = _signatures([sets[i] for i in some])
-                for i, s in zip(some, found):
-                    keys[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest()
-                    signs[i] = s.tobytes()
-            yield pd.DataFrame({"doc_id": ids.iloc[a:b].astype("Int64").values, "digest": digests.iloc[a:b].values, "key": keys, "sign": signs})
+                for i, s in zip(some, _signatures([sets[i] for i in some])):
+                    keys[a + i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest()
+                    signs[a + i] = s.tobytes()
+        yield pd.DataFrame({"key": keys, "sign": signs})
 
 
 def runs_for(recall: float, levels: int = LEVELS) -> int:
@@ -286,8 +287,10 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = TARGET
     words). classes: key, copies, first_id, component, group_id (smallest doc_id of all texts linked, however indirectly),
     n_texts (other classes linked), n_linked (documents in those)."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    taken = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.md5(text).alias("digest"))
-    rows = shared.keep(taken.mapInPandas(_embed, "doc_id long, digest string, key binary, sign binary"), "jaccard-rows")
+    shared.bounded_batches(docs.sparkSession)
+    taken = docs.select("doc_id", text.alias("text"), F.md5(text).alias("digest"))
+    embed = F.pandas_udf(_embed, "key binary, sign binary")
+    rows = shared.keep(taken.select("doc_id", "digest", embed("text").alias("_e")).select("doc_id", "digest", "_e.key", "_e.sign"), "jaccard-rows")
     by_key = rows.where("key is not null").groupBy("key").agg(
         F.count(F.lit(1)).alias("copies"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("r"), F.first("sign").alias("sign")
     )
@@ -312,12 +315,14 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = TARGET
     at = signs.mapInPandas(first, "node long, key binary")
     for level in range(levels):
         at = shared.keep(at, "jaccard-paths")
-        sizes = at.groupBy("node").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+        sizes = shared.keep(at.groupBy("node").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "jaccard-nodes")
         met = at.join(sizes, "node")
         small = met if level == levels - 1 else met.where(F.col("_n") <= leaf)
         leaves = small if leaves is None else leaves.unionByName(small)
-        if level < levels - 1:
-            at = met.where(F.col("_n") > leaf).join(signs, "key").select("node", "key", "sign").mapInPandas(deeper, "node long, key binary")
+        large = sizes.where(F.col("_n") > leaf)
+        if level == levels - 1 or large.isEmpty():
+            break
+        at = at.join(large, "node").join(signs, "key").select("node", "key", "sign").mapInPandas(deeper, "node long, key binary")
 
     def sketched(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

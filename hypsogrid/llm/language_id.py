@@ -23,6 +23,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from . import shared
+from .words import pieces
+
 ROWS_PER_LANGUAGE = 400
 CHUNK, CONTEXT = 192, 16
 HIDDEN = 8
@@ -196,37 +199,33 @@ def train(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> ByteGR
     labels = sorted(rows["lang"].unique())
     chunks, length, text = cut(rows["passage"].tolist())
     label = np.searchsorted(labels, rows["lang"].to_numpy()[text])
-    return ByteGRU(labels).fit(chunks(0, len(text)), length, label, max(EPOCHS, -(-LEAST_STEPS * BATCH_CHUNKS // len(text))))
+    steps = -(-len(text) // BATCH_CHUNKS)  # of one pass
+    return ByteGRU(labels).fit(chunks(0, len(text)), length, label, max(EPOCHS, -(-LEAST_STEPS // steps)))
 
 
 def predict(docs: DataFrame, model: ByteGRU | None) -> DataFrame:
-    """docs with lang_pred and score."""
-    columns = [c for c in docs.columns if c not in ("lang_pred", "score", "_letters")]
-    chosen = docs.select(*columns)
+    """docs with lang_pred and score. Only texts go to Python."""
+    columns = [c for c in docs.columns if c not in ("lang_pred", "score")]
     if model is None:
-        return chosen.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
+        return docs.select(*columns, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    shared.bounded_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.drop("text").schema) + ", lang_pred string, score double"
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("lang_pred string, score double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = held.value
         names = np.array(m.labels, object)
-        for frame in frames:
-            letters = frame.pop("_letters").to_numpy(bool)
-            texts = [t if ok else "" for t, ok in zip(frame.pop("text"), letters)]
-            label, score = np.full(len(frame), UNKNOWN, object), np.zeros(len(frame))
-            at = n = 0
-            for i, t in enumerate(texts, 1):
-                n += len(t)
-                if n >= 1 << 21 or i == len(texts):
-                    p = m.probabilities(texts[at:i])
-                    best, ok = p.argmax(1), letters[at:i]
-                    label[at:i][ok], score[at:i][ok] = names[best[ok]], p.max(1)[ok]
-                    at, n = i, 0
-            frame["lang_pred"], frame["score"] = label, np.clip(score, 0, 1)
-            yield frame
-
-    return chosen.withColumn("_letters", _letters()).mapInPandas(run, schema)
+        for batch in batches:
+            texts = batch.tolist()
+            label, score = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
+            for a, b in pieces(texts, 1 << 21):
+                p = m.probabilities([t or "" for t in texts[a:b]])
+                best, ok = p.argmax(1), np.array([bool(t) for t in texts[a:b]])
+                label[a:b][ok], score[a:b][ok] = names[best[ok]], p.max(1)[ok]
+            yield pd.DataFrame({"lang_pred": label, "score": np.clip(score, 0, 1)})
+
+    with_letters = F.when(_letters(), F.col("text"))
+    return docs.select(*columns, run(with_letters).alias("_p")).select(*columns, "_p.lang_pred", "_p.score")
 
 
 def identify(docs: DataFrame) -> DataFrame:

@@ -107,22 +107,24 @@ def apply_policy(kept_ledger: DataFrame, version: str = CURRENT) -> DataFrame:
 
 
 def ablation(kept_ledger: DataFrame, version: str = CURRENT) -> DataFrame:
-    """For each rule of a policy: documents that fail it, that fail only it (and would be kept without it), and what is left with all rules.
+    """For each rule of a policy: documents that fail it, that fail only it (and would be kept without it), what is
+    left with all rules, and the bits of all rules that fail together with it.
 
     Bit patterns are counted first: at most 2**rules rows, whatever the input.
     """
     rules = POLICIES[version]
     all_bits = F.lit(mask(rules)).cast("long")
     patterns = kept_ledger.groupBy(F.col("fail_bits").bitwiseAND(all_bits).alias("bits")).agg(F.count(F.lit(1)).alias("n"))
-    each = patterns.select("*", F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), F.lit(mask((r,))).cast("long").alias("bit")) for r in rules))).alias("r"))
-    each = each.select("bits", "n", "r.*")
-    counted = each.groupBy("rule", "bit").agg(
-        F.sum(F.when(F.col("bits").bitwiseAND(F.col("bit")) != 0, F.col("n")).otherwise(0)).alias("n_failed"),
-        F.sum(F.when(F.col("bits") == F.col("bit"), F.col("n")).otherwise(0)).alias("n_only"),
-        F.sum(F.when(F.col("bits") == 0, F.col("n")).otherwise(0)).alias("n_kept"),
-        F.expr("bit_or(bits)").alias("seen_bits"),
-    )
-    return counted.select("rule", "n_failed", "n_only", (F.col("n_kept") + F.col("n_only")).alias("n_kept_without"), "n_kept", "seen_bits")
+    total = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)).cast("long")
+    bit = {r: F.lit(mask((r,))).cast("long") for r in rules}
+    counted = patterns.agg(  # one row, of an empty ledger too
+        total(F.col("bits") == 0).alias("n_kept"),
+        F.array(*(F.struct(
+            F.lit(r).alias("rule"), total(F.col("bits").bitwiseAND(bit[r]) != 0).alias("n_failed"), total(F.col("bits") == bit[r]).alias("n_only"),
+            F.coalesce(F.bit_or(F.when(F.col("bits").bitwiseAND(bit[r]) != 0, F.col("bits"))), F.lit(0).cast("long")).alias("failed_with"),
+        ) for r in rules)).alias("each"),
+    ).select("n_kept", F.inline("each"))
+    return counted.select("rule", "n_failed", "n_only", (F.col("n_kept") + F.col("n_only")).alias("n_kept_without"), "n_kept", "failed_with")
 
 
 def judge_documents(docs: DataFrame, version: str = CURRENT) -> DataFrame:

@@ -36,7 +36,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_documents(table(spark, sf_dir, "documents"))
 
 
-ORACLES |= {"op7_perspective_rotation": chat.ORACLE, "op8_quality_rules": quality_rules.ORACLE}
+ORACLES |= {"op6_warc_revisits": warc.ORACLE, "op7_perspective_rotation": chat.ORACLE, "op8_quality_rules": quality_rules.ORACLE}
 
 
 @query

@@ -1,18 +1,24 @@
 """WARC archives with revisits: one response per payload, other captures of it as revisit records.
 
 `write_archive` writes records as gzip files of at most RECORDS_PER_FILE; `read_archive` parses them by
-Content-Length. `deduplicate` reads an archive's headers, shuffles them by payload digest, resolves each
-group of equal payloads to its first capture, joins the decisions to the records by place in the archive, and
-writes a new archive: responses whole, revisits with headers of their own and no payload.
+Content-Length, with size and digest of each payload as read. `deduplicate` reads an archive's headers, shuffles
+them by payload digest, resolves each group of equal payloads to its first response, joins the decisions to the
+records by place in the archive, and writes a new archive: responses whole, revisits with headers of their own and
+no payload. `with_payloads` joins the revisits of an archive to their original responses' payloads.
 
 Edge cases: a NULL payload is empty; payloads below `min_payload_bytes` stay responses; among captures with
 one page_id the first in the archive is the response; a NULL page_id comes after all others; NULL url is
-written as `urn:unknown`; an empty table gives empty archives; other columns are not read. A payload may hold
-anything, record marks included.
+written as `urn:unknown`, a line end or white space around a url is left out; revisits of the source stay
+revisits, of the first response with their digest, or as they are if there is none; a record id is made of the
+page's number and of a hash of its url and payload, so pages that share a number have records of their own, and
+only equal rows share one; a payload that does not match its header's digest or size fails the read; an empty
+table gives empty archives; other columns are not read. A payload may hold anything, record marks included.
 """
 
 from __future__ import annotations
 
+import base64
+import hashlib
 import zlib
 from collections.abc import Iterator
 
@@ -52,9 +58,10 @@ def _record(kind: str, page_id: Column, url: Column, digest: Column, n_bytes: Co
     if refers_to is not None:
         more = F.concat(F.lit(f"{CRLF}WARC-Profile: {_PROFILE}{CRLF}WARC-Refers-To: <urn:page-response:"), text(refers_to), F.lit(">"))
     length = F.octet_length(http) + (n_bytes if payload is not None else F.lit(0))
+    own = F.hex(F.xxhash64(url, digest))
     head = F.concat(
-        F.lit(f"WARC/1.1{CRLF}WARC-Type: {kind}{CRLF}WARC-Record-ID: <urn:page-{kind}:"), text(page_id),
-        F.lit(f">{CRLF}WARC-Target-URI: "), F.coalesce(F.regexp_replace(url, r"[\r\n]", ""), F.lit("urn:unknown")),
+        F.lit(f"WARC/1.1{CRLF}WARC-Type: {kind}{CRLF}WARC-Record-ID: <urn:page-{kind}:"), own, F.lit(":"), text(page_id),
+        F.lit(f">{CRLF}WARC-Target-URI: "), F.coalesce(F.trim(F.regexp_replace(url, r"[\r\n]", "")), F.lit("urn:unknown")),
         F.lit(f"{CRLF}WARC-Date: 2024-01-01T00:00:00Z{CRLF}WARC-Payload-Digest: sha1:"), digest, more,
         F.lit(f"{CRLF}Content-Type: application/http; msgtype=response{CRLF}Content-Length: "), length.cast("string"), F.lit(CRLF * 2),
     )
@@ -134,10 +141,12 @@ def parse(file: str, packed: bytes, with_payload: bool) -> Iterator[tuple]:
         block = stream.take(int(f["content-length"]))
         stream.take(4)
         http, _, payload = block.partition(b"\r\n\r\n")
-        row = (
-            file, at, f["warc-type"], f["warc-record-id"], _number(f["warc-record-id"]), f["warc-target-uri"],
-            f["warc-payload-digest"].partition(":")[2], int(_fields(http)["content-length"]), _number(f.get("warc-refers-to")),
-        )
+        digest, size = f["warc-payload-digest"].partition(":")[2], int(_fields(http)["content-length"])
+        if f["warc-type"] == "response":
+            found = base64.b32encode(hashlib.sha1(payload).digest()).decode(), len(payload)
+            if found != (digest, size):
+                raise ValueError(f"{file}: the payload at {at} is not what its header says: {found}, {digest}, {size}")
+        row = (file, at, f["warc-type"], f["warc-record-id"], _number(f["warc-record-id"]), f["warc-target-uri"], digest, size, _number(f.get("warc-refers-to")))
         yield (*row, payload.decode("utf-8")) if with_payload else row
 
 
@@ -171,13 +180,14 @@ def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
 def resolve(headers: DataFrame, min_payload_bytes: int = 0) -> DataFrame:
     """file, offset, is_response, first_id: each record's role among those of equal payload."""
     order = F.struct(F.col("page_id").isNull(), F.col("page_id"), F.col("file"), F.col("offset"))
-    large = headers.where(F.col("payload_bytes") >= min_payload_bytes)
-    first = large.groupBy("payload_digest").agg(F.min(order).alias("_first"))
-    joined = headers.select("payload_digest", "payload_bytes", "file", "offset").join(first, "payload_digest", "left")
+    original = F.col("record_type") == "response"
+    first = headers.where(original & (F.col("payload_bytes") >= min_payload_bytes)).groupBy("payload_digest").agg(F.min(order).alias("_first"))
+    joined = headers.select("record_type", "payload_digest", "payload_bytes", "file", "offset", "refers_to").join(first, "payload_digest", "left")
     own = F.col("_first").isNull() | (F.col("payload_bytes") < min_payload_bytes) | (
         (F.col("_first.file") == F.col("file")) & (F.col("_first.offset") == F.col("offset"))
     )
-    return joined.select("file", "offset", own.alias("is_response"), F.col("_first.page_id").alias("first_id"))
+    first_id = F.when(F.col("_first").isNull(), F.col("refers_to")).otherwise(F.col("_first.page_id"))
+    return joined.select("file", "offset", (original & own).alias("is_response"), first_id.alias("first_id"))
 
 
 def deduplicate(spark: SparkSession, source: str, target: str, min_payload_bytes: int = 0) -> None:
@@ -192,10 +202,26 @@ def deduplicate(spark: SparkSession, source: str, target: str, min_payload_bytes
     write_archive(joined.select(value.alias("value")), target)
 
 
+def with_payloads(records: DataFrame) -> DataFrame:
+    """Records read with payloads; a revisit gets the payload of the response with its digest, NULL if there is none."""
+    originals = records.where("record_type = 'response'").groupBy("payload_digest").agg(F.first("payload").alias("_payload"))
+    payload = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.col("_payload"))
+    return records.join(originals, "payload_digest", "left").withColumn("payload", payload).drop("_payload")
+
+
 def archive_pages(pages: DataFrame, min_payload_bytes: int = 0) -> DataFrame:
     """Writes pages as an archive, deduplicates it, reads the result back: one row per page."""
     spark = pages.sparkSession
+    shared.bounded_batches(spark)
     raw, slim = shared.folder(spark, "warc-raw"), shared.folder(spark, "warc")
     write_pages(pages, raw)
     deduplicate(spark, raw, slim, min_payload_bytes)
-    return read_archive(spark, slim).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id", "target_uri")
+    return read_archive(spark, slim).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "target_uri")
+
+
+#: SHA-1 in base32: 8 groups of 5 hex digits, 4 letters each.
+ORACLE = """with p as (select page_id, coalesce(html, '') as html, coalesce(trim(regexp_replace(url, '[\\r\\n]', '', 'g')), 'urn:unknown') as target_uri from pages),
+h as (select *, octet_length(encode(html)) as n, sha1(html) as x, min(page_id) over (partition by html) as first from p),
+g as (select *, [cast(concat('0x', x[5 * k + 1 : 5 * k + 5]) as bigint) for k in range(0, 8)] as v from h)
+select page_id, n as payload_bytes, array_to_string([array_to_string([('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567')[((y >> s) & 31) + 1] for s in [15, 10, 5, 0]], '') for y in v], '') as payload_digest,
+  case when page_id = first then 'response' else 'revisit' end as record_type, case when page_id <> first then first end as refers_to, target_uri from g"""

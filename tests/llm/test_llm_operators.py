@@ -191,11 +191,25 @@ def test_languages_held_out(spark, sf_dir):
 
 
 def test_warc_revisits(spark):
-    pages = spark.createDataFrame([(3, "u3", "x"), (1, "u1", "x"), (2, None, None), (5, "u5", "WARC/1.1\r\n\r\n"), (4, "u4", "")], "page_id long, url string, html string")
-    got = {r["page_id"]: r for r in warc.archive_pages(pages).collect()}
-    assert {k: (r["record_type"], r["refers_to"]) for k, r in got.items()} == {
-        1: ("response", None), 3: ("revisit", 1), 2: ("response", None), 4: ("revisit", 2), 5: ("response", None)}
-    assert got[3]["payload_digest"] == base64.b32encode(hashlib.sha1(b"x").digest()).decode()
+    rows = [(3, "u3", "x"), (1, "u1", "x"), (2, None, None), (5, "u5", "WARC/1.1\r\n\r\n"), (4, "u4", ""), (None, " u6 ", "x"), (1, "u7", "y"), (6, "u8", "y"), (6, "u8", "y")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("file", F.lit("clash")).withColumn("payload", F.lit(1))
+    found = warc.archive_pages(pages).collect()
+    got = sorted(((r["page_id"], r["record_type"], r["refers_to"]) for r in found), key=str)
+    assert got == sorted([(1, "response", None), (1, "response", None), (2, "response", None), (3, "revisit", 1), (4, "revisit", 2), (5, "response", None),
+                          (None, "revisit", 1), (6, "revisit", 1), (6, "revisit", 1)], key=str)
+    assert {r["payload_digest"] for r in found if r["page_id"] == 3} == {base64.b32encode(hashlib.sha1(b"x").digest()).decode()}
+    assert warc.archive_pages(pages.limit(0)).collect() == []
+
+
+def test_warc_revisits_of_an_earlier_crawl(spark, tmp_path):
+    """An archive that already holds revisits is resolved again; payloads come back by digest."""
+    a, b, c = (f"file://{tmp_path}/{x}" for x in "abc")
+    warc.write_pages(spark.createDataFrame([(1, "u1", "x"), (2, "u2", "x"), (3, "u3", "z")], "page_id long, url string, html string"), a)
+    warc.deduplicate(spark, a, b)
+    warc.deduplicate(spark, b, c)
+    ends = warc.with_payloads(warc.read_archive(spark, c, with_payload=True)).collect()
+    assert sorted((r["page_id"], r["record_type"], r["refers_to"], r["payload"]) for r in ends if r["refers_to"] is None) == [(1, "response", None, "x"), (3, "response", None, "z")]
+    assert [(r["page_id"], r["refers_to"], r["payload"]) for r in ends if r["record_type"] == "revisit"] == [(2, 1, "x")]
 
 
 def test_decontamination_of_another_parameter(spark):
@@ -250,6 +264,11 @@ def test_shards(spark):
     assert all(sorted(x) == list(range(len(x))) for x in by.values())
 
 
+def test_ablation_of_nothing(spark):
+    rows = quality_rules.ablation(quality_rules.ledger(docs_of(spark, []))).collect()
+    assert {r["rule"] for r in rows} == set(quality_rules.RULES) and all(r["n_failed"] == r["n_only"] == r["n_kept"] == r["n_kept_without"] == 0 for r in rows)
+
+
 def test_ablation(spark):
     led = quality_rules.ledger(docs_of(spark, [(1, "few words", "en"), (2, "good " + " ".join(f"word{i}" for i in range(80)), "en")]))
     got = {r["rule"]: r for r in quality_rules.ablation(led).collect()}
@@ -292,8 +311,22 @@ def test_quality_threshold_is_a_quantile(spark):
 
 
 def test_rotation_of_turns_that_tie(spark):
-    turns = spark.createDataFrame([(1, 0, "a", "x"), (1, 0, "b", "y"), (1, 1, "system", None), (None, 0, None, "z")], "conv_id long, turn int, role string, text string")
-    assert sorted((r["conv_id"] or 0, r["perspective"]) for r in chat.perspective_rows(turns).collect()) == [(0, "unknown"), (1, "a"), (1, "b")]
+    turns = spark.createDataFrame(
+        [(1, 0, "a", "x"), (1, 0, "b", "y"), (1, 0, "b", "y"), (1, 1, "system", None), (None, 0, None, "z"), (None, 0, "q|>", "<|end|>"), (3, None, "system", "s")],
+        "conv_id long, turn int, role string, text string").withColumn("part", F.lit(1)).withColumn("said", F.lit("clash"))
+    rows = {(r["conv_id"], r["perspective"]): r for r in chat.perspective_rows(turns).collect()}
+    assert sorted(rows, key=str) == sorted([(1, "a"), (1, "b"), (None, "unknown"), (None, "q| >")], key=str)
+    assert rows[1, "b"]["n_turns"] == 4 and rows[1, "b"]["n_own_turns"] == 2
+    assert rows[None, "q| >"]["text"] == "<|assistant|>\n< |end|><|end|>\n"
+    assert chat.perspective_rows(turns.limit(0)).collect() == []
+
+
+def test_rotation_of_a_long_dialogue(spark):
+    turns = spark.range(2000).selectExpr("7L as conv_id", "id as turn", "case when id = 0 then 'system' when id % 2 = 0 then 'a' else 'b' end as role", "concat('t', id) as text")
+    for r in chat.perspectives(turns).collect():
+        own = [r["text"][s["start"] : s["end"]] for s in r["spans"]]
+        assert own == [f"t{i}<|end|>\n" for i in range(1, 2000) if (i % 2 == 0) == (r["perspective"] == "a")]
+        assert r["text"].startswith("<|system|>\nt0<|end|>\n") and r["n_turns"] == 2000
 
 
 def test_pipeline_stages(spark, sf_dir):

@@ -34,7 +34,7 @@ from . import shared
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Pre-tokens of each of two generations that a worker keeps with their ids, some 200 bytes each, and the longest
 #: one kept, in characters.
-CACHED, CACHED_LENGTH = 400_000, 40
+CACHED, CACHED_LENGTH = 300_000, 40
 
 
 _WIDTH = 256  # bits of a bitmap word; Python's integers make find-first-set one operation
@@ -230,12 +230,21 @@ def encode_documents(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame
 
 
 def round_trip(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """Digests of each document's ids and of the bytes that they decode to."""
-    done = encode_documents(docs.select("doc_id", "text"), vocabulary).select("doc_id", "ids")
-    done = done.withColumn("_bytes", decode_column(F.col("ids"), vocabulary))
+    """Digests of each document's ids and of the bytes that they decode to. One worker encodes and decodes a text."""
+    shared.bounded_batches(docs.sparkSession)
+
+    @F.pandas_udf("ids binary, bytes binary")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        path = public_tokenizers.path(vocabulary)
+        encoder, decoder = _encoder(path), _decoder(path)
+        for batch in batches:
+            ids = batch.map(encoder.encode)
+            yield pd.DataFrame({"ids": ids, "bytes": ids.map(decoder.decode)})
+
+    done = docs.select("doc_id", both(F.coalesce(F.col("text"), F.lit(""))).alias("_b")).select("doc_id", "_b.*")
     return done.select(
         "doc_id",
         F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("_bytes", 256).alias("decoded_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
     )

@@ -4,9 +4,10 @@ Texts with equal shingle sets form a class and go on as one. A class carries COO
 embedding in which two sets agree on each coordinate with the probability of their similarity. Every node of
 the path tree chooses each coordinate with probability 1 / (similarity * COORDINATES), the same for all its
 sets, and splits its sets by their value there; so a pair at the threshold is expected in one child. Nodes are
-split again until they hold at most LEAF sets, or LEVELS times, as sets that are nearly equal never part; then
-they are compared by brute force, larger ones in cells of two blocks each, spread over tasks. Runs are repeated
-until a pair at the threshold is met with TARGET_RECALL, were all its nodes split LEVELS times.
+split again until they hold at most LEAF sets or more than half of their parent's, as sets that are nearly equal
+never part, or LEVELS times; then they are compared by brute force, larger ones in cells of two blocks each,
+spread over tasks. Runs are repeated until a pair at the threshold is met with TARGET_RECALL, were all its nodes
+split LEVELS times.
 
 Sets that meet are compared by one byte of each coordinate first; pairs clearly above SKETCH_LEAST of the
 threshold tie candidate groups together, and within a group, again in cells of two blocks, all pairs are
@@ -308,21 +309,22 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = TARGET
     def deeper(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             row, node = _children(frame["node"].to_numpy().view(np.uint64), _signs(frame["sign"]), similarity)
-            yield pd.DataFrame({"node": node.view(np.int64), "key": frame["key"].to_numpy()[row]})
+            yield pd.DataFrame({"node": node.view(np.int64), "key": frame["key"].to_numpy()[row], "parent_n": frame["_n"].to_numpy()[row]})
 
     signs = classes.select("key", "sign")
     leaves = None
-    at = signs.mapInPandas(first, "node long, key binary")
-    for level in range(levels):
+    at = signs.mapInPandas(first, "node long, key binary").withColumn("parent_n", F.lit(1 << 62))
+    for level in range(1, levels + 1):
         at = shared.keep(at, "jaccard-paths")
-        sizes = shared.keep(at.groupBy("node").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "jaccard-nodes")
-        met = at.join(sizes, "node")
-        small = met if level == levels - 1 else met.where(F.col("_n") <= leaf)
+        sizes = at.groupBy("node").agg(F.count(F.lit(1)).alias("_n"), F.first("parent_n").alias("parent_n")).where("_n > 1")
+        split = (F.col("_n") > leaf) & (2 * F.col("_n") <= F.col("parent_n")) & F.lit(level < levels)
+        sizes = shared.keep(sizes.select("node", "_n", split.alias("split")), "jaccard-nodes")
+        met = at.drop("parent_n").join(sizes, "node")
+        small = met.where("not split").drop("split")
         leaves = small if leaves is None else leaves.unionByName(small)
-        large = sizes.where(F.col("_n") > leaf)
-        if level == levels - 1 or large.isEmpty():
+        if sizes.where("split").isEmpty():
             break
-        at = at.join(large, "node").join(signs, "key").select("node", "key", "sign").mapInPandas(deeper, "node long, key binary")
+        at = met.where("split").join(signs, "key").select("node", "key", "_n", "sign").mapInPandas(deeper, "node long, key binary, parent_n long")
 
     def sketched(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

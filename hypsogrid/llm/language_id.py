@@ -218,7 +218,7 @@ def predict(docs: DataFrame, model: ByteGRU | None) -> DataFrame:
         for batch in batches:
             texts = batch.tolist()
             label, score = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
-            for a, b in pieces(texts, 1 << 21):
+            for a, b in pieces(texts, 1 << 20):
                 p = m.probabilities([t or "" for t in texts[a:b]])
                 best, ok = p.argmax(1), np.array([bool(t) for t in texts[a:b]])
                 label[a:b][ok], score[a:b][ok] = names[best[ok]], p.max(1)[ok]

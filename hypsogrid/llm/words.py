@@ -74,7 +74,7 @@ def words(texts, lower: bool = False) -> Words:
     return Words(raw, start, end, first, h)
 
 
-def pieces(texts, size: int = 1 << 20):
+def pieces(texts, size: int = 1 << 18):
     """Ranges of texts of about `size` characters, so that arrays of a batch stay small."""
     at = n = 0
     for i, t in enumerate(texts):

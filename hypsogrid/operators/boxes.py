@@ -39,9 +39,10 @@ def range_union(a: Column, b: Column) -> Column:
     return F.struct(*lo, *(F.greatest(a[n], b[n]).alias(n) for n in RANGE[2:]))
 
 
-def window_intersection(a: Column, b: Column) -> Column:
-    left, top = F.greatest(a["col_min"], b["col_min"]), F.greatest(a["row_min"], b["row_min"])
-    right = F.least(a["col_min"] + a["width"], b["col_min"] + b["width"])
-    bottom = F.least(a["row_min"] + a["height"], b["row_min"] + b["height"])
-    window = F.struct(left.alias("col_min"), top.alias("row_min"), (right - left).alias("width"), (bottom - top).alias("height"))
-    return F.when((left < right) & (top < bottom), window)
+def range_contains(a: Column, b: Column) -> Column:
+    return (a["col_min"] <= b["col_min"]) & (a["row_min"] <= b["row_min"]) & (a["col_max"] >= b["col_max"]) & (a["row_max"] >= b["row_max"])
+
+
+def close(a: Column, b: Column, absolute: float = 0.0, relative: float = 0.0) -> Column:
+    """Equal but for a tolerance."""
+    return F.abs(a - b) <= F.greatest(F.lit(absolute), relative * F.greatest(F.abs(a), F.abs(b)))

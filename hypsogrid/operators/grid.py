@@ -61,6 +61,11 @@ class TileGrid:
         )
 
 
+def transform_of(bounds: Column, resolution: float) -> Column:
+    """The affine terms (a, c, e, f) of a north-up raster of these bounds."""
+    return F.struct(F.lit(resolution).alias("a"), bounds["west"].alias("c"), F.lit(-resolution).alias("e"), bounds["north"].alias("f"))
+
+
 def affine(a, b, c, d, e, f, col: Column, row: Column) -> Column:
     """x = a col + b row + c, y = d col + e row + f."""
     return F.struct((col * a + row * b + c).alias("x"), (col * d + row * e + f).alias("y"))
@@ -120,10 +125,11 @@ def to_tag(*parts: Column) -> Column:
 
 
 def from_tag(tag: Column) -> Column:
-    """Four whole numbers, or NULL if the tag is malformed or the range is empty."""
+    """Four whole 64-bit numbers, or NULL if the tag is malformed or the range is empty."""
     p = F.split(tag, ",")
-    n = [F.expr("1").cast("long") * 0 + F.try_to_number(F.trim(F.get(p, F.lit(i))), F.lit("S999999999")).cast("long") for i in range(4)]
-    good = (F.size(p) == 4) & (n[2] >= n[0]) & (n[3] >= n[1])
+    n = [F.trim(F.get(p, F.lit(i))).try_cast("long") for i in range(4)]
+    whole = F.size(F.filter(p, lambda x: ~F.trim(x).rlike("^[+-]?[0-9]+$"))) == 0
+    good = (F.size(p) == 4) & whole & (n[2] >= n[0]) & (n[3] >= n[1])
     return F.when(good, F.struct(*(c.alias(k) for c, k in zip(n, ("col_min", "row_min", "col_max", "row_max")))))
 
 

@@ -1,10 +1,14 @@
-"""WGS84 longitude and latitude to Krovak east-north (EPSG:5514), as built-in expressions."""
+"""Coordinate systems as staged columns: Krovak east-north (EPSG:5514), web Mercator (3857), UTM (326xx, 327xx).
+
+Each step is a column of its own. The optimiser keeps a column apart if it is used more than once, so no formula is
+written out again inside another, and generated code stays small.
+"""
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values, published with the coordinate system: ellipsoids, datum shift and Krovak parameters.
@@ -18,38 +22,98 @@ LATITUDE, LONGITUDE = math.radians(49.5), math.radians(24 + 50 / 60)
 CONE, PARALLEL, K0 = math.pi / 2 - 1.04216856380474, math.radians(78.5), 0.9999
 
 
-def _bessel(lon: Column, lat: Column) -> tuple[Column, Column]:
-    """Geodetic on WGS84 to geodetic on the Bessel ellipsoid, in radians."""
+_STEPS = "_proj_"
+
+
+def _step(df: DataFrame, **columns: Column) -> DataFrame:
+    return df.withColumns({_STEPS + n: c for n, c in columns.items()})
+
+
+def _c(name: str) -> Column:
+    return F.col(_STEPS + name)
+
+
+def _done(df: DataFrame, out: tuple[str, str], finite: Column, first: Column, second: Column) -> DataFrame:
+    df = df.withColumns({out[0]: F.when(finite, first), out[1]: F.when(finite, second)})
+    return df.drop(*(c for c in df.columns if c.startswith(_STEPS)))
+
+
+def _finite(lon: Column, lat: Column) -> Column:
+    return ~F.isnan(lon) & ~F.isnan(lat) & (F.abs(lon) <= 360) & (F.abs(lat) <= 90)
+
+
+def krovak(df: DataFrame, lon: str = "lon", lat: str = "lat", out: tuple[str, str] = ("x", "y")) -> DataFrame:
+    """df with metres east and north; NULL where a coordinate is NULL or not finite."""
     e2 = WGS84_F * (2 - WGS84_F)
-    lam, phi = F.radians(lon), F.radians(lat)
-    n = WGS84_A / F.sqrt(1 - e2 * F.sin(phi) * F.sin(phi))
-    geocentric = (n * F.cos(phi) * F.cos(lam), n * F.cos(phi) * F.sin(lam), n * (1 - e2) * F.sin(phi))
-    x, y, z = ((v - t) / (1 + SCALE) for v, t in zip(geocentric, SHIFT))
+    df = _step(df, lam=F.radians(lon), sin=F.sin(F.radians(lat)), cos=F.cos(F.radians(lat)))
+    df = _step(df, n=WGS84_A / F.sqrt(1 - e2 * _c("sin") * _c("sin")))
+    geocentric = (_c("n") * _c("cos") * F.cos(_c("lam")), _c("n") * _c("cos") * F.sin(_c("lam")), _c("n") * (1 - e2) * _c("sin"))
+    df = _step(df, **{k: (v - t) / (1 + SCALE) for k, v, t in zip(("x0", "y0", "z0"), geocentric, SHIFT)})
     rx, ry, rz = ROTATION
-    x, y, z = x + rz * y - ry * z, y - rz * x + rx * z, z + ry * x - rx * y
+    x, y, z = _c("x0"), _c("y0"), _c("z0")
+    df = _step(df, x1=x + rz * y - ry * z, y1=y - rz * x + rx * z, z1=z + ry * x - rx * y)
     b, e2 = BESSEL_A * (1 - BESSEL_F), BESSEL_F * (2 - BESSEL_F)
-    r = F.sqrt(x * x + y * y)
-    th = F.atan2(z * BESSEL_A, r * b)
-    sin, cos = F.sin(th), F.cos(th)
-    up = z + e2 / (1 - e2) * b * sin * sin * sin
-    return F.atan2(y, x), F.atan2(up, r - e2 * BESSEL_A * cos * cos * cos)
-
-
-def krovak(lon: Column, lat: Column) -> Column:
-    """Struct of x and y in metres; NULL where a coordinate is NULL or not finite."""
-    e = math.sqrt(KROVAK_E2)
-    sin0 = math.sin(LATITUDE)
+    x, y, z = _c("x1"), _c("y1"), _c("z1")
+    df = _step(df, r=F.sqrt(x * x + y * y))
+    df = _step(df, th=F.atan2(z * BESSEL_A, _c("r") * b))
+    df = _step(df, s3=F.pow(F.sin(_c("th")), F.lit(3.0)), c3=F.pow(F.cos(_c("th")), F.lit(3.0)))
+    df = _step(df, lam2=F.atan2(y, x), phi2=F.atan2(z + e2 / (1 - e2) * b * _c("s3"), _c("r") - e2 * BESSEL_A * _c("c3")))
+    e, sin0 = math.sqrt(KROVAK_E2), math.sin(LATITUDE)
     a = BESSEL_A * math.sqrt(1 - KROVAK_E2) / (1 - KROVAK_E2 * sin0**2)
     b = math.sqrt(1 + KROVAK_E2 * math.cos(LATITUDE) ** 4 / (1 - KROVAK_E2))
     gamma = math.asin(sin0 / b)
     t0 = math.tan(math.pi / 4 + gamma / 2) * ((1 + e * sin0) / (1 - e * sin0)) ** (e * b / 2) / math.tan(math.pi / 4 + LATITUDE / 2) ** b
     n, r0 = math.sin(PARALLEL), K0 * a / math.tan(PARALLEL)
-    lam, phi = _bessel(lon, lat)
-    s = F.sin(phi)
-    u = 2 * (F.atan(t0 * F.pow(F.tan(phi / 2 + math.pi / 4), F.lit(b)) / F.pow((1 + e * s) / (1 - e * s), F.lit(e * b / 2))) - math.pi / 4)
-    v = b * (LONGITUDE - lam)
-    t = F.asin(math.cos(CONE) * F.sin(u) + math.sin(CONE) * F.cos(u) * F.cos(v))
-    d = F.asin(F.cos(u) * F.sin(v) / F.cos(t))
-    r = r0 * math.tan(PARALLEL / 2 + math.pi / 4) ** n / F.pow(F.tan(t / 2 + math.pi / 4), F.lit(n))
-    finite = ~F.isnan(lon) & ~F.isnan(lat) & (F.abs(lon) <= 360) & (F.abs(lat) <= 90)
-    return F.when(finite, F.struct((-r * F.sin(n * d)).alias("x"), (-r * F.cos(n * d)).alias("y")))
+    df = _step(df, es=e * F.sin(_c("phi2")))
+    df = _step(df, u=2 * (F.atan(t0 * F.pow(F.tan(_c("phi2") / 2 + math.pi / 4), F.lit(b)) / F.pow((1 + _c("es")) / (1 - _c("es")), F.lit(e * b / 2))) - math.pi / 4),
+               v=b * (LONGITUDE - _c("lam2")))
+    df = _step(df, t=F.asin(math.cos(CONE) * F.sin(_c("u")) + math.sin(CONE) * F.cos(_c("u")) * F.cos(_c("v"))))
+    df = _step(df, d=n * F.asin(F.cos(_c("u")) * F.sin(_c("v")) / F.cos(_c("t"))),
+               rho=r0 * math.tan(PARALLEL / 2 + math.pi / 4) ** n / F.pow(F.tan(_c("t") / 2 + math.pi / 4), F.lit(n)))
+    return _done(df, out, _finite(F.col(lon), F.col(lat)), -_c("rho") * F.sin(_c("d")), -_c("rho") * F.cos(_c("d")))
+
+
+def web_mercator(df: DataFrame, lon: str = "lon", lat: str = "lat", out: tuple[str, str] = ("x", "y")) -> DataFrame:
+    x, y = WGS84_A * F.radians(lon), WGS84_A * F.log(F.tan(F.radians(lat) / 2 + math.pi / 4))
+    return _done(df, out, _finite(F.col(lon), F.col(lat)), x, y)
+
+
+#: UTM: scale on the central meridian, false easting and the false northing of the south.
+UTM_K0, UTM_EAST, UTM_SOUTH = 0.9996, 500_000.0, 10_000_000.0
+
+
+def utm_zone(lon: Column) -> Column:
+    return F.greatest(F.lit(1), F.least(F.lit(60), (F.floor((lon + 180) / 6) + 1).cast("int")))
+
+
+def utm_to_lonlat(df: DataFrame, x: str, y: str, zone: Column, north: Column, out: tuple[str, str] = ("lon", "lat")) -> DataFrame:
+    """Inverse transverse Mercator by the usual series in powers of the distance from the central meridian."""
+    e2 = WGS84_F * (2 - WGS84_F)
+    ep2, e1 = e2 / (1 - e2), (1 - math.sqrt(1 - e2)) / (1 + math.sqrt(1 - e2))
+    mu = (F.col(y) - F.when(north, 0.0).otherwise(UTM_SOUTH)) / UTM_K0 / (WGS84_A * (1 - e2 / 4 - 3 * e2**2 / 64 - 5 * e2**3 / 256))
+    df = _step(df, mu=mu, mid=zone * 6.0 - 183)
+    m = _c("mu")
+    df = _step(df, p=m + (3 * e1 / 2 - 27 * e1**3 / 32) * F.sin(2 * m) + (21 * e1**2 / 16 - 55 * e1**4 / 32) * F.sin(4 * m)
+               + 151 * e1**3 / 96 * F.sin(6 * m) + 1097 * e1**4 / 512 * F.sin(8 * m))
+    df = _step(df, sin=F.sin(_c("p")), cos=F.cos(_c("p")))
+    df = _step(df, w=1 - e2 * _c("sin") * _c("sin"), t=_c("sin") * _c("sin") / (_c("cos") * _c("cos")), c=ep2 * _c("cos") * _c("cos"))
+    df = _step(df, n=WGS84_A / F.sqrt(_c("w")))
+    df = _step(df, d=(F.col(x) - UTM_EAST) / (_c("n") * UTM_K0), q=_c("w") / (1 - e2))
+    d, t, c = _c("d"), _c("t"), _c("c")
+    lat = _c("p") - _c("sin") / _c("cos") * _c("q") * (
+        d * d / 2 - (5 + 3 * t + 10 * c - 4 * c * c - 9 * ep2) * F.pow(d, F.lit(4.0)) / 24
+        + (61 + 90 * t + 298 * c + 45 * t * t - 252 * ep2 - 3 * c * c) * F.pow(d, F.lit(6.0)) / 720)
+    lon = (d - (1 + 2 * t + c) * F.pow(d, F.lit(3.0)) / 6 + (5 - 2 * c + 28 * t - 3 * c * c + 8 * ep2 + 24 * t * t) * F.pow(d, F.lit(5.0)) / 120) / _c("cos")
+    return _done(df, out, F.col(x).isNotNull() & F.col(y).isNotNull(), _c("mid") + F.degrees(lon), F.degrees(lat))
+
+
+#: Projections from longitude and latitude by EPSG code.
+FORWARD = {5514: krovak, 3857: web_mercator}
+
+
+def project(df: DataFrame, epsg: int, lon: str = "lon", lat: str = "lat", out: tuple[str, str] = ("x", "y")) -> DataFrame:
+    if epsg == 4326:
+        return df.withColumns({out[0]: F.col(lon), out[1]: F.col(lat)})
+    if epsg not in FORWARD:
+        raise ValueError(f"EPSG:{epsg} is not known; known are 4326, {', '.join(map(str, FORWARD))}")
+    return FORWARD[epsg](df, lon, lat, out)

@@ -76,3 +76,26 @@ def missing_and_stray(declared: DataFrame, present: DataFrame, keys: list[str])
     """Keys on one side only, with `problem`: missing or stray."""
     lone = lambda a, b, name: a.select(*keys).distinct().join(b.select(*keys), keys, "left_anti").withColumn("problem", F.lit(name))
     return lone(declared, present, "missing").unionByName(lone(present, declared, "stray"))
+
+
+def placed(pixels: DataFrame, left: int, top: int, width: int, height: int) -> DataFrame:
+    """Pixels moved to a place in a tile of width by height; those outside are cut off."""
+    moved = pixels.select((F.col("col") + left).alias("col"), (F.col("row") + top).alias("row"), "v")
+    return moved.where((F.col("col") >= 0) & (F.col("col") < width) & (F.col("row") >= 0) & (F.col("row") < height))
+
+
+def masked_rgb(pixels: DataFrame) -> DataFrame:
+    """(col, row, r, g, b, a) with a mask for alpha: NULL alpha is opaque, and where it is 0 the colours are 0."""
+    seen = F.coalesce(F.col("a"), F.lit(255)) > 0
+    return pixels.select("col", "row", *(F.when(seen, F.col(c)).otherwise(0).cast("short").alias(c) for c in "rgb"), seen.alias("mask"))
+
+
+def scaled_up(pixels: DataFrame, k: int) -> DataFrame:
+    """Each pixel as k by k pixels."""
+    steps = lambda c: F.explode(F.sequence(F.col(c) * k, F.col(c) * k + k - 1))
+    return pixels.withColumn("col", steps("col")).withColumn("row", steps("row"))
+
+
+def bounds_of(a: Column, c: Column, e: Column, f: Column, width: Column, height: Column) -> Column:
+    """Bounds of a north-up raster from its affine terms and shape."""
+    return F.struct(c.alias("west"), (f + e * height).alias("south"), (c + a * width).alias("east"), f.alias("north"))

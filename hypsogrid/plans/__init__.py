@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import grids, polygons, rasters, registry, sampling
+from . import blocks, grids, lattice, polygons, rasters, registry, sampling
 
 
 def all_queries() -> dict[str, registry.Query]:

@@ -152,7 +152,8 @@ def flt05(spark, sf_dir):
     return df.select("a", "i.*", *(F.col(f"u.{n}").alias(f"u_{n}") for n in boxes.RANGE))
 
 
-@query("prj01_krovak", f"""with p as ({inputs.PLACES_SQL}), g as (select event_id, radians(lon) as lam, radians(lat) as phi, {projection.WGS84_A} / sqrt(1 - {projection.WGS84_F * (2 - projection.WGS84_F)!r} * sin(radians(lat)) * sin(radians(lat))) as n from p),
+#: Ends in the table `kr`: all of p with r and d, from which x = -r sin(n d) and y = -r cos(n d).
+KROVAK_SQL = f"""p as ({inputs.PLACES_SQL}), g as (select event_id, radians(lon) as lam, radians(lat) as phi, {projection.WGS84_A} / sqrt(1 - {projection.WGS84_F * (2 - projection.WGS84_F)!r} * sin(radians(lat)) * sin(radians(lat))) as n from p),
 c as (select event_id, (n * cos(phi) * cos(lam) - 572.213e0) / 1.0000035378e0 as x, (n * cos(phi) * sin(lam) - 85.334e0) / 1.0000035378e0 as y,
  (n * {1 - projection.WGS84_F * (2 - projection.WGS84_F)!r} * sin(phi) - 461.94e0) / 1.0000035378e0 as z from g),
 h as (select event_id, x + {projection.ROTATION[2]!r} * y - {projection.ROTATION[1]!r} * z as x, y - {projection.ROTATION[2]!r} * x + {projection.ROTATION[0]!r} * z as y,
@@ -165,8 +166,40 @@ k2 as (select *, 6377397.155e0 * sqrt(1 - e2) / (1 - e2 * sin(p0) ** 2) as a, sq
 k3 as (select *, tan(pi() / 4 + asin(sin(p0) / bb) / 2) * ((1 + e * sin(p0)) / (1 - e * sin(p0))) ** (e * bb / 2) / tan(pi() / 4 + p0 / 2) ** bb as t0, 0.9999e0 * a / tan(pp) as r0 from k2),
 u as (select *, 2 * (atan(t0 * tan(phi / 2 + pi() / 4) ** bb / ((1 + e * sin(phi)) / (1 - e * sin(phi))) ** (e * bb / 2)) - pi() / 4) as u, bb * (l0 - lam) as v from b, k3),
 t as (select *, asin(cos(al) * sin(u) + sin(al) * cos(u) * cos(v)) as t from u),
-d as (select *, asin(cos(u) * sin(v) / cos(t)) as d, r0 * tan(pp / 2 + pi() / 4) ** n / tan(t / 2 + pi() / 4) ** n as r from t)
-select event_id, round(-r * sin(n * d), 3) as x, round(-r * cos(n * d), 3) as y from d""")
+d as (select *, asin(cos(u) * sin(v) / cos(t)) as d, r0 * tan(pp / 2 + pi() / 4) ** n / tan(t / 2 + pi() / 4) ** n as r from t),
+kr as (select event_id, -r * sin(n * d) as x, -r * cos(n * d) as y from d)"""
+
+
+@query("prj01_krovak", f"with {KROVAK_SQL} select event_id, round(x, 3) as x, round(y, 3) as y from kr")
 def prj01(spark, sf_dir):
-    df = inputs.places(spark, sf_dir).withColumn("p", projection.krovak(F.col("lon"), F.col("lat")))
-    return df.select("event_id", F.round("p.x", 3).alias("x"), F.round("p.y", 3).alias("y"))
+    return projection.krovak(inputs.places(spark, sf_dir)).select("event_id", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"))
+
+
+@query("prj02_web_mercator", f"""select event_id, round(6378137 * radians(lon), 3) as x, round(6378137 * ln(tan(radians(lat) / 2 + pi() / 4)), 3) as y from ({inputs.PLACES_SQL})""")
+def prj02(spark, sf_dir):
+    return projection.project(inputs.places(spark, sf_dir), 3857).select("event_id", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"))
+
+
+UTM_SQL = """with o as (select c_custkey as world, case when c_custkey % 4 = 0 then 'LATLON' else 'UTM' end as units, case when c_custkey % 4 = 0 then c_custkey % 90 * 1.0e0 else 400000.0e0 + c_custkey * 37 % 200000 end as x,
+ case when c_custkey % 4 = 0 then c_custkey % 180 * 1.0e0 else 5300000.0e0 + c_custkey * 101 % 300000 end as y, 12 + c_custkey % 700 / 100.0e0 as clon, case when c_custkey % 7 = 0 then -49.5e0 else 49.5e0 end as clat from customer),
+k as (select 1 / 298.257223563e0 * (2 - 1 / 298.257223563e0) as e2), k2 as (select e2, e2 / (1 - e2) as ep2, (1 - sqrt(1 - e2)) / (1 + sqrt(1 - e2)) as e1 from k),
+a as (select *, greatest(1, least(60, cast(floor((clon + 180) / 6) as int) + 1)) * 6.0e0 - 183 as mid, (y - case when clat >= 0 then 0 else 10000000.0e0 end) / 0.9996e0 / (6378137.0e0 * (1 - e2 / 4 - 3 * e2 ** 2 / 64 - 5 * e2 ** 3 / 256)) as mu from o, k2),
+b as (select *, mu + (3 * e1 / 2 - 27 * e1 ** 3 / 32) * sin(2 * mu) + (21 * e1 ** 2 / 16 - 55 * e1 ** 4 / 32) * sin(4 * mu) + 151 * e1 ** 3 / 96 * sin(6 * mu) + 1097 * e1 ** 4 / 512 * sin(8 * mu) as p from a),
+c as (select *, 6378137.0e0 / sqrt(1 - e2 * sin(p) ** 2) as n, tan(p) ** 2 as t, ep2 * cos(p) ** 2 as c, (1 - e2 * sin(p) ** 2) / (1 - e2) as q from b),
+d as (select *, (x - 500000) / (n * 0.9996e0) as d from c)
+select world, round(case when units = 'LATLON' then x else degrees(p - tan(p) * q * (d ** 2 / 2 - (5 + 3 * t + 10 * c - 4 * c ** 2 - 9 * ep2) * d ** 4 / 24 + (61 + 90 * t + 298 * c + 45 * t ** 2 - 252 * ep2 - 3 * c ** 2) * d ** 6 / 720)) end, 6) as origin_lat,
+ round(case when units = 'LATLON' then y else mid + degrees((d - (1 + 2 * t + c) * d ** 3 / 6 + (5 - 2 * c + 28 * t - 3 * c ** 2 + 8 * ep2 + 24 * t ** 2) * d ** 5 / 120) / cos(p)) end, 6) as origin_lon from d"""
+
+
+@query("prj03_origin_latlon", UTM_SQL)
+def prj03(spark, sf_dir):
+    """Origins given as latitude and longitude stay; UTM ones lie in the zone and hemisphere of the polygon's centre."""
+    k = F.col("c_custkey")
+    flat = k % 4 == 0
+    o = inputs.table(spark, sf_dir, "customer").select(
+        k.alias("world"), flat.alias("flat"), F.when(flat, (k % 90).cast("double")).otherwise(400000.0 + k * 37 % 200000).alias("x"),
+        F.when(flat, (k % 180).cast("double")).otherwise(5300000.0 + k * 101 % 300000).alias("y"),
+        (12 + k % 700 / 100).alias("clon"), F.when(k % 7 == 0, -49.5).otherwise(49.5).alias("clat"))
+    df = projection.utm_to_lonlat(o, "x", "y", projection.utm_zone(F.col("clon")), F.col("clat") >= 0)
+    pick = lambda a, b: F.round(F.when(F.col("flat"), F.col(a)).otherwise(F.col(b)), 6)
+    return df.select("world", pick("x", "lat").alias("origin_lat"), pick("y", "lon").alias("origin_lon"))

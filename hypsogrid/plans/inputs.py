@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from .registry import table
 
@@ -63,3 +64,19 @@ def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("event_id")
     return table(spark, sf_dir, "events").select(key, (12 + (key * 37 % 4096) / 1024).alias("lon"), (48.5 + (key * 101 % 2048) / 1024).alias("lat"))
+
+
+#: Buckets in which rows are ranked; their totals fit one task at any size.
+RANK_BUCKETS = 1024
+
+
+def numbered(df: DataFrame, *keys: str) -> DataFrame:
+    """df (with distinct integer keys) with `position` in the order of the keys: ranks inside ranges of the first key,
+    and running sums over the ranges' totals, so that no task sorts all rows."""
+    low, high = df.agg(F.min(keys[0]), F.max(keys[0])).first()
+    step = max(1, (((high or 0) - (low or 0)) // RANK_BUCKETS) + 1)
+    cut = df.withColumn("_range", F.floor((F.col(keys[0]) - (low or 0)) / step))
+    totals = cut.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")
+    own = F.row_number().over(Window.partitionBy("_range").orderBy(*keys)) - 1
+    return cut.join(F.broadcast(totals.select("_range", before.alias("_before"))), "_range").withColumn("position", F.col("_before") + own).drop("_range", "_before")

@@ -106,3 +106,11 @@ def spot_picks(blocks: DataFrame, size: int, most: int = 16) -> DataFrame:
     picked = counted.select("ix", "iy", "row", "bx", "before", heights.alias("h"), F.explode(mine).alias("place"))
     hit = F.element_at("h", (F.col("place") - F.col("before") + 1).cast("int"))
     return picked.select((F.col("bx") * size + hit["i"]).alias("col"), "row", hit["v"].alias("v"), "ix", "iy")
+
+
+def overlaps(blocks: DataFrame, windows: DataFrame, size: int) -> DataFrame:
+    """window_id, bx, by of the blocks that have a row and overlap a window."""
+    last = lambda a, n: F.floor((F.col(a) + F.col(n) - 1) / size)
+    cut = windows.withColumn("bx", F.explode(F.sequence(F.floor(F.col("col_min") / size), last("col_min", "width"))))
+    cut = cut.withColumn("by", F.explode(F.sequence(F.floor(F.col("row_min") / size), last("row_min", "height"))))
+    return cut.join(blocks.select("bx", "by"), ["bx", "by"], "left_semi").select("window_id", "bx", "by")

@@ -62,3 +62,41 @@ def meets_boxes(vertices: DataFrame, boxes: DataFrame, polygon: str = "world", b
         F.bool_or(segment_meets_box(*ends, sides)).alias("edge"), (F.count_if(crosses_ray(*centre, *ends)) % 2 == 1).alias("inside")
     )
     return tested.where("edge or inside").select(polygon, box)
+
+
+def points_inside(vertices: DataFrame, points: DataFrame, polygon: str = "world") -> DataFrame:
+    """points (polygon, px, py) with `inside`; one point a polygon."""
+    met = points.join(edges(vertices, polygon), polygon)
+    crosses = crosses_ray(*(F.col(c) for c in ("px", "py", "x0", "y0", "x1", "y1")))
+    return met.groupBy(polygon).agg((F.count_if(crosses) % 2 == 1).alias("inside"))
+
+
+def tiles_met(vertices: DataFrame, size: float, polygon: str = "world") -> DataFrame:
+    """polygon, ix, iy of each tile of `size` that a polygon meets within its own box: an edge meets the closed tile, or
+    the tile's centre is inside. Each edge goes to the tiles beside its own line only, and what lies inside follows
+    from the crossings of each row of tiles, so no polygon's edges meet all of its candidates in one place."""
+    e = edges(vertices, polygon)
+    tile = lambda c: F.floor(c / size)
+    box = bounds(vertices, polygon).select(polygon, *(tile(F.col(c)).alias("_" + c) for c in ("west", "south", "east", "north")))
+    low_y, high_y = F.least("y0", "y1"), F.greatest("y0", "y1")
+    rows = e.withColumn("iy", F.explode(F.sequence(F.ceil(low_y / size) - 1, tile(high_y))))
+    south, north = F.col("iy") * size, F.col("iy") * size + size
+    # the part of the edge between the row's sides, a tile more on either side, then the exact test
+    at = lambda y: F.col("x0") + (F.col("x1") - F.col("x0")) * F.coalesce(F.try_divide(y - F.col("y0"), F.col("y1") - F.col("y0")), F.lit(0.0))
+    inside_row = lambda y: F.greatest(low_y, F.least(high_y, y))
+    ends = (at(inside_row(south)), at(inside_row(north)))
+    flat = F.col("y0") == F.col("y1")
+    left = F.when(flat, F.least("x0", "x1")).otherwise(F.least(*ends))
+    right = F.when(flat, F.greatest("x0", "x1")).otherwise(F.greatest(*ends))
+    near = rows.withColumn("ix", F.explode(F.sequence(tile(left) - 1, tile(right) + 1)))
+    sides = {"west": F.col("ix") * size, "south": south, "east": F.col("ix") * size + size, "north": north}
+    border = near.where(segment_meets_box(*(F.col(c) for c in ("x0", "y0", "x1", "y1")), sides)).select(polygon, "ix", "iy")
+    middle = (F.col("iy") + 0.5) * size
+    crossed = e.withColumn("iy", F.explode(F.sequence(tile(low_y), tile(high_y)))).where((F.col("y0") > middle) != (F.col("y1") > middle))
+    crossed = crossed.select(polygon, "iy", at(middle).alias("x"))
+    w = Window.partitionBy(polygon, "iy").orderBy("x")
+    spans = crossed.select(polygon, "iy", "x", F.lead("x").over(w).alias("to"), F.row_number().over(w).alias("n")).where("n % 2 = 1")
+    first, last = F.ceil((F.col("x") - size / 2) / size), F.ceil((F.col("to") - size / 2) / size) - 1
+    inner = spans.where(first <= last).select(polygon, F.explode(F.sequence(first, last)).alias("ix"), "iy")
+    own = border.unionByName(inner).distinct().join(box, polygon)
+    return own.where((F.col("ix") >= F.col("_west")) & (F.col("ix") <= F.col("_east")) & (F.col("iy") >= F.col("_south")) & (F.col("iy") <= F.col("_north"))).select(polygon, "ix", "iy")

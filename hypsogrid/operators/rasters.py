@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 
 def valid(v: Column, *nodata: float) -> Column:
@@ -45,16 +44,6 @@ def mosaic(pixels: DataFrame, windows: DataFrame, block: int) -> DataFrame:
         "window_id", (F.col("col") - F.col("col_min")).alias("col"), (F.col("row") - F.col("row_min")).alias("row"), "v")
 
 
-def spot_picks(pixels: DataFrame, by: list[str], most: int = 16, v: str = "v") -> DataFrame:
-    """Evenly spaced valid pixels of each tile in reading order, `most` at most: places floor(k (n - 1) / (m - 1))."""
-    w = Window.partitionBy(*by)
-    ranked = pixels.where(F.col(v).isNotNull()).withColumns({
-        "_i": F.row_number().over(w.orderBy("row", "col")) - 1, "_n": F.count(F.lit(1)).over(w)})
-    m = F.least(F.lit(most), F.col("_n"))
-    places = F.transform(F.sequence(F.lit(0), m - 1), lambda k: F.when(m == 1, F.lit(0).cast("long")).otherwise(F.expr("1") * F.floor(k * (F.col("_n") - 1) / (m - 1))))
-    return ranked.where(F.array_contains(places, F.col("_i").cast("long"))).drop("_i", "_n")
-
-
 def first_bad(pixels: DataFrame, by: list[str], bad: Column) -> DataFrame:
     """The first pixel in reading order for which `bad` holds, by tile."""
     at = F.struct("row", "col")
@@ -99,3 +88,17 @@ def scaled_up(pixels: DataFrame, k: int) -> DataFrame:
 def bounds_of(a: Column, c: Column, e: Column, f: Column, width: Column, height: Column) -> Column:
     """Bounds of a north-up raster from its affine terms and shape."""
     return F.struct(c.alias("west"), (f + e * height).alias("south"), (c + a * width).alias("east"), f.alias("north"))
+
+
+def parse_points(lines: DataFrame) -> DataFrame:
+    """Reference points from lines (line_no, line) of latitude, longitude and height; blank lines are left out, others
+    come with their problem."""
+    parts = F.split("line", ",")
+    n = [F.trim(F.get(parts, F.lit(i))).try_cast("double") for i in range(3)]
+    problem = F.when(F.size(parts) != 3, "not three fields").when(n[0].isNull() | n[1].isNull() | n[2].isNull(), "not a number")
+    read = lines.where(F.trim("line") != "").select("line_no", problem.alias("problem"), *(c.alias(k) for c, k in zip(n, ("lat", "lon", "height"))))
+    return read.select("line_no", *(F.when(F.col("problem").isNull(), F.col(c)).alias(c) for c in ("lat", "lon", "height")), "problem")
+
+
+def tags_or_none(tags: Column) -> Column:
+    return F.coalesce(tags, F.create_map().cast("map<string,string>"))

@@ -47,14 +47,8 @@ m as (select world, ix, iy from z group by world, ix, iy having bool_or(edge) or
 
 
 def _plan(spark, sf_dir):
-    """world and tile (ix, iy) of 2 by 2 units for each tile that a polygon meets; candidates come from its box alone."""
-    v = inputs.vertices(spark, sf_dir)
-    steps = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / 2), F.floor(F.col(b) / 2)))
-    near = polygons.bounds(v).withColumn("ix", steps("west", "east")).withColumn("iy", steps("south", "north"))
-    tiles = near.select(
-        "world", F.struct("ix", "iy").alias("box"), (F.col("ix") * 2.0).alias("west"), (F.col("iy") * 2.0).alias("south"),
-        (F.col("ix") * 2.0 + 2).alias("east"), (F.col("iy") * 2.0 + 2).alias("north"))
-    return polygons.meets_boxes(v, tiles).select("world", "box.*")
+    """world and tile (ix, iy) of 2 by 2 units for each tile that a polygon meets."""
+    return polygons.tiles_met(inputs.vertices(spark, sf_dir), 2.0)
 
 
 @query("jn03_polygon_tiles", f"with {MEETS} select * from m")
@@ -69,8 +63,8 @@ def set01(spark, sf_dir):
 
 @query("set02_unneeded_tiles", f"with {MEETS} select ix, iy from m where world % 3 = 0 except select ix, iy from m where world % 3 <> 0")
 def set02(spark, sf_dir):
-    plan = _plan(spark, sf_dir)
-    return plan.where("world % 3 = 0").select("ix", "iy").distinct().join(plan.where("world % 3 <> 0").select("ix", "iy"), ["ix", "iy"], "left_anti")
+    who = _plan(spark, sf_dir).groupBy("ix", "iy").agg(F.bool_and(F.col("world") % 3 == 0).alias("only"))
+    return who.where("only").select("ix", "iy")
 
 
 @query("agg02_tile_requirements", f"""with {MEETS}, bb2 as (select world, floor(min(x) * 4 - 0.5e0 - 1e-3) as c0, floor(min(y) * 4 - 0.5e0 - 1e-3) as r0, floor(max(x) * 4 - 0.5e0 + 1e-3) + 1 as c1, floor(max(y) * 4 - 0.5e0 + 1e-3) + 1 as r1 from vx group by world)

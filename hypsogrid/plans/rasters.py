@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import rasters, sampling
+from ..operators import blocks, rasters, sampling
 from . import inputs
 from .registry import query
 
@@ -65,7 +65,8 @@ k as (select distinct ix, iy, n, unnest(range(0, least(16, n))) as k from r),
 w as (select distinct ix, iy, case when least(16, n) = 1 then 0 else cast(floor(k * (n - 1) / cast(least(16, n) - 1 as double)) as bigint) end as i from k)
 select col, row, v, ix, iy from r join w using (ix, iy, i)""")
 def win04(spark, sf_dir):
-    return rasters.spot_picks(_tiles(spark, sf_dir), ["ix", "iy"]).select("col", "row", "v", "ix", "iy")
+    tiles = blocks.to_blocks(inputs.pixels(spark, sf_dir), 8).withColumns({"ix": F.col("bx"), "iy": F.col("by")})
+    return blocks.spot_picks(tiles, 8)
 
 
 @query("win05_first_bad_pixel", f"""with {PX}, {TILE} select ix, iy, min_by(row, row * 1000 + col) as row, min_by(col, row * 1000 + col) as col, count(*) as n_bad from t where v > 1500 group by ix, iy""")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..operators import sampling
+from ..operators import blocks
 from . import inputs
 from .registry import query
 
@@ -18,4 +18,5 @@ left join px c on c.col = c0 and c.row = r0 + 1 left join px d on d.col = c0 + 1
 
 @query("ras01_bilinear_sample", BILINEAR_SQL.replace("select event_id, u, v,\n", "select event_id, k.u as u, k.v as v,\n"))
 def ras01(spark, sf_dir):
-    return sampling.bilinear(inputs.points(spark, sf_dir), inputs.pixels(spark, sf_dir)).select("event_id", "u", "v", "height")
+    table = blocks.to_blocks(inputs.pixels(spark, sf_dir), 8)
+    return blocks.bilinear(inputs.points(spark, sf_dir), ["event_id", "u", "v"], table, 8)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Protocol, runtime_checkable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import blocks, grid
@@ -53,3 +53,18 @@ def read_in_pieces(source: HeightSource, windows: DataFrame, most: int) -> DataF
 def require_datum(source: HeightSource, expected: str) -> None:
     if source.datum != expected:
         raise ValueError(f"the source has heights on {source.datum}, not on {expected}")
+
+
+@dataclass
+class FormulaImagery:
+    """Imagery given by expressions of col and row."""
+
+    r: Column
+    g: Column
+    b: Column
+    a: Column
+
+    def read_rgba(self, windows: DataFrame) -> DataFrame:
+        rows = windows.withColumn("row", F.explode(F.sequence(F.col("row_min"), F.col("row_min") + F.col("height") - 1)))
+        each = rows.withColumn("col", F.explode(F.sequence(F.col("col_min"), F.col("col_min") + F.col("width") - 1)))
+        return each.select("window_id", "col", "row", *(getattr(self, n).cast("short").alias(n) for n in "rgba"))

@@ -39,7 +39,8 @@ STAGES = [
     ("decontamination", decontamination),
     ("byte_bpe", encoding),
 ]
-#: Models, joins by sketches and byte-pair merges are beyond SQL; tests hold each stage against brute force.
+#: Models, joins by sketches and byte-pair merges are beyond SQL; tests hold the operators against brute force, and
+#: the stages' columns, ids and kept rows against small tables.
 ORACLE_SQL = None
 
 

@@ -62,7 +62,7 @@ def shingle_sets(texts, size: int = SHINGLE) -> Iterator[np.ndarray]:
         h = np.full(n, size, np.uint64)
         for k in range(size):
             h = h * np.uint64(_MULTIPLIER)
-            h[: n - k] += w.hash[k:]
+            h[: max(n - k, 0)] += w.hash[k:]
         h = mix(h)
         for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist()):
             if b - a >= size:

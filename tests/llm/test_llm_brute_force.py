@@ -180,6 +180,12 @@ def test_language_gradients_numerically():
             assert abs(slope) < 1e-4 or np.sign(slope) == -np.sign(step)
 
 
+def test_shingles_of_few_words():
+    """Batches of fewer words than a shingle has, down to none."""
+    for n in range(6):
+        assert [len(s) for s in jaccard_join.shingle_sets([" ".join("abcdef"[:n])])] == [min(n, 1)]
+
+
 def test_jaccard_recall_on_documents(spark, sf_dir):
     """Rows whose id is divisible by 100 against all rows: links by brute force are found."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

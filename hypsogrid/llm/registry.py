@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import attention_lm, bpe, chat, decontaminate, jaccard_join, language_id, quality_lm, quality_rules, sharding, warc
+from . import attention_lm, bpe, chat, decontaminate, jaccard_join, language_id, merkle, quality_lm, quality_rules, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -72,3 +72,11 @@ def op10_byte_gru_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attention_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.prove_documents(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_merkle_manifest"] = merkle.ORACLE

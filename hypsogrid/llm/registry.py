@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import attention_lm, bpe, chat, decontaminate, jaccard_join, language_id, merkle, quality_lm, quality_rules, sharding, warc
+from . import attention_lm, bpe, chat, decontaminate, jaccard_join, language_id, merkle, prefix_trie, quality_lm, quality_rules, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,3 +80,11 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op13_merkle_manifest"] = merkle.ORACLE
+
+
+@query
+def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op11_conversation_prefix_trie"] = prefix_trie.ORACLE

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import attention_lm, bpe, chat, decontaminate, jaccard_join, language_id, merkle, prefix_trie, quality_lm, quality_rules, sharding, warc
+from . import attention_lm, bpe, chat, decontaminate, jaccard_join, language_id, merkle, pii, prefix_trie, quality_lm, quality_rules, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -88,3 +88,8 @@ def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 ORACLES["op11_conversation_prefix_trie"] = prefix_trie.ORACLE
+
+
+@query
+def op12_pii_candidate_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_documents(table(spark, sf_dir, "documents"))

@@ -103,28 +103,28 @@ def root(leaves: list[str], height: int) -> str:
     return tree.node
 
 
-def _block_paths(frame: pd.DataFrame) -> pd.DataFrame:
+def _block_paths(frame: pd.DataFrame, levels: int) -> pd.DataFrame:
     """siblings of each node of a block; block_root in the row of its first node."""
     frame = frame.sort_values("position", ignore_index=True)
     leaves, n = frame["digest"].tolist(), int(frame["n_group"].iloc[0])
-    height = min(LEVELS, (n - 1).bit_length())
+    height = min(levels, (n - 1).bit_length())
     frame["siblings"] = list(paths(leaves, height))
     frame["block_root"] = [root(leaves, height), *[None] * (len(leaves) - 1)]
     return frame
 
 
-def _climb(nodes: DataFrame, finish: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
+def _climb(nodes: DataFrame, finish: Callable[[DataFrame], DataFrame] | None, levels: int) -> DataFrame:
     """nodes (group, position, n_group, digest, and more) with path, subroot and `height` of the group's tree, and with
     what `finish` gives for each group from (group, subroot): group, above (a path), root, place."""
     from_pandas = StructType([*nodes.schema.fields, StructField("siblings", ArrayType(StringType())), StructField("block_root", StringType())])
-    blocks = nodes.groupBy("group", F.shiftright("position", LEVELS)).applyInPandas(lambda f: _block_paths(f), from_pandas)
+    blocks = nodes.groupBy("group", F.shiftright("position", levels)).applyInPandas(lambda f: _block_paths(f, levels), from_pandas)
     kept = shared.keep(blocks, "merkle")
-    up = F.shiftright("position", LEVELS)
+    up = F.shiftright("position", levels)
     roots = kept.where("block_root is not null").select(
-        "group", up.alias("position"), (F.shiftright(F.col("n_group") - 1, LEVELS) + 1).alias("n_group"), F.col("block_root").alias("digest"))
+        "group", up.alias("position"), (F.shiftright(F.col("n_group") - 1, levels) + 1).alias("n_group"), F.col("block_root").alias("digest"))
     largest = roots.agg(F.max("n_group")).first()[0]
     if largest is not None and largest > 1:
-        over = _climb(roots, finish).select("group", F.col("position").alias("_block"), F.col("path").alias("_path"), "subroot", F.col("height").alias("_height"), "above", "root", "place")
+        over = _climb(roots, finish, levels).select("group", F.col("position").alias("_block"), F.col("path").alias("_path"), "subroot", F.col("height").alias("_height"), "above", "root", "place")
     else:
         tops = roots.select("group", F.lit(0).cast("long").alias("_block"), F.array().cast("array<string>").alias("_path"), F.col("digest").alias("subroot"), F.lit(0).alias("_height"))
         over = tops.join(finish(tops.select("group", "subroot")), "group") if finish else tops.select(
@@ -133,20 +133,20 @@ def _climb(nodes: DataFrame, finish: Callable[[DataFrame], DataFrame] | None) ->
     return joined.withColumns({"path": F.concat("siblings", "_path"), "height": F.col("_height") + F.size("siblings")}).drop("_block", "_path", "_height", "siblings", "block_root")
 
 
-def _tree_of_groups(roots: DataFrame) -> DataFrame:
+def _tree_of_groups(roots: DataFrame, levels: int) -> DataFrame:
     """group, subroot -> group, above, root, place: the tree whose leaves are the groups' roots, in the groups' order."""
     leaves = ranks.numbered(roots.select(F.lit("").alias("_all"), "group", "subroot"), "_all", ["group"])
     nodes = leaves.select(F.lit("").alias("group"), "position", "n_group", F.col("subroot").alias("digest"), F.col("group").alias("own"))
-    return _climb(nodes, None).select(F.col("own").alias("group"), F.col("path").alias("above"), F.col("subroot").alias("root"), F.col("position").alias("place"))
+    return _climb(nodes, None, levels).select(F.col("own").alias("group"), F.col("path").alias("above"), F.col("subroot").alias("root"), F.col("position").alias("place"))
 
 
-def prove(leaves: DataFrame, group: str, order: list[str], digest: str) -> DataFrame:
+def prove(leaves: DataFrame, group: str, order: list[str], digest: str, levels: int = LEVELS) -> DataFrame:
     """leaves with subroot, root, path (partners from the leaf to the root), and index: bit k tells whether the
     partner of level k stands on the left. `group` (text, may be NULL) parts the leaves into trees."""
     # NULL before all others, as the encoding is empty for it alone
     keyed = leaves.withColumnRenamed(digest, "digest").withColumn("group", F.coalesce(F.concat(F.lit("+"), group), F.lit("")))
     nodes = ranks.numbered(keyed, "group", [*order, "digest"])
-    climbed = _climb(nodes, _tree_of_groups)
+    climbed = _climb(nodes, lambda roots: _tree_of_groups(roots, levels), levels)
     index = F.col("position") + F.call_function("shiftleft", F.col("place"), F.col("height"))
     return climbed.select(
         *[F.col("digest").alias(c) if c == digest else F.col(c) for c in leaves.columns], "subroot", "root", F.concat("path", "above").alias("path"), index.alias("index"))
@@ -180,12 +180,12 @@ def verify(proofs: DataFrame) -> DataFrame:
     return folded.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
-def prove_documents(docs: DataFrame, tampered_of: int = TAMPERED_OF) -> DataFrame:
+def prove_documents(docs: DataFrame, tampered_of: int = TAMPERED_OF, levels: int = LEVELS) -> DataFrame:
     """Each document's place in the manifest, and the root that it leads to once n_chars of some have been changed."""
     hit = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % tampered_of == 0, F.lit(False))
     more = F.col("n_chars").cast("decimal(20,0)") + 1  # the largest long has a successor, too
     rows = docs.select("doc_id", "lang", leaf().alias("leaf"), F.when(hit & F.col("n_chars").isNotNull(), leaf(n_chars=more)).alias("tampered"))
-    proofs = prove(shared.keep(rows, "leaves"), "lang", ["doc_id"], "leaf")
+    proofs = prove(shared.keep(rows, "leaves"), "lang", ["doc_id"], "leaf", levels)
     proof = F.sha2(F.array_join("path", "").cast("binary"), 256)
     now = verify(proofs.withColumnsRenamed({"leaf": "original"}).withColumn("leaf", F.coalesce("tampered", "original")))
     return now.select("doc_id", F.col("original").alias("leaf"), "subroot", "root", proof.alias("proof_sha256"), "folded_root", "verified")

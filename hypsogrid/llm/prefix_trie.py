@@ -182,11 +182,11 @@ def _sweep_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield sweep.taken()
 
 
-def _sweep_open(last: bool):
+def _sweep_open(last: bool, fan: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["segment", "seq"])
         first = frame["segment"].iloc[0]
-        sweep = Sweep(int(first) // FAN, last)
+        sweep = Sweep(int(first) // fan, last)
         for r in frame.itertuples(index=False):
             sweep.node(r, r.segment == first)
         sweep.finish()
@@ -232,7 +232,7 @@ def rebuilt(talks: DataFrame) -> DataFrame:
     return joined.select("conv_id", F.concat(head, tail).alias("said"))
 
 
-def nodes(talks: DataFrame) -> DataFrame:
+def nodes(talks: DataFrame, fan: int = FAN) -> DataFrame:
     """talks (conv_id, said) -> the trie's nodes: conv_id (smallest member), depth, parent_conv_id, n_convs, n_children,
     n_leaves, saved_tokens, ends_sha256. A node is told by depth and conv_id."""
     spark = talks.sparkSession
@@ -243,13 +243,13 @@ def nodes(talks: DataFrame) -> DataFrame:
     swept = shared.keep(ranged.mapInPandas(_sweep_members, OUT), "trie")
     segments, found, now = ranks.partitions(talks), [swept], swept
     while True:
-        last = segments <= FAN
+        last = segments <= fan
         open_ = now.where("kind = 'open'")
-        now = shared.keep(open_.groupBy(F.floor(F.col("segment") / FAN)).applyInPandas(_sweep_open(last), OUT), "trie")
+        now = shared.keep(open_.groupBy(F.floor(F.col("segment") / fan)).applyInPandas(_sweep_open(last, fan), OUT), "trie")
         found.append(now)
         if last:
             break
-        segments = -(-segments // FAN)
+        segments = -(-segments // fan)
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)

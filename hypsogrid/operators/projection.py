@@ -107,13 +107,119 @@ def utm_to_lonlat(df: DataFrame, x: str, y: str, zone: Column, north: Column, ou
     return _done(df, out, F.col(x).isNotNull() & F.col(y).isNotNull(), _c("mid") + F.degrees(lon), F.degrees(lat))
 
 
-#: Projections from longitude and latitude by EPSG code.
+def _helmert_inverse() -> list[list[float]]:
+    """The matrix that turns Bessel's geocentric axes back, exactly that of the forward shift."""
+    rx, ry, rz = ROTATION
+    m = [[1, rz, -ry], [-rz, 1, rx], [ry, -rx, 1]]
+    minor = lambda i, j: [[m[a][b] for b in range(3) if b != j] for a in range(3) if a != i]
+    det2 = lambda q: q[0][0] * q[1][1] - q[0][1] * q[1][0]
+    det = sum((-1) ** j * m[0][j] * det2(minor(0, j)) for j in range(3))
+    return [[(-1) ** (i + j) * det2(minor(j, i)) / det for j in range(3)] for i in range(3)]
+
+
+#: Steps of the fixed point of Krovak's latitude; each gains a factor of some 300.
+KROVAK_STEPS = 5
+
+
+def krovak_to_lonlat(df: DataFrame, x: str = "x", y: str = "y", out: tuple[str, str] = ("lon", "lat")) -> DataFrame:
+    """Degrees on WGS84 of Krovak's metres, the inverse of `krovak` at height 0; NULL where a coordinate is NULL or not
+    finite. The height above Bessel's ellipsoid, which moves the place by millimetres, is found in a second pass."""
+    e, sin0 = math.sqrt(KROVAK_E2), math.sin(LATITUDE)
+    a = BESSEL_A * math.sqrt(1 - KROVAK_E2) / (1 - KROVAK_E2 * sin0**2)
+    b = math.sqrt(1 + KROVAK_E2 * math.cos(LATITUDE) ** 4 / (1 - KROVAK_E2))
+    t0 = math.tan(math.pi / 4 + math.asin(sin0 / b) / 2) * ((1 + e * sin0) / (1 - e * sin0)) ** (e * b / 2) / math.tan(math.pi / 4 + LATITUDE / 2) ** b
+    n, r0 = math.sin(PARALLEL), K0 * a / math.tan(PARALLEL)
+    east, north = F.col(x), F.col(y)
+    df = _step(df, rho=F.sqrt(east * east + north * north), d=F.atan2(-east, -north) / n)
+    df = _step(df, t=2 * (F.atan(F.pow(r0 / _c("rho"), F.lit(1 / n)) * math.tan(PARALLEL / 2 + math.pi / 4)) - math.pi / 4))
+    df = _step(df, u=F.asin(math.cos(CONE) * F.sin(_c("t")) - math.sin(CONE) * F.cos(_c("t")) * F.cos(_c("d"))))
+    df = _step(df, lam=LONGITUDE - F.asin(F.cos(_c("t")) * F.sin(_c("d")) / F.cos(_c("u"))) / b,
+               k=F.pow(F.tan(_c("u") / 2 + math.pi / 4) / t0, F.lit(1 / b)), phi=_c("u"))
+    for _ in range(KROVAK_STEPS):
+        df = _step(df, es=e * F.sin(_c("phi")))
+        df = _step(df, phi=2 * (F.atan(_c("k") * F.pow((1 + _c("es")) / (1 - _c("es")), F.lit(e / 2))) - math.pi / 4))
+    bessel_e2, wgs_e2 = BESSEL_F * (2 - BESSEL_F), WGS84_F * (2 - WGS84_F)
+    df = _step(df, sin=F.sin(_c("phi")), cos=F.cos(_c("phi")), h=F.lit(0.0))
+    df = _step(df, nu=BESSEL_A / F.sqrt(1 - bessel_e2 * _c("sin") * _c("sin")))
+    m, polar = _helmert_inverse(), WGS84_A * (1 - WGS84_F)
+    for _ in range(2):
+        geocentric = ((_c("nu") + _c("h")) * _c("cos") * F.cos(_c("lam")), (_c("nu") + _c("h")) * _c("cos") * F.sin(_c("lam")), (_c("nu") * (1 - bessel_e2) + _c("h")) * _c("sin"))
+        df = _step(df, **dict(zip(("x1", "y1", "z1"), geocentric)))
+        v = [_c("x1"), _c("y1"), _c("z1")]
+        df = _step(df, **{k: (m[i][0] * v[0] + m[i][1] * v[1] + m[i][2] * v[2]) * (1 + SCALE) + SHIFT[i] for i, k in enumerate(("x0", "y0", "z0"))})
+        df = _step(df, r=F.sqrt(_c("x0") * _c("x0") + _c("y0") * _c("y0")))
+        df = _step(df, th=F.atan2(_c("z0") * WGS84_A, _c("r") * polar))
+        df = _step(df, lat=F.atan2(_c("z0") + wgs_e2 / (1 - wgs_e2) * polar * F.pow(F.sin(_c("th")), F.lit(3.0)), _c("r") - wgs_e2 * WGS84_A * F.pow(F.cos(_c("th")), F.lit(3.0))))
+        df = _step(df, h=_c("h") - (_c("r") / F.cos(_c("lat")) - WGS84_A / F.sqrt(1 - wgs_e2 * F.sin(_c("lat")) * F.sin(_c("lat")))))
+    finite = F.abs(east + north) < float("inf")
+    return _done(df, out, finite, F.degrees(F.atan2(_c("y0"), _c("x0"))), F.degrees(_c("lat")))
+
+
+def web_mercator_to_lonlat(df: DataFrame, x: str = "x", y: str = "y", out: tuple[str, str] = ("lon", "lat")) -> DataFrame:
+    return _done(df, out, F.abs(F.col(x) + F.col(y)) < float("inf"), F.degrees(F.col(x) / WGS84_A), F.degrees(2 * F.atan(F.exp(F.col(y) / WGS84_A)) - math.pi / 2))
+
+
+def utm(df: DataFrame, zone: int, north: bool, lon: str = "lon", lat: str = "lat", out: tuple[str, str] = ("x", "y")) -> DataFrame:
+    """Transverse Mercator by the series in powers of the distance from the central meridian, millimetres within a zone."""
+    e2 = WGS84_F * (2 - WGS84_F)
+    ep2 = e2 / (1 - e2)
+    df = _step(df, phi=F.radians(lat), sin=F.sin(F.radians(lat)), cos=F.cos(F.radians(lat)))
+    phi = _c("phi")
+    arc = WGS84_A * (
+        (1 - e2 / 4 - 3 * e2**2 / 64 - 5 * e2**3 / 256) * phi - (3 * e2 / 8 + 3 * e2**2 / 32 + 45 * e2**3 / 1024) * F.sin(2 * phi)
+        + (15 * e2**2 / 256 + 45 * e2**3 / 1024) * F.sin(4 * phi) - 35 * e2**3 / 3072 * F.sin(6 * phi))
+    df = _step(df, m=arc, n=WGS84_A / F.sqrt(1 - e2 * _c("sin") * _c("sin")), t=_c("sin") * _c("sin") / (_c("cos") * _c("cos")), c=ep2 * _c("cos") * _c("cos"),
+               a=F.radians(F.col(lon) - (zone * 6.0 - 183)) * _c("cos"))
+    a, t, c = _c("a"), _c("t"), _c("c")
+    df = _step(df, a2=a * a)
+    a2 = _c("a2")
+    east = UTM_K0 * _c("n") * a * (1 + a2 * ((1 - t + c) / 6 + a2 * (5 - 18 * t + t * t + 72 * c - 58 * ep2) / 120)) + UTM_EAST
+    rest = a2 * (0.5 + a2 * ((5 - t + 9 * c + 4 * c * c) / 24 + a2 * (61 - 58 * t + t * t + 600 * c - 330 * ep2) / 720))
+    up = UTM_K0 * (_c("m") + _c("n") * _c("sin") / _c("cos") * rest) + (0.0 if north else UTM_SOUTH)
+    return _done(df, out, _finite(F.col(lon), F.col(lat)), east, up)
+
+
+#: Projections from longitude and latitude, and back, by EPSG code; those of UTM are made from the code.
 FORWARD = {5514: krovak, 3857: web_mercator}
+BACK = {5514: krovak_to_lonlat, 3857: web_mercator_to_lonlat}
+
+
+def _utm_of(epsg: int) -> tuple[int, bool] | None:
+    zone = epsg % 100
+    return (zone, epsg < 32700) if epsg // 100 in (326, 327) and 1 <= zone <= 60 else None
+
+
+def _known(epsg: int) -> None:
+    if epsg != 4326 and epsg not in FORWARD and _utm_of(epsg) is None:
+        raise ValueError(f"EPSG:{epsg} is not known; known are 4326, {', '.join(map(str, FORWARD))}, 32601-32660 and 32701-32760")
 
 
 def project(df: DataFrame, epsg: int, lon: str = "lon", lat: str = "lat", out: tuple[str, str] = ("x", "y")) -> DataFrame:
+    """From longitude and latitude on WGS84."""
+    _known(epsg)
     if epsg == 4326:
         return df.withColumns({out[0]: F.col(lon), out[1]: F.col(lat)})
-    if epsg not in FORWARD:
-        raise ValueError(f"EPSG:{epsg} is not known; known are 4326, {', '.join(map(str, FORWARD))}")
+    if zone := _utm_of(epsg):
+        return utm(df, *zone, lon, lat, out)
     return FORWARD[epsg](df, lon, lat, out)
+
+
+def unproject(df: DataFrame, epsg: int, x: str = "x", y: str = "y", out: tuple[str, str] = ("lon", "lat")) -> DataFrame:
+    """To longitude and latitude on WGS84."""
+    _known(epsg)
+    if epsg == 4326:
+        return df.withColumns({out[0]: F.col(x), out[1]: F.col(y)})
+    if zone := _utm_of(epsg):
+        return utm_to_lonlat(df, x, y, F.lit(zone[0]), F.lit(zone[1]), out)
+    return BACK[epsg](df, x, y, out)
+
+
+def transform(df: DataFrame, source: int, target: int, x: str = "x", y: str = "y", out: tuple[str, str] = ("x", "y")) -> DataFrame:
+    """Places from one system to another: every known system is one step from WGS84, so any two are two steps apart.
+    East comes before north in all of them."""
+    _known(source), _known(target)
+    if source == target:
+        return df.withColumns({out[0]: F.col(x), out[1]: F.col(y)})
+    # the steps' columns have names that a user's table does not
+    at = ("_lon_" + out[0], "_lat_" + out[1])
+    return project(unproject(df, source, x, y, at), target, *at, out).drop(*at)

@@ -203,3 +203,49 @@ def prj03(spark, sf_dir):
     df = projection.utm_to_lonlat(o, "x", "y", projection.utm_zone(F.col("clon")), F.col("clat") >= 0)
     pick = lambda a, b: F.round(F.when(F.col("flat"), F.col(a)).otherwise(F.col(b)), 6)
     return df.select("world", pick("x", "lat").alias("origin_lat"), pick("y", "lon").alias("origin_lon"))
+
+
+BACK_SQL = f"""k as (select sqrt(0.006674372230614e0) as e, 0.006674372230614e0 as e2, radians(49.5e0) as p0, radians(24 + 50 / 60.0e0) as l0, pi() / 2 - 1.04216856380474e0 as al, radians(78.5e0) as pp),
+k2 as (select *, 6377397.155e0 * sqrt(1 - e2) / (1 - e2 * sin(p0) ** 2) as a, sqrt(1 + e2 * cos(p0) ** 4 / (1 - e2)) as bb, sin(pp) as n from k),
+k3 as (select *, tan(pi() / 4 + asin(sin(p0) / bb) / 2) * ((1 + e * sin(p0)) / (1 - e * sin(p0))) ** (e * bb / 2) / tan(pi() / 4 + p0 / 2) ** bb as t0, 0.9999e0 * a / tan(pp) as r0 from k2),
+i0 as (select id, sqrt(x * x + y * y) as rho, atan2(-x, -y) / n as d, k3.* from m, k3),
+i1 as (select *, 2 * (atan((r0 / rho) ** (1 / n) * tan(pp / 2 + pi() / 4)) - pi() / 4) as t from i0),
+i2 as (select *, asin(cos(al) * sin(t) - sin(al) * cos(t) * cos(d)) as u from i1),
+i3 as (select id, e, l0 - asin(cos(t) * sin(d) / cos(u)) / bb as lam, (tan(u / 2 + pi() / 4) / t0) ** (1 / bb) as k, list_reduce([u] || range(6), lambda p, i:
+  2 * (atan((tan(u / 2 + pi() / 4) / t0) ** (1 / bb) * ((1 + e * sin(p)) / (1 - e * sin(p))) ** (e / 2)) - pi() / 4)) as phi from i2),
+b1 as (select id, lam, phi, 6377397.155e0 / sqrt(1 - {projection.BESSEL_F * (2 - projection.BESSEL_F)!r} * sin(phi) ** 2) as nu, 0.0e0 as h from i3)"""
+
+
+def _back_pass(before: str, after: str) -> str:
+    m, e2, b = projection._helmert_inverse(), projection.WGS84_F * (2 - projection.WGS84_F), projection.WGS84_A * (1 - projection.WGS84_F)
+    axis = lambda i: f"({m[i][0]!r} * gx + {m[i][1]!r} * gy + {m[i][2]!r} * gz) * 1.0000035378e0 + {projection.SHIFT[i]!r}"
+    return f"""{after}g as (select *, (nu + h) * cos(phi) * cos(lam) as gx, (nu + h) * cos(phi) * sin(lam) as gy, (nu * {1 - projection.BESSEL_F * (2 - projection.BESSEL_F)!r} + h) * sin(phi) as gz from {before}),
+{after}w as (select id, lam, phi, nu, h, {axis(0)} as wx, {axis(1)} as wy, {axis(2)} as wz from {after}g),
+{after}t as (select *, sqrt(wx * wx + wy * wy) as r, atan2(wz * 6378137.0e0, sqrt(wx * wx + wy * wy) * {b!r}) as th from {after}w),
+{after}l as (select *, atan2(wz + {e2 / (1 - e2) * b!r} * sin(th) ** 3, r - {e2 * projection.WGS84_A!r} * cos(th) ** 3) as lat from {after}t),
+{after} as (select id, lam, phi, nu, h - (r / cos(lat) - 6378137.0e0 / sqrt(1 - {e2!r} * sin(lat) ** 2)) as h, degrees(atan2(wy, wx)) as lon, degrees(lat) as lat from {after}l)"""
+
+
+@query("prj02_krovak_to_lonlat", f"""with m as (select s_suppkey as id, -900000.0e0 + s_suppkey * 4001 % 450000 as x, -1200000.0e0 + s_suppkey * 2503 % 260000 as y from supplier), {BACK_SQL}, {_back_pass("b1", "b2")}, {_back_pass("b2", "b3")}
+select id, round(lon, 9) as lon, round(lat, 9) as lat from b3""")
+def prj02_back(spark, sf_dir):
+    """Krovak's metres as degrees."""
+    k = F.col("s_suppkey")
+    m = inputs.table(spark, sf_dir, "supplier").select(k.alias("id"), (-900000.0 + k * 4001 % 450000).alias("x"), (-1200000.0 + k * 2503 % 260000).alias("y"))
+    return projection.transform(m, 5514, 4326, out=("lon", "lat")).select("id", F.round("lon", 9).alias("lon"), F.round("lat", 9).alias("lat"))
+
+
+UTM_PLACES = """select id as event_id, 15 + degrees((d - (1 + 2 * t + c) * d ** 3 / 6 + (5 - 2 * c + 28 * t - 3 * c ** 2 + 8 * ep2 + 24 * t ** 2) * d ** 5 / 120) / cos(p)) as lon,
+ degrees(p - tan(p) * q * (d ** 2 / 2 - (5 + 3 * t + 10 * c - 4 * c ** 2 - 9 * ep2) * d ** 4 / 24 + (61 + 90 * t + 298 * c + 45 * t ** 2 - 252 * ep2 - 3 * c ** 2) * d ** 6 / 720)) as lat
+ from (select *, (x - 500000) / (n * 0.9996e0) as d from (select *, 6378137.0e0 / sqrt(1 - e2 * sin(p) ** 2) as n, tan(p) ** 2 as t, ep2 * cos(p) ** 2 as c, (1 - e2 * sin(p) ** 2) / (1 - e2) as q from (
+ select *, mu + (3 * e1 / 2 - 27 * e1 ** 3 / 32) * sin(2 * mu) + (21 * e1 ** 2 / 16 - 55 * e1 ** 4 / 32) * sin(4 * mu) + 151 * e1 ** 3 / 96 * sin(6 * mu) + 1097 * e1 ** 4 / 512 * sin(8 * mu) as p from (
+ select *, y / 0.9996e0 / (6378137.0e0 * (1 - e2 / 4 - 3 * e2 ** 2 / 64 - 5 * e2 ** 3 / 256)) as mu from (select p_partkey as id, 400000.0e0 + p_partkey * 37 % 200000 as x, 5400000.0e0 + p_partkey * 101 % 200000 as y,
+ 1 / 298.257223563e0 * (2 - 1 / 298.257223563e0) as e2, e2 / (1 - e2) as ep2, (1 - sqrt(1 - e2)) / (1 + sqrt(1 - e2)) as e1 from part)))))"""
+
+
+@query("prj02_utm_to_krovak", f"with {KROVAK_SQL.replace(inputs.PLACES_SQL, UTM_PLACES)} select event_id as id, round(x, 3) as x, round(y, 3) as y from kr")
+def prj02_utm(spark, sf_dir):
+    """Metres of UTM zone 33 as metres of Krovak, through WGS84."""
+    k = F.col("p_partkey")
+    m = inputs.table(spark, sf_dir, "part").select(k.alias("id"), (400000.0 + k * 37 % 200000).alias("x"), (5400000.0 + k * 101 % 200000).alias("y"))
+    return projection.transform(m, 32633, 5514).select("id", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"))

@@ -70,6 +70,13 @@ def recomputed(df: DataFrame, subject: Column, recorded: str, now: str, toleranc
     ])
 
 
+def known_points(converted: DataFrame, subject: Column, before: str, after: str, most: float) -> DataFrame:
+    """A conversion tried at known points: an error where it has no finite result, a warning where it moves by more than `most`."""
+    d = F.col(after) - F.col(before)
+    lost = F.coalesce(F.isnan(d) | (F.abs(d) == float("inf")), F.lit(True))
+    return report(converted, subject, [(ERROR, "grid", lost, "no finite height"), (WARNING, "shift", ~lost & (F.abs(d) > most), "implausible shift")])
+
+
 def stray(files: DataFrame, declared: DataFrame) -> DataFrame:
     """Warnings for files (path) that are tiles by their name but not declared (path), and for leftovers of writes."""
     names = files.withColumn("tile", F.col("path").rlike(r"(^|/)tile_-?\d+_-?\d+\.tif$"))

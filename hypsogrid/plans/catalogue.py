@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import blocks, catalogue, rasters, storage, vertical
+from ..operators import blocks, catalogue, rasters, storage
 from . import inputs
 from .registry import query
 
@@ -115,64 +115,6 @@ def agg14(spark, sf_dir):
     return g.agg(F.count_if(F.col("l_quantity") > 25).alias("written"), F.count_if(F.col("l_quantity") <= 25).alias("reused"), F.count_if(F.col("l_tax") == 0).alias("cache_hits"))
 
 
-CAND = "select p_brand as datum, p_partkey as rank, p_size % 4 <> 0 as available, p_size % 5 = 0 as preferred, p_size % 7 = 0 as ballpark from part"
-
-
-@query("prj19_vertical_operation", f"select datum, min_by(rank, case when preferred then 0 else 1000000000 end + rank) as rank from ({CAND}) where available and not ballpark group by datum")
-def prj19(spark, sf_dir):
-    s = F.col("p_size")
-    c = inputs.table(spark, sf_dir, "part").select(F.col("p_brand").alias("datum"), F.col("p_partkey").alias("rank"), (s % 4 != 0).alias("available"), (s % 5 == 0).alias("preferred"), (s % 7 == 0).alias("ballpark"))
-    return vertical.choose(c, "datum")
-
-
-GEOID = f"""g as (select s_suppkey % 10 as col, s_suppkey // 10 as row, 40 + s_suppkey % 16 / 4.0e0 as n from supplier where s_suppkey % 29 <> 0), {V},
-p as (select world, seq, x, y, x + y as z, cast(floor(x / 8) as bigint) as c, cast(floor(y / 8) as bigint) as r, x / 8 - floor(x / 8) as fx, y / 8 - floor(y / 8) as fy from v),
-s as (select world, seq, z, z + ((a.n * (1 - fx) + b.n * fx) * (1 - fy) + (c0.n * (1 - fx) + d.n * fx) * fy) as shifted from p left join g a on a.col = c and a.row = r left join g b on b.col = c + 1 and b.row = r left join g c0 on c0.col = c and c0.row = r + 1 left join g d on d.col = c + 1 and d.row = r + 1)"""
-
-
-def _shifted(spark, sf_dir):
-    k = F.col("s_suppkey")
-    nodes = inputs.table(spark, sf_dir, "supplier").where("s_suppkey % 29 <> 0").select((k % 10).alias("col"), F.floor(k / 10).alias("row"), (40 + k % 16 / 4).alias("n"))
-    points = _vertices(spark, sf_dir).withColumn("z", F.col("x") + F.col("y"))
-    return vertical.shift(points, nodes, 8.0, ["world", "seq"])
-
-
-@query("prj20_shifted_heights", f"with {GEOID} select * from s")
-def prj20(spark, sf_dir):
-    return _shifted(spark, sf_dir)
-
-
-@query("prj21_converted_raster", f"""with {PX}, g as (select s_suppkey % 10 as col, s_suppkey // 10 as row, 40 + s_suppkey % 16 / 4.0e0 as n from supplier),
-p as (select px.col as pc, px.row as pr, v, cast(floor(px.col / 8.0e0) as bigint) as c, cast(floor(px.row / 8.0e0) as bigint) as r, px.col / 8.0e0 - floor(px.col / 8.0e0) as fx, px.row / 8.0e0 - floor(px.row / 8.0e0) as fy from px where v is not null)
-select pc as col, pr as row, cast(cast(v as double) + ((a.n * (1 - fx) + b.n * fx) * (1 - fy) + (c0.n * (1 - fx) + d.n * fx) * fy) as float) as v from p left join g a on a.col = c and a.row = r left join g b on b.col = c + 1 and b.row = r left join g c0 on c0.col = c and c0.row = r + 1 left join g d on d.col = c + 1 and d.row = r + 1""")
-def prj21(spark, sf_dir):
-    """Heights of a raster on another datum, 32 bits; pixels without a height stay so."""
-    k = F.col("s_suppkey")
-    nodes = inputs.table(spark, sf_dir, "supplier").select((k % 10).alias("col"), F.floor(k / 10).alias("row"), (40 + k % 16 / 4).alias("n"))
-    px = inputs.pixels(spark, sf_dir).where("v is not null").select("col", "row", F.col("col").cast("double").alias("x"), F.col("row").cast("double").alias("y"), F.col("v").cast("double").alias("z"))
-    out = vertical.shift(px.withColumnsRenamed({"col": "pc", "row": "pr"}), nodes, 8.0, ["pc", "pr"])
-    return out.select(F.col("pc").alias("col"), F.col("pr").alias("row"), F.col("shifted").cast("float").alias("v"))
-
-
-@query("agg13_largest_drift", f"with {V} select world, max(greatest(abs(x * 0.0078125e0), abs(y * 0.00390625e0))) as drift, max(greatest(abs(x * 0.0078125e0), abs(y * 0.00390625e0))) > 0.25e0 as too_far from v group by world")
-def agg13(spark, sf_dir):
-    v = _vertices(spark, sf_dir).select("world", "x", "y", (F.col("x") * 1.0078125).alias("x1"), (F.col("y") * 1.00390625).alias("y1"))
-    d = vertical.drift(("x", "y"), ("x1", "y1"))
-    return v.groupBy("world").agg(d.alias("drift"), (d > 0.25).alias("too_far"))
-
-
-@query("agg17_known_points", f"with {GEOID} select world, max(abs(shifted - z)) as delta, count(*) filter (shifted is null) as n_missing, coalesce(max(abs(shifted - z)) > 43, true) as implausible from s where seq = 0 group by world")
-def agg17(spark, sf_dir):
-    """Shifts at chosen points; here more than 43 units is implausible."""
-    d = F.max(F.abs(F.col("shifted") - F.col("z")))
-    return _shifted(spark, sf_dir).where("seq = 0").groupBy("world").agg(d.alias("delta"), F.count_if(F.col("shifted").isNull()).alias("n_missing"), F.coalesce(d > 43, F.lit(True)).alias("implausible"))
-
-
-@query("udf04_datums", "select * from (values ('egm96', 'EPSG:5514+EPSG:5773', true), ('wgs84-ellipsoid', 'EPSG:4979', false)) t(datum, crs, keeps_place)")
-def udf04(spark, sf_dir):
-    return vertical.targets(spark)
-
-
 @query("agg16_parity", "select l_linenumber, max(abs(l_extendedprice - o_totalprice)) as worst, count(*) filter (l_discount = 0 and o_orderstatus = 'F') as both_missing, count(*) filter ((l_discount = 0) <> (o_orderstatus = 'F')) as mismatches from lineitem join orders on l_orderkey = o_orderkey group by l_linenumber")
 def agg16(spark, sf_dir):
     """Two samplers' answers compared: worst difference, missing in both, missing in one."""

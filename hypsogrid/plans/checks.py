@@ -48,14 +48,6 @@ def val04(spark, sf_dir):
     return checks.plausibility(rasters.tile_stats(tiles, ["ix", "iy"]), F.concat_ws(",", "ix", "iy"), 920.0, 1900.0).drop("message")
 
 
-@query("val06_vertical_smoke", """select case when s_suppkey % 3 = 0 then 'error' else 'warning' end as severity, case when s_suppkey % 3 = 0 then 'grid' else 'shift' end as "check", cast(s_suppkey as varchar) as subject from supplier where s_suppkey % 3 = 0 or s_acctbal > 5000""")
-def val06(spark, sf_dir):
-    """Known points on another datum: no grid is an error, a large shift (here over 5000) a warning."""
-    k = F.col("s_suppkey")
-    df = inputs.table(spark, sf_dir, "supplier").select(k, F.when(k % 3 != 0, F.col("s_acctbal")).alias("delta"))
-    return checks.report(df, k, [(checks.ERROR, "grid", F.col("delta").isNull(), "no grid"), (checks.WARNING, "shift", F.col("delta") > 5000, "implausible shift")]).drop("message")
-
-
 RECORD = f"""{FOUR}, h as (select event_id, {LERP} as height from k {FOUR_JOINS}), r as (select event_id, height, case when event_id % 40 = 1 then null when event_id % 40 = 2 then height + 0.5e0 else height end as recorded from h)"""
 
 

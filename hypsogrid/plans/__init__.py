@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import blocks, builds, catalogue, checks, grids, lattice, polygons, rasters, registry, sampling, sources, vertical
+from . import blocks, builds, catalogue, checks, grids, lattice, polygons, rasters, registry, sampling, services, sources, vertical
 
 
 def all_queries() -> dict[str, registry.Query]:

@@ -164,15 +164,16 @@ def src13(spark, sf_dir):
 def src14(spark, sf_dir):
     k, n = F.col("p_partkey"), F.col("p_size") % 6
     w = k % 100 + 1
-    problem = requests.decode_problem(F.when(n == 1, 3).otherwise(1), F.when(n == 2, w + 1).otherwise(w), F.lit(64), F.when(n != 3, 5514), F.when(n == 4, 2.1).otherwise(2.0), k + F.when(n == 5, 1.5).otherwise(0.5), w, F.lit(64), 5514, 2.0, k.cast("double"))
+    problem = requests.decode_problem(F.when(n == 1, 3).otherwise(1), F.when(n == 2, w + 1).otherwise(w), F.lit(64), F.when(n != 3, 5514), F.when(n == 4, 2.1).otherwise(2.0), k + F.when((n == 5) & (k % 2 == 0), 1.5).otherwise(0.5), -k + F.when((n == 5) & (k % 2 == 1), -1.5).otherwise(0.5), w, F.lit(64), 5514, 2.0, k.cast("double"), -k.cast("double"))
     return inputs.table(spark, sf_dir, "part").select(k.alias("k"), problem.alias("problem"))
 
 
-@query("src15_render_replies", BOXED + """ select box, case box % 4 when 1 then 'no link' when 2 then 'size' when 3 then 'extent' end as problem from b""")
+@query("src15_render_replies", BOXED + """ select box, case box % 6 when 1 then 'no link' when 2 then 'size' when 3 then 'extent' when 4 then 'crs' when 5 then 'refused' end as problem from b""")
 def src15(spark, sf_dir):
-    n, sides = F.col("box") % 4, [F.col(c) for c in ("west", "south", "east", "north")]
+    n, sides = F.col("box") % 6, [F.col(c) for c in ("west", "south", "east", "north")]
     reply = F.to_json(F.struct(F.when(n != 1, "http://x/y.png").alias("href"), F.when(n == 2, 9).otherwise(8).alias("width"), F.lit(8).alias("height"),
-                               F.struct((sides[0] + F.when(n == 3, 0.5).otherwise(0.001)).alias("xmin"), sides[1].alias("ymin"), sides[2].alias("xmax"), sides[3].alias("ymax")).alias("extent")))
+                               F.struct((sides[0] + F.when(n == 3, 0.5).otherwise(0.001)).alias("xmin"), sides[1].alias("ymin"), sides[2].alias("xmax"), sides[3].alias("ymax"),
+               F.struct(F.when(n == 4, 5514).otherwise(4326).alias("wkid")).alias("spatialReference")).alias("extent"), F.when(n == 5, "busy").alias("error")))
     return inputs.boxes(spark, sf_dir).select("box", requests.extent_problem(reply, F.lit(8), F.lit(8), *sides).alias("problem"))
 
 

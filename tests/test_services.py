@@ -128,12 +128,15 @@ def test_data_source_asks_for_what_is_wanted(spark):
     finally:
         spark.conf.unset("spark.sql.python.filterPushdown.enabled")
     with pytest.raises(Exception, match="status 404"):
-        read_service(spark, height_service(Client(Refusing()), "http://made.up", GRID), (0, 0, 2, 2)).collect()
+        read_service(spark, height_service(Client(refusing()), "http://made.up", GRID), (0, 0, 2, 2)).collect()
 
 
-class Refusing:
-    def get(self, url, params, timeout_s):
-        return Reply(404, "text/plain", b"no")
+def refusing():
+    class Refusing:  # local, so that its code goes to the tasks, which cannot import the tests
+        def get(self, url, params, timeout_s):
+            return Reply(404, "text/plain", b"no")
+
+    return Refusing()
 
 
 def test_store_of_replies(spark, tmp_path):
@@ -142,7 +145,7 @@ def test_store_of_replies(spark, tmp_path):
     source = ServiceSource(height_service(client(), "http://made.up/heights", GRID), store)
     first = source.read(windows.where("window_id < 3")).count()
     assert store.entries(spark).count() == 3
-    dead = ServiceSource(height_service(Client(Refusing()), "http://made.up/heights", GRID), store)
+    dead = ServiceSource(height_service(Client(refusing()), "http://made.up/heights", GRID), store)
     assert dead.read(windows.where("window_id < 3")).count() == first  # all from the store
     with pytest.raises(Exception, match="status 404"):
         dead.read(windows)

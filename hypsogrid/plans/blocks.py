@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import blocks, grid, projection, rasters, sampling
+from ..operators import blocks, grid, projection, rasters, sampling, storage, stored
 from . import grids, inputs
 from .registry import query
 
@@ -110,16 +110,30 @@ def prj04(spark, sf_dir):
     return sampling.split_fraction(p.select("event_id", "f.*")).select("event_id", "c0", "r0", "fx", "fy")
 
 
-@query("ras04_resample", f"""with {PX}, w as (select unnest(range(0, 60)) as col), h as (select unnest(range(0, 30)) as row), k0 as (select w.col as tc, h.row as tr, w.col * 0.75e0 + 0.25e0 as u, h.row * 1.25e0 + 0.5e0 as v from w, h),
-k as (select *, cast(floor(u) as bigint) c0, cast(floor(v) as bigint) r0, u - floor(u) fx, v - floor(v) fy from k0) select tc as col, tr as row, cast({LERP} as float) as v from k {FOUR_JOINS}""")
+RESAMPLE = f"""with {PX}, w as (select unnest(range(0, 60)) as col), h as (select unnest(range(0, 30)) as row), k0 as (select w.col as tc, h.row as tr, w.col * 0.75e0 + 0.25e0 as u, h.row * 1.25e0 + 0.5e0 as v from w, h),
+k as (select *, cast(floor(u) as bigint) c0, cast(floor(v) as bigint) r0, u - floor(u) fx, v - floor(v) fy from k0) select tc as col, tr as row, cast({LERP} as float) as v from k {FOUR_JOINS}"""
+
+
+def _lattice(spark):
+    lattice = spark.range(60).select(F.col("id").alias("col"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(29).cast("long"))).alias("row"))
+    return lattice.select("col", "row", (F.col("col") * 0.75 + 0.25).alias("u"), (F.col("row") * 1.25 + 0.5).alias("v"))
+
+
+@query("ras04_resample", RESAMPLE)
 def ras04(spark, sf_dir):
     """Another lattice's pixels (60 by 30, steps of 0.75 and 1.25) sampled at their centres, as 32-bit heights."""
-    lattice = spark.range(60).select(F.col("id").alias("col"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(29).cast("long"))).alias("row"))
-    at = lattice.select("col", "row", (F.col("col") * 0.75 + 0.25).alias("u"), (F.col("row") * 1.25 + 0.5).alias("v"))
-    found = blocks.bilinear(at, ["col", "row"], _blocks(spark, sf_dir), SIZE)
+    found = blocks.bilinear(_lattice(spark), ["col", "row"], _blocks(spark, sf_dir), SIZE)
     return found.select("col", "row", F.col("height").cast("float").alias("v"))
 
 
+@query("ras04_halo_resample", RESAMPLE)
+def ras04_halo(spark, sf_dir):
+    """The same from blocks with a halo in buckets: one join, in which only the lattice's pixels move."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    halo = stored.write_buckets(stored.with_halo(_blocks(spark, sf_dir), SIZE), storage.scratch(spark, "halo"), buckets)
+    return stored.bilinear(_lattice(spark), halo, SIZE).select("col", "row", F.col("height").cast("float").alias("v"))
+
+
 @query("ras06_stitched_pieces", f"""with {PX}, {WIN}, t as (select window_id, col - c as col, row - r as row, v from px join w on col >= c and col < c + width and row >= r and row < r + height where v is not null) select * from t""")
 def ras06(spark, sf_dir):
     """Windows read in pieces of at most 4 pixels a side and put together again."""
@@ -183,3 +197,12 @@ def agg05_blocks(spark, sf_dir):
     px = inputs.pixels(spark, sf_dir).withColumn("v", F.when(F.col("v").isNotNull() & (F.col("row") % 11 == 3), F.lit(float("nan")).cast("float")).otherwise(F.col("v")))
     s = blocks.block_stats(blocks.to_blocks(px, SIZE), [F.floor(F.col("bx") / 2).alias("ix"), F.floor(F.col("by") / 2).alias("iy")], SIZE)
     return s.drop("n_in_blocks").withColumns({c: F.col(c).cast("long") for c in ("n_valid", "n_not_finite")})
+
+
+@query("src07_window_on_curve", f"with {PX} select col, row, v from px where col >= 11 and col < 30 and row >= 5 and row < 21 and v is not null")
+def src07_curve(spark, sf_dir):
+    """Blocks written along the Morton curve; a window read by ranges of it."""
+    path, window = storage.scratch(spark, "curve"), (11, 5, 19, 16)
+    stored.write_along_curve(_blocks(spark, sf_dir), path, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    one = spark.createDataFrame([(0, *window)], "window_id int, col_min long, row_min long, width int, height int")
+    return blocks.window_scan(stored.window_on_curve(spark, path, window, SIZE).drop("z"), one, SIZE).drop("window_id")

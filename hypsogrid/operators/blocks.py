@@ -12,11 +12,14 @@ from .sampling import CORNERS, lerp2, split_fraction
 
 
 def to_blocks(pixels: DataFrame, size: int) -> DataFrame:
-    """pixels (col, row, v), at most one row a pixel. A block gathers size * size pixels, a bound of its own."""
+    """pixels (col, row, v) -> blocks. A block gathers its pixels, size * size of them as its bound; where a source gives
+    a pixel more than once, its smallest value stays."""
     within = F.pmod(F.col("row"), F.lit(size)) * size + F.pmod(F.col("col"), F.lit(size))
     keyed = pixels.where("v is not null").select(
         F.floor(F.col("col") / size).alias("bx"), F.floor(F.col("row") / size).alias("by"), F.struct(within.cast("int").alias("i"), "v").alias("p"))
-    maps = keyed.groupBy("bx", "by").agg(F.map_from_entries(F.collect_list("p")).alias("m"))
+    once = lambda p: F.filter(p, lambda x, k: (k == 0) | (F.get(p, k - 1)["i"] != x["i"]))
+    listed = keyed.groupBy("bx", "by").agg(F.sort_array(F.collect_list("p")).alias("p"))
+    maps = listed.select("bx", "by", F.map_from_entries(once(F.col("p"))).alias("m"))
     values = F.transform(F.sequence(F.lit(0), F.lit(size * size - 1)), lambda i: F.try_element_at("m", i))
     return maps.select("bx", "by", values.alias("values"))
 

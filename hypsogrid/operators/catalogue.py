@@ -6,6 +6,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: The order of each table's rows when written.
+KEYS = {
+    "tiles": ("ix", "iy"), "lattice": ("ix", "iy"), "imagery": ("ix", "iy"), "links": ("world", "ix", "iy"), "lattice_links": ("world", "ix", "iy"),
+    "worlds": ("name",), "vertices": ("world", "seq"), "test_points": ("lat", "lon", "height"),
+}
+#: Rows of a file of a catalogue table.
+FILE_ROWS = 1_000_000
+
+
+def write_table(df: DataFrame, path: str, keys: tuple[str, ...], file_rows: int = FILE_ROWS) -> None:
+    """Writes a table so that equal rows make equal files, however they were dealt before: sorted by keys, and cut into
+    files by the rows' places in that order."""
+    from . import ordered
+
+    n = df.count()
+    placed = ordered.numbered(df, keys) if n > file_rows else df.withColumn("position", F.lit(0).cast("long"))
+    files = max(1, -(-n // file_rows))
+    dealt = placed.repartitionByRange(files, F.floor(F.col("position") / file_rows)) if files > 1 else placed.coalesce(1)
+    dealt.sortWithinPartitions(*keys).drop("position").write.parquet(path)
+
+
+def digest(df: DataFrame) -> str:
+    """A digest of a table's rows, which neither their order nor their partitions change."""
+    one = df.select(F.xxhash64(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})).cast("decimal(38,0)").alias("h"))
+    r = one.agg(F.count(F.lit(1)).alias("n"), F.sum("h").alias("s"), F.bit_xor(F.col("h").cast("long")).alias("x")).first()
+    return f"{r['n']}-{(int(r['s'] or 0)) % (1 << 64):016x}-{(r['x'] or 0) % (1 << 64):016x}"
+
+
 def vertices_of(worlds: DataFrame) -> DataFrame:
     """world, seq, lat, lon of worlds (name, points)."""
     return worlds.select(F.col("name").alias("world"), F.posexplode("points").alias("seq", "p")).select("world", "seq", "p.lat", "p.lon")

@@ -34,8 +34,11 @@ def _c(name: str) -> Column:
 
 
 def _done(df: DataFrame, out: tuple[str, str], finite: Column, first: Column, second: Column) -> DataFrame:
-    df = df.withColumns({out[0]: F.when(finite, first), out[1]: F.when(finite, second)})
-    return df.drop(*(c for c in df.columns if c.startswith(_STEPS)))
+    """The result as an array of one struct taken apart again: conditions on it, and such as the optimiser infers, stop
+    there. Pushed further they would have each step written out in all that use it, whose number doubles with each."""
+    others = [c for c in df.columns if not c.startswith(_STEPS) and c not in out]
+    place = F.struct(F.when(finite, first).alias(out[0]), F.when(finite, second).alias(out[1]))
+    return df.select(*others, F.inline(F.array(place)))
 
 
 def _finite(lon: Column, lat: Column) -> Column:

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the folder that a cluster shares (spark.checkpoint.dir); of this machine if the session runs in one process."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    base = sc.getConf().get("spark.checkpoint.dir", None) or sc._jsc.sc().getCheckpointDir().getOrElse(None)
     if not base:
         if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
@@ -67,6 +68,21 @@ def write_atomically(df: DataFrame, target: str, overwrite: bool = False, valida
         remove(spark, staged)
 
 
+def listed(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder, none if it is not there."""
+    at, fs = _files(spark, folder)
+    return sorted(s.getPath().getName() for s in fs.listStatus(at)) if fs.exists(at) else []
+
+
+def partitions(spark: SparkSession, folder: str) -> list[tuple[str, int, int]]:
+    """(build, ix, iy) of the folders of tiles below a folder."""
+    out, at = [], lambda name: name.partition("=")[2]
+    for b in (n for n in listed(spark, folder) if n.startswith("build=")):
+        for x in (n for n in listed(spark, f"{folder}/{b}") if n.startswith("ix=")):
+            out += [(at(b), int(at(x)), int(at(y))) for y in listed(spark, f"{folder}/{b}/{x}") if y.startswith("iy=")]
+    return out
+
+
 def clean(spark: SparkSession, folder: str) -> int:
     """Deletes what unfinished writes left in a folder; how many there were."""
     at, fs = _files(spark, folder)

@@ -74,6 +74,6 @@ def udf03(spark, sf_dir):
     lon, lat = 12.5 + k % 25 / 10, 49 + k % 11 / 10
     corner = lambda a, b: F.struct((lon + a).alias("lon"), (lat + b).alias("lat"))
     worlds = inputs.table(spark, sf_dir, "supplier").select(F.concat(F.lit("w"), k.cast("string")).alias("name"), F.array(corner(0, 0), corner(0.2, 0), corner(0.1, 0.15)).alias("points"))
-    options = PrepareOptions(resolution=6000.0, tile_px=8, block_px=8, origin_x=-905_000.0, origin_y=-930_000.0)
+    options = PrepareOptions(resolution=6000.0, tile_px=8, block_px=8, origin_x=-905_000.0, origin_y=-930_000.0, datum="egm96", rgb_resolution_m=1000.0, wgs_tile_px=64)
     made = dataset.prepare(worlds, storage.scratch(spark, "built"), options, BlockSource(_blocks(spark, sf_dir), 8))
     return made.kept.withColumn("action", F.lit("written")).unionByName(made.skipped.select("world", F.lit("skipped").alias("action")))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import blocks, checks, polygons, rasters, storage
-from ..streaming.sampling import sample_stream
+from ..operators import blocks, checks, polygons, rasters, storage, stored
+from ..options import SamplerOptions
+from ..streaming.sampling import sample_stream, serve
 from . import grids, inputs
 from .blocks import FOUR, FOUR_JOINS, LERP, PT, PX, WIN, _blocks, _windows
 from .polygons import EDGES, MEETS
@@ -322,6 +323,29 @@ def src22(spark, sf_dir):
     return v.groupBy(F.floor(F.col("col") / 8).alias("bx"), F.floor(F.col("row") / 8).alias("by")).agg(F.sum(F.col("v").cast("double")).alias("total"))
 
 
+def _halo(spark, sf_dir):
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return stored.write_buckets(stored.with_halo(_blocks(spark, sf_dir), 8), storage.scratch(spark, "halo"), buckets)
+
+
+@query("str02_request_answers", f"""with {FOUR}, h as (select event_id, {LERP} as height from k {FOUR_JOINS}), r as (select event_id // 16 as request_id, count(*) as n, count(*) filter (height is null) as n_unavailable from h group by 1)
+select request_id, cast(event_id % 16 as int) as seq, height, height is not null as valid, cast(n_unavailable as int) as n_unavailable, true as success, case when n_unavailable = 0 then '' else n_unavailable || ' of ' || n || ' points have no height' end as message from h join r on r.request_id = event_id // 16""")
+def str02(spark, sf_dir):
+    """Requests of 16 points on a stream, each answered once by its heights in order, valid flags and a message."""
+    size = inputs.table(spark, sf_dir, "part").agg(F.floor(F.max("p_partkey") / inputs.WIDTH) + 1).first()[0]
+    events = inputs.table(spark, sf_dir, "events")
+    last, k = events.agg(F.max("event_id")).first()[0], F.col("event_id")
+    stream = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet*").parquet(sf_dir)
+    ids = F.floor(k / 16)
+    rows = stream.select(ids.alias("request_id"), F.least(F.lit(16), last + 1 - ids * 16).cast("int").alias("n_points"), (k % 16).cast("int").alias("seq"), F.col("ts").cast("timestamp").alias("time"),
+                         (F.pmod(k * 37, F.lit(8 * inputs.WIDTH)) / 8).alias("u"), (F.pmod(k * 101, F.lit(8 * size)) / 8).alias("v"))
+    path = storage.scratch(spark, "answers")
+    serve(rows, _halo(spark, sf_dir), 8, SamplerOptions(late="3650 days"), f"{path}-state").trigger(availableNow=True).format("parquet").start(path).awaitTermination()
+    found = spark.read.parquet(path)
+    each = found.select("request_id", F.posexplode(F.arrays_zip("heights", "valid")).alias("seq", "p"), "n_unavailable", "success", "message")
+    return each.select("request_id", "seq", F.col("p.heights").alias("height"), F.col("p.valid").alias("valid"), "n_unavailable", "success", "message")
+
+
 @query("str01_streamed_samples", f"with {FOUR} select event_id, {LERP} as height from k {FOUR_JOINS}")
 def str01(spark, sf_dir):
     """The points as a stream, sampled until all there is has been read; equal to the batch."""
@@ -331,6 +355,6 @@ def str01(spark, sf_dir):
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet*").parquet(sf_dir)
     points = stream.select(k, (F.pmod(k * 37, F.lit(8 * inputs.WIDTH)) / 8).alias("u"), (F.pmod(k * 101, F.lit(8 * n_rows)) / 8).alias("v"))
     path = storage.scratch(spark, "stream")
-    sampled = sample_stream(points, inputs.pixels(spark, sf_dir)).select("event_id", "height")
+    sampled = sample_stream(points, _halo(spark, sf_dir), 8).select("event_id", "height")
     sampled.writeStream.format("parquet").option("checkpointLocation", f"{path}-state").trigger(availableNow=True).start(path).awaitTermination()
     return spark.read.parquet(path)

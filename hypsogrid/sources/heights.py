@@ -11,20 +11,28 @@ from pyspark.sql import functions as F
 from ..operators import blocks, grid
 
 
+EVERYWHERE = (-float("inf"), -float("inf"), float("inf"), float("inf"))
+
+
 @runtime_checkable
 class HeightSource(Protocol):
-    """datum and coverage (west, south, east, north); `read` gives (window_id, col, row, v) for windows of the grid, and
+    """datum, coverage (west, south, east, north, in metres) and an id; `read` gives (window_id, col, row, v) for windows of the grid, and
     is called with windows of at most the size that the source can serve at once."""
 
     datum: str
     coverage: tuple[float, float, float, float]
+    source_id: str
 
     def read(self, windows: DataFrame) -> DataFrame: ...
 
 
 @runtime_checkable
 class ImagerySource(Protocol):
-    """`read_rgba` gives (window_id, col, row, r, g, b, a), alpha NULL where a source has none."""
+    """coverage (west, south, east, north, in degrees) and an id; `read_rgba` gives (window_id, col, row, r, g, b, a),
+    alpha NULL where a source has none."""
+
+    coverage: tuple[float, float, float, float]
+    source_id: str
 
     def read_rgba(self, windows: DataFrame) -> DataFrame: ...
 
@@ -36,18 +44,27 @@ class BlockSource:
     table: DataFrame
     size: int
     datum: str = "egm96"
-    coverage: tuple[float, float, float, float] = (-float("inf"), -float("inf"), float("inf"), float("inf"))
+    coverage: tuple[float, float, float, float] = EVERYWHERE
+    source_id: str = "blocks"
+    native_origin: tuple[float, float] | None = None
 
     def read(self, windows: DataFrame) -> DataFrame:
         return blocks.window_scan(self.table, windows, self.size)
 
 
-def read_in_pieces(source: HeightSource, windows: DataFrame, most: int) -> DataFrame:
-    """A read of windows of any size: cut into pieces of at most `most` pixels a side, read, and put together by place."""
-    pieces = grid.split_windows(windows, most).select(
+def _pieces(windows: DataFrame, most: int) -> DataFrame:
+    return grid.split_windows(windows, most).select(
         F.struct("window_id", "piece_x", "piece_y").alias("window_id"), (F.col("col_min") + F.col("piece_x")).alias("col_min"),
         (F.col("row_min") + F.col("piece_y")).alias("row_min"), F.col("piece_w").alias("width"), F.col("piece_h").alias("height"))
-    return source.read(pieces).select("window_id.window_id", "col", "row", "v")
+
+
+def read_rgba_in_pieces(source: ImagerySource, windows: DataFrame, most: int) -> DataFrame:
+    return source.read_rgba(_pieces(windows, most)).select("window_id.window_id", "col", "row", "r", "g", "b", "a")
+
+
+def read_in_pieces(source: HeightSource, windows: DataFrame, most: int) -> DataFrame:
+    """A read of windows of any size: cut into pieces of at most `most` pixels a side, read, and put together by place."""
+    return source.read(_pieces(windows, most)).select("window_id.window_id", "col", "row", "v")
 
 
 def require_datum(source: HeightSource, expected: str) -> None:
@@ -63,6 +80,8 @@ class FormulaImagery:
     g: Column
     b: Column
     a: Column
+    coverage: tuple[float, float, float, float] = EVERYWHERE
+    source_id: str = "formula"
 
     def read_rgba(self, windows: DataFrame) -> DataFrame:
         rows = windows.withColumn("row", F.explode(F.sequence(F.col("row_min"), F.col("row_min") + F.col("height") - 1)))

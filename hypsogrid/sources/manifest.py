@@ -8,21 +8,35 @@ from pyspark.sql import functions as F
 FORMAT_VERSION = 2
 SCHEMA = (
     "format_version int, status string, created_utc string, updated_utc string, "
-    "heightmap struct<horizontal_crs: string, vertical_crs: string, unit: string, dtype: string, nodata: double>, "
+    "heightmap struct<horizontal_crs: string, vertical_crs: string, vertical_datum: string, unit: string, dtype: string, nodata: double>, "
     "grid struct<origin_x: double, origin_y: double, resolution_x: double, resolution_y: double, tile_width_px: int, tile_height_px: int, axis_order: string>, "
-    "storage struct<tile_pattern: string, block_width_px: int, block_height_px: int>, tiles array<struct<ix: bigint, iy: bigint>>, worlds array<string>, "
-    "wgs struct<crs: string, resolution_m: double, resolution_deg: double, height_pattern: string, rgb_pattern: string>"
+    "storage struct<format: string, compression: string, tile_pattern: string, block_width_px: int, block_height_px: int>, "
+    "source struct<source_id: string, vertical_datum: string, rgb_source_id: string>, "
+    "transform struct<method: string, steps: array<struct<grid: string, sign: int>>, accuracy_m: double, checksums: map<string, string>>, "
+    "tiles array<struct<ix: bigint, iy: bigint>>, worlds array<string>, test_points struct<path: string, `count`: bigint, columns: array<string>>, "
+    "wgs struct<crs: string, resolution_m: double, resolution_deg: double, height_factor: int, tile_px: int, height_pattern: string, rgb_pattern: string, tiles: array<struct<ix: bigint, iy: bigint>>>, "
+    "worlds_db struct<path: string, schema_version: int>, software map<string, string>"
 )
+KNOWN = ("format_version", "status", "created_utc", "updated_utc", "heightmap", "grid", "storage", "source", "transform", "tiles", "worlds", "test_points", "wgs", "worlds_db", "software")
 
 
 def read(documents: DataFrame, text: str = "text") -> DataFrame:
-    """documents with `m`; unknown keys are ignored, missing ones NULL, and m is NULL if the text is no JSON object."""
-    return documents.withColumn("m", F.from_json(text, SCHEMA))
+    """documents with `m`, missing keys NULL, and `more`, the sections that the schema does not know; both are NULL if the
+    text is no JSON object."""
+    whole = F.try_parse_json(text)
+    return documents.withColumns({"m": F.from_json(text, SCHEMA), "more": F.map_filter(whole.try_cast("map<string, variant>"), lambda k, _: ~k.isin(*KNOWN))})
 
 
 def write(manifests: DataFrame, now: Column) -> DataFrame:
-    """manifests (with `m`) with `document`: keys in the order of the schema, updated_utc set."""
-    return manifests.withColumn("document", F.to_json(F.col("m").withField("updated_utc", now)))
+    """manifests (with `m`, and `more` if it is there) with `document`: keys in the order of the schema, updated_utc set,
+    then the sections that the schema does not know, as they were."""
+    known = F.to_json(F.col("m").withField("updated_utc", now))
+    if "more" not in manifests.columns:
+        return manifests.withColumn("document", known)
+    key = lambda k: F.regexp_replace(F.to_json(F.array(k)), r"^\[|\]$", "")
+    pairs = F.transform(F.map_entries("more"), lambda e: F.concat(key(e["key"]), F.lit(":"), F.to_json(e["value"])))
+    more = F.when(F.size(pairs) > 0, F.concat(F.when(known != "{}", ",").otherwise(""), F.array_join(pairs, ",")))
+    return manifests.withColumn("document", F.concat(F.regexp_replace(known, r"\}$", ""), F.coalesce(more, F.lit("")), F.lit("}")))
 
 
 def strict_problem(m: Column) -> Column:
@@ -64,6 +78,7 @@ def problems(m: Column) -> Column:
         ("block size", never((s["block_width_px"] > 0) & (s["block_height_px"] > 0)), "block dimensions must be positive"),
         ("wgs crs", w.isNotNull() & never(epsg_of(w["crs"]) == 4326), "wgs crs must be EPSG:4326"),
         ("wgs resolution", w.isNotNull() & never((w["resolution_m"] > 0) & (w["resolution_deg"] > 0)), "wgs resolution must be positive"),
+        *((f"{n} pattern", w[f"{n}_pattern"].isNotNull() & pattern_problem(w[f"{n}_pattern"]).isNotNull(), f"{n}_pattern is unusable") for n in ("height", "rgb")),
         ("unique patterns", F.size(patterns) != F.size(F.array_distinct(patterns)), "tile patterns must differ"),
     ]
     found = F.array(*(F.when(bad, F.struct(F.lit(check).alias("check"), F.lit(text).alias("message"))) for check, bad, text in rules))

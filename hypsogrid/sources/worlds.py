@@ -24,6 +24,41 @@ def discover(listing: DataFrame) -> DataFrame:
     return listing.where(yaml).withColumn("place", F.when(F.col("from_directory"), F.struct(F.lit(0).cast("long").alias("position"), F.col("path"))).otherwise(F.struct("position", "path")))
 
 
+class InputError(ValueError):
+    """Inputs that name no world files, or mix a folder with files."""
+
+
+def named(spark: SparkSession, inputs: list[str]) -> DataFrame:
+    """The listing (path, position, from_directory) of inputs: one folder, or files one by one; a mixture, an input that is
+    not there, and a folder without world files are errors."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    rows, folders = [], 0
+    for i, name in enumerate(inputs):
+        at = jvm.org.apache.hadoop.fs.Path(name)
+        fs = at.getFileSystem(conf)
+        if not fs.exists(at):
+            raise InputError(f"{name} is not there")
+        if fs.getFileStatus(at).isDirectory():
+            folders += 1
+            rows += [(str(s.getPath()), i, True) for s in fs.listStatus(at) if s.isFile()]
+        else:
+            rows.append((str(fs.makeQualified(at)), i, False))
+    if folders and len(inputs) > 1:
+        raise InputError("inputs are one folder or files, not both")
+    found = spark.createDataFrame(rows, "path string, position int, from_directory boolean")
+    if not discover(found).take(1):
+        raise InputError(f"no world files in {', '.join(inputs)}")
+    return found
+
+
+def read_listed(spark: SparkSession, listing: DataFrame) -> DataFrame:
+    """Documents (path, position, text) of a listing's world files, positions by the order of discovery."""
+    paths = [r["path"] for r in discover(listing).orderBy("place").select("path").collect()]  # names that a user gave, or of one folder
+    order = spark.createDataFrame(list(enumerate(paths)), "position long, path string")
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    return read_documents(spark, paths).withColumn("_p", plain(F.col("path"))).join(F.broadcast(order.select("position", plain(F.col("path")).alias("_p"))), "_p").drop("_p")
+
+
 def read_documents(spark: SparkSession, paths: list[str]) -> DataFrame:
     """path and text of each file."""
     return spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))

@@ -1,8 +1,9 @@
 """Shuffled sharding: a Feistel permutation of global row numbers gives each row its shard and slot.
 
 Row numbers depend on the rows alone, not on files or partitions. Rows are counted by key first, so any
-number of equal rows is one counted row until it is dealt out again; keys are numbered inside hash buckets,
-and the buckets' totals, whose number is fixed by a parameter, are summed up and broadcast.
+number of equal rows is one counted row, which is cut into parts of at most COPIES equal rows that go to different
+buckets; parts are numbered inside hash buckets, and the buckets' totals, whose number is fixed by a parameter, are
+summed up and broadcast.
 
 Given the total N, the permutation is computable for any row number alone: shard = p mod shards and
 slot = p div shards for p = permute(number), so shards differ by one row at most and slots have no gaps.
@@ -27,12 +28,18 @@ PRIME = 2147483647
 #: At least half of the permutation's domain are row numbers, so each step of the walk ends it with
 #: probability 1/2 or more: 192 steps fail for none of 2**63 rows but with probability 2**-129.
 WALK = 192
-
-
-def number_rows(df: DataFrame, keys: list[str], buckets: int = BUCKETS) -> DataFrame:
-    """One row per row of df: its keys, `row_number` (0 to N-1, in the order of bucket and keys) and `n_rows` (N)."""
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
-    counted = counted.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+#: Steps that each row walks; the few rows that are not there by then walk on.
+FIRST_STEPS = 6
+#: Equal rows that one row stands for at most while rows are numbered.
+COPIES = 1 << 16
+
+
+def number_rows(df: DataFrame, keys: list[str], buckets: int = BUCKETS, copies: int = COPIES) -> DataFrame:
+    """One row per row of df: its keys, `row_number` (0 to N-1, in the order of bucket, keys and part) and `n_rows` (N)."""
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_all"))
+    parts = counted.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_all") - 1) / copies))))
+    counted = parts.withColumn("_copies", F.least(F.lit(copies).cast("long"), F.col("_all") - F.col("_part") * copies)).drop("_all")
+    counted = counted.withColumn("_bucket", F.pmod(F.pmod(F.xxhash64(*keys), F.lit(buckets)) + F.col("_part"), F.lit(buckets)).cast("int"))
     totals = counted.groupBy("_bucket").agg(F.sum("_copies").alias("_in_bucket"))
     # At most `buckets` rows: they fit one task, and a broadcast, at any input size.
     totals = totals.select(
@@ -40,7 +47,7 @@ def number_rows(df: DataFrame, keys: list[str], buckets: int = BUCKETS) -> DataF
         (F.sum("_in_bucket").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_in_bucket")).alias("_before"),
         F.sum("_in_bucket").over(Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("n_rows"),
     )
-    inside = Window.partitionBy("_bucket").orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("_bucket").orderBy(*keys, "_part").rowsBetween(Window.unboundedPreceding, 0)
     first = F.col("_before") + F.sum("_copies").over(inside) - F.col("_copies")
     return (
         counted.join(F.broadcast(totals), "_bucket")
@@ -85,10 +92,10 @@ def permute(df: DataFrame, number: str, n_rows: str, out: str, seed: int = 0, wa
     df = df.withColumn("_bits", F.greatest(F.lit(2), F.length(F.bin(F.col(n_rows) - 1))))  # 2**bits < 2 * n_rows, or 4
     df = df.withColumns({"_low": F.floor(F.col("_bits") / 2).cast("int"), "_high": F.ceil(F.col("_bits") / 2).cast("int")})
     network = lambda v: feistel(v, F.col("_low"), F.col("_high"), _round_constants(ROUNDS, seed))
-    walked = F.aggregate(
-        F.sequence(F.lit(1), F.lit(walk)), network(F.col(number)), lambda v, _: F.when(v < F.col(n_rows), v).otherwise(network(v))
-    )
-    df = df.withColumn(out, walked).drop("_bits", "_low", "_high")
+    steps = lambda first, n: F.aggregate(F.sequence(F.lit(1), F.lit(n)), first, lambda v, _: F.when(v < F.col(n_rows), v).otherwise(network(v)))
+    df = df.withColumn("_near", steps(network(F.col(number)), min(walk, FIRST_STEPS)))
+    further = steps(F.col("_near"), max(1, walk - FIRST_STEPS))
+    df = df.withColumn(out, F.when(F.col("_near") < F.col(n_rows), F.col("_near")).otherwise(further)).drop("_near", "_bits", "_low", "_high")
     failed = F.raise_error(F.lit("the cycle walk did not end")).cast("long")
     return df.withColumn(out, F.when(F.col(out) < F.col(n_rows), F.col(out)).otherwise(failed))
 

@@ -3,6 +3,8 @@
 For every conversation and participant the dialogue is rendered as one text, with the character spans that
 the participant itself says (text and end mark), which are what a model is trained on.
 
+Places are found in two levels: the lengths of runs of RUN turns are summed up first, then the places in each run.
+
 A conversation is one rendering for each participant, whatever its length, as a model needs all that was said
 before; so it has to fit a row of Spark, some 2 GB. Spans count characters from its start.
 
@@ -21,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SYSTEM = "system"
+#: Turns whose places are found one after another; a dialogue's time grows with its turns by this number, not by their square.
+RUN = 256
 END = "<|end|>\n"
 
 
@@ -47,11 +51,18 @@ def perspectives(turns: DataFrame) -> DataFrame:
         spans = F.when(s["own"], F.array_append(a["spans"], F.struct(start.alias("start"), end.alias("end")))).otherwise(a["spans"])
         return F.struct(end.alias("at"), spans.alias("spans"))
 
-    return laid.select(
+    run = lambda k: F.slice("said", k * RUN + 1, F.lit(RUN))
+    runs = laid.withColumn("runs", F.transform(F.sequence(F.lit(0), F.floor((F.size("said") - 1) / RUN).cast("int")), run))
+    lengths = F.transform("runs", lambda r: F.aggregate(r, F.lit(0), lambda n, s: n + F.length(s["head"]) + F.length(s["body"])))
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+    starts = F.aggregate(lengths, zero, lambda a, n: F.struct((a["at"] + n).alias("at"), F.array_append(a["starts"], a["at"]).alias("starts")))["starts"]
+    placed = runs.withColumn("placed", F.arrays_zip("runs", starts.alias("start")))
+    inside = lambda z: F.aggregate(z["runs"], F.struct(z["start"].alias("at"), nothing["spans"].alias("spans")), place)["spans"]
+    return placed.select(
         "conv_id", "perspective", F.size("said").cast("long").alias("n_turns"),
         F.size(F.filter("said", lambda s: s["own"])).cast("long").alias("n_own_turns"),
         F.array_join(F.transform("said", lambda s: F.concat(s["head"], s["body"])), "").alias("text"),
-        F.aggregate("said", nothing, place)["spans"].alias("spans"),
+        F.flatten(F.transform("placed", inside)).alias("spans"),
     )
 
 

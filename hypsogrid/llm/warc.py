@@ -1,6 +1,7 @@
 """WARC archives with revisits: one response per payload, other captures of it as revisit records.
 
-`write_archive` writes records as gzip files of at most RECORDS_PER_FILE; `read_archive` parses them by
+`write_archive` writes records as gzip files of at most RECORDS_PER_FILE, fewer where the largest payload asks for it,
+so that a file fits the value of less than 2 GB in which Spark reads it; `read_archive` parses them by
 Content-Length, with size and digest of each payload as read. `deduplicate` reads an archive's headers, shuffles
 them by payload digest, resolves each group of equal payloads to its first response, joins the decisions to the
 records by place in the archive, and writes a new archive: responses whole, revisits with headers of their own and
@@ -28,7 +29,8 @@ from pyspark.sql import functions as F
 
 from . import shared
 
-RECORDS_PER_FILE = 4096
+#: A file has at most so many records, and at most so many bytes before compression, if it has more than one.
+RECORDS_PER_FILE, FILE_BYTES, HEAD_BYTES = 4096, 1 << 30, 4096
 CRLF = "\r\n"
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -68,18 +70,26 @@ def _record(kind: str, page_id: Column, url: Column, digest: Column, n_bytes: Co
     return F.concat(head, http, payload) if payload is not None else F.concat(head, http)
 
 
-def write_archive(records: DataFrame, path: str) -> None:
+def records_per_file(largest: int | None, file_bytes: int = FILE_BYTES) -> int:
+    """How many records may share a file if the largest payload has so many bytes."""
+    return max(1, min(RECORDS_PER_FILE, file_bytes // ((largest or 0) + HEAD_BYTES)))
+
+
+def write_archive(records: DataFrame, path: str, per_file: int = RECORDS_PER_FILE) -> None:
     """records: one column `value`. The line separator of the text sink is what closes a record."""
-    records.select("value").write.options(lineSep=CRLF * 2, maxRecordsPerFile=RECORDS_PER_FILE, **_LEVEL).text(path)
+    records.select("value").write.options(lineSep=CRLF * 2, maxRecordsPerFile=per_file, **_LEVEL).text(path)
 
 
-def write_pages(pages: DataFrame, path: str) -> None:
-    """Every page as a response record."""
+def write_pages(pages: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> int:
+    """Every page as a response record; how many records a file has at most."""
+    largest = pages.agg(F.max(F.octet_length(F.coalesce(F.col("html"), F.lit(""))))).first()[0]
+    per_file = records_per_file(largest, file_bytes)
     payload = F.coalesce(F.col("html"), F.lit(""))
     made = pages.select("page_id", "url", payload.alias("_payload"))
     made = made.withColumns({"_hex": F.sha1(F.col("_payload")), "_n": F.octet_length("_payload").cast("long")})
     value = _record("response", F.col("page_id"), F.col("url"), base32(F.col("_hex")), F.col("_n"), F.col("_payload"), None)
-    write_archive(made.select(value.alias("value")), path)
+    write_archive(made.select(value.alias("value")), path, per_file)
+    return per_file
 
 
 class _Stream:
@@ -190,16 +200,18 @@ def resolve(headers: DataFrame, min_payload_bytes: int = 0) -> DataFrame:
     return joined.select("file", "offset", (original & own).alias("is_response"), first_id.alias("first_id"))
 
 
-def deduplicate(spark: SparkSession, source: str, target: str, min_payload_bytes: int = 0) -> None:
-    """Reads the archive at source and writes the one at target."""
-    roles = resolve(read_archive(spark, source), min_payload_bytes)
+def deduplicate(spark: SparkSession, source: str, target: str, min_payload_bytes: int = 0, per_file: int | None = None) -> None:
+    """Reads the archive at source and writes the one at target; per_file: as for the source, if that is known."""
+    headers = read_archive(spark, source)
+    per_file = per_file or records_per_file(headers.agg(F.max("payload_bytes")).first()[0])
+    roles = resolve(headers, min_payload_bytes)
     whole = read_archive(spark, source, with_payload=True).select("file", "offset", "page_id", "target_uri", "payload_digest", "payload_bytes", "payload")
     joined = whole.join(roles, ["file", "offset"])
     args = (F.col("page_id"), F.col("target_uri"), F.col("payload_digest"), F.col("payload_bytes"))
     value = F.when(F.col("is_response"), _record("response", *args, F.col("payload"), None)).otherwise(
         _record("revisit", *args, None, F.col("first_id"))
     )
-    write_archive(joined.select(value.alias("value")), target)
+    write_archive(joined.select(value.alias("value")), target, per_file)
 
 
 def with_payloads(records: DataFrame) -> DataFrame:
@@ -214,8 +226,7 @@ def archive_pages(pages: DataFrame, min_payload_bytes: int = 0) -> DataFrame:
     spark = pages.sparkSession
     shared.bounded_batches(spark)
     raw, slim = shared.folder(spark, "warc-raw"), shared.folder(spark, "warc")
-    write_pages(pages, raw)
-    deduplicate(spark, raw, slim, min_payload_bytes)
+    deduplicate(spark, raw, slim, min_payload_bytes, write_pages(pages, raw))
     return read_archive(spark, slim).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "target_uri")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -44,6 +44,43 @@ def links(needs: DataFrame) -> DataFrame:
     return needs.select("world", "ix", "iy").distinct()
 
 
+def first_wins(df: DataFrame, name: str, place: Column, keep: str) -> DataFrame:
+    """`name` and `keep` of the row that comes first by place among those of one name; partial sums, no sort."""
+    return df.groupBy(name).agg(F.min_by(keep, place).alias(keep))
+
+
+def preferred(candidates: DataFrame, group: str, later: Column, rank: str) -> DataFrame:
+    """Of each group the candidate of least rank among those that are not put `later`, or else among all."""
+    return first_wins(candidates, group, F.struct(later.alias("later"), F.col(rank).alias("rank")), rank)
+
+
+def vertex_counts(worlds: DataFrame, vertices: DataFrame, least: int = 3) -> DataFrame:
+    """world, n_vertices and whether they are enough, 0 for worlds without vertices."""
+    n = worlds.select("world").distinct().join(vertices.select("world", F.lit(1).alias("_one")), "world", "left")
+    return n.groupBy("world").agg(F.count("_one").alias("n_vertices"), (F.count("_one") >= least).alias("enough"))
+
+
+def undeclared(links_: DataFrame, tiles: DataFrame) -> DataFrame:
+    """Links to tiles that are not declared."""
+    return links_.join(tiles, ["ix", "iy"], "left_anti")
+
+
+def unneeded(tiles: DataFrame, kept_links: DataFrame) -> DataFrame:
+    """Tiles that no kept world needs."""
+    return tiles.join(kept_links, ["ix", "iy"], "left_anti")
+
+
+def both(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that both sides have, each once."""
+    return a.select(*keys).distinct().join(b, keys, "left_semi")
+
+
+def outcomes(tiles: DataFrame, by: list[str]) -> DataFrame:
+    """tiles (action, from_store) -> how many of each group were written, used again, and answered from the store."""
+    return tiles.groupBy(*by).agg(
+        F.count_if(F.col("action") == "written").alias("written"), F.count_if(F.col("action") == "reused").alias("reused"), F.count_if("from_store").alias("cache_hits"))
+
+
 def tiles_of(links_: DataFrame, tiles: DataFrame) -> DataFrame:
     """Links with the columns of their tiles."""
     return links_.join(tiles, ["ix", "iy"])

@@ -70,6 +70,26 @@ def recomputed(df: DataFrame, subject: Column, recorded: str, now: str, toleranc
     ])
 
 
+def parity(pairs: DataFrame, by: list[str], first: Column, second: Column) -> DataFrame:
+    """Two samplers' answers to the same points: the worst difference, how many both lack, and how many only one lacks."""
+    lacks = lambda c: c.isNull() | F.isnan(c)
+    return pairs.groupBy(*by).agg(
+        F.max(F.when(~lacks(first) & ~lacks(second), F.abs(first - second))).alias("worst"), F.count_if(lacks(first) & lacks(second)).alias("both_missing"),
+        F.count_if(lacks(first) != lacks(second)).alias("mismatches"))
+
+
+def unavailable(sampled: DataFrame, by: list[str], height: str = "height") -> DataFrame:
+    """Points and points without a height of each request, and the message that says so."""
+    g = sampled.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(height).isNull()).alias("n_unavailable"))
+    return g.withColumn("message", F.when(F.col("n_unavailable") == 0, "ok").otherwise(F.format_string("%d of %d points have no height", "n_unavailable", "n")))
+
+
+def catalogue_rules(counts: DataFrame, lone_links: DataFrame, subject: Column) -> DataFrame:
+    """Errors for worlds (world, n_vertices, enough) without enough vertices and for links to undeclared tiles."""
+    few = report(counts, F.col("world"), [(ERROR, "vertices", ~F.col("enough"), "fewer than 3 vertices")])
+    return extend(few, report(lone_links, subject, [(ERROR, "link", F.lit(True), "not declared")]))
+
+
 def known_points(converted: DataFrame, subject: Column, before: str, after: str, most: float) -> DataFrame:
     """A conversion tried at known points: an error where it has no finite result, a warning where it moves by more than `most`."""
     d = F.col(after) - F.col(before)

@@ -106,7 +106,7 @@ def tags_or_none(tags: Column) -> Column:
     return F.coalesce(tags, F.create_map().cast("map<string,string>"))
 
 
-def provenance(spark: SparkSession, facts: dict[str, str]) -> Column:
-    """Tags of a tile as a map: the facts, and the versions that made it."""
+def provenance(spark: SparkSession, facts: dict[str, str | Column]) -> Column:
+    """Tags of a tile as a map: the facts (texts or columns), and the versions that made it."""
     pairs = {**facts, "spark_version": spark.version, "python_version": platform.python_version()}
     return F.create_map(*(F.lit(x) for k in sorted(pairs) for x in (k, pairs[k])))

@@ -8,7 +8,7 @@ from .. import dataset
 from ..operators import blocks, rasters, storage
 from ..options import INTERPOLATIONS, PrepareOptions
 from ..sources import requests
-from ..sources.heights import BlockSource, FormulaImagery, read_in_pieces
+from ..sources.heights import BlockSource, FormulaImagery, read_in_pieces, usable_datum
 from . import inputs
 from .blocks import PX, WIN, _blocks, _windows
 from .registry import query
@@ -48,22 +48,28 @@ def snk10(spark, sf_dir):
     return spark.read.parquet(f"{folder}/set").agg(F.lit(n).alias("n_removed"), F.count(F.lit(1)).alias("n_kept"))
 
 
-@query("prj29_provenance")
+@query("prj29_provenance", "select s_suppkey as k, 'source-' || s_suppkey % 3 as source_id, 'EPSG:4979' as vertical_crs, 4 as n, true as has_versions from supplier")
 def prj29(spark, sf_dir):
-    """A tile's tags: what it was made of and by which versions; versions differ by installation, so there is no SQL."""
-    return spark.range(1).select(F.explode(rasters.provenance(spark, {"source": "plane", "vertical_crs": "EPSG:4979"})).alias("key", "value"))
+    """Each tile's tags: what it was made of and by which versions; versions differ by installation, so they are only there."""
+    k = F.col("s_suppkey")
+    t = inputs.table(spark, sf_dir, "supplier").select(k.alias("k"), rasters.provenance(spark, {"source_id": F.concat(F.lit("source-"), (k % 3).cast("string")), "vertical_crs": "EPSG:4979"}).alias("t"))
+    versions = (F.col("t")["spark_version"] == spark.version) & F.col("t")["python_version"].rlike("^3[.]")
+    return t.select("k", F.col("t")["source_id"].alias("source_id"), F.col("t")["vertical_crs"].alias("vertical_crs"), F.size("t").alias("n"), versions.alias("has_versions"))
 
 
 @query("flt17_source_datum", "select p_partkey as k, p_size % 3 = 0 as usable from part")
 def flt17(spark, sf_dir):
-    """A build takes heights on the datum that it expects only."""
-    datum = F.when(F.col("p_size") % 3 == 0, "egm96").when(F.col("p_size") % 3 == 1, "wgs84-ellipsoid")
-    return inputs.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), datum.eqNullSafe(F.lit("egm96")).alias("usable"))
+    """A build takes heights on the datum that it expects only; an unknown one (here of every fourth size) is not it."""
+    datum = F.when(F.col("p_size") % 3 == 0, "egm96").when(F.col("p_size") % 4 != 0, "wgs84-ellipsoid")
+    return inputs.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), usable_datum(datum, "egm96").alias("usable"))
 
 
-@query("udf05_interpolations", "select * from (values ('bilinear', 'RSP_BilinearInterpolation'), ('cubic', 'RSP_CubicConvolution'), ('nearest', 'RSP_NearestNeighbor')) t(name, rule)")
+@query("udf05_interpolations", """select s_suppkey as k, case s_suppkey % 4 when 0 then 'RSP_NearestNeighbor' when 1 then 'RSP_BilinearInterpolation' when 2 then 'RSP_CubicConvolution' end as rule from supplier""")
 def udf05(spark, sf_dir):
-    return spark.createDataFrame([(n, requests.INTERPOLATIONS[n]) for n in INTERPOLATIONS], "name string, rule string")
+    """The server's names of ways to interpolate, none for one that is not known."""
+    k = F.col("s_suppkey")
+    name = F.get(F.array(*(F.lit(n) for n in (*INTERPOLATIONS, "spline"))), (k % 4).cast("int"))
+    return inputs.table(spark, sf_dir, "supplier").select(k.alias("k"), requests.interpolation(name).alias("rule"))
 
 
 @query("udf03_prepared_dataset")

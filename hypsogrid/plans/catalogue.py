@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import blocks, catalogue, rasters, storage
+from ..operators import blocks, catalogue, checks, rasters, storage
 from . import inputs
 from .registry import query
 
@@ -53,8 +53,8 @@ def srt03(spark, sf_dir):
 
 @query("srt05_preferred", "select p_brand as datum, min_by(p_partkey, (p_size % 2) * 1000000 + p_partkey) as operation from part where p_size % 3 <> 0 group by p_brand")
 def srt05(spark, sf_dir):
-    df = inputs.table(spark, sf_dir, "part").where("p_size % 3 <> 0").groupBy(F.col("p_brand").alias("datum"))
-    return df.agg(F.min_by("p_partkey", F.struct(F.col("p_size") % 2, F.col("p_partkey"))).alias("operation"))
+    df = inputs.table(spark, sf_dir, "part").where("p_size % 3 <> 0").select(F.col("p_brand").alias("datum"), F.col("p_partkey").alias("operation"), "p_size")
+    return catalogue.preferred(df, "datum", F.col("p_size") % 2, "operation")
 
 
 @query("jn05_world_tiles", f"with {TILES} select world, ix, iy, ix * 2.0e0 as west, 90 - iy * 2.0e0 as north from l join t using (ix, iy)")
@@ -70,7 +70,7 @@ def jn12(spark, sf_dir):
 
 @query("jn09_links_to_undeclared", f"with {TILES} select world, ix, iy from l where (ix, iy) not in (select (ix, iy) from t)")
 def jn09b(spark, sf_dir):
-    return _links(spark, sf_dir).join(_tiles(spark, sf_dir), ["ix", "iy"], "left_anti").select("world", "ix", "iy")
+    return catalogue.undeclared(_links(spark, sf_dir), _tiles(spark, sf_dir)).select("world", "ix", "iy")
 
 
 @query("set03_set_equality", f"with {TILES}, m as (select distinct world % 9 as part, ix, iy from l), a as (select part, ix, iy from m where ix < 15), d as (select part from m except select part from a union all select part from (select * from m except select * from a)) select part, part not in (select part from d) as equal from (select distinct part from m)")
@@ -83,7 +83,7 @@ def set03(spark, sf_dir):
 
 @query("set06_both", f"with {TILES} select ix, iy from t intersect select ix, iy from l")
 def set06(spark, sf_dir):
-    return _tiles(spark, sf_dir).join(_links(spark, sf_dir), ["ix", "iy"], "left_semi")
+    return catalogue.both(_tiles(spark, sf_dir), _links(spark, sf_dir), ["ix", "iy"])
 
 
 @query("flt12_complete_worlds", f"with {V} select world from v group by world having count(*) filter (x > 60) = 0")
@@ -106,21 +106,22 @@ def flt13(spark, sf_dir):
 @query("snk09_unneeded_tiles", f"with {TILES} select ix, iy from t except select ix, iy from l where world % 40 = 1")
 def snk09(spark, sf_dir):
     """Tiles that only skipped worlds needed."""
-    return _tiles(spark, sf_dir).join(_links(spark, sf_dir).where("world % 40 = 1"), ["ix", "iy"], "left_anti")
+    return catalogue.unneeded(_tiles(spark, sf_dir), _links(spark, sf_dir).where("world % 40 = 1"))
 
 
 @query("agg14_outcomes", "select l_shipmode, count(*) filter (l_quantity > 25) as written, count(*) filter (l_quantity <= 25) as reused, count(*) filter (l_tax = 0) as cache_hits from lineitem group by l_shipmode".replace("l_shipmode", "l_returnflag"))
 def agg14(spark, sf_dir):
-    g = inputs.table(spark, sf_dir, "lineitem").groupBy("l_returnflag")
-    return g.agg(F.count_if(F.col("l_quantity") > 25).alias("written"), F.count_if(F.col("l_quantity") <= 25).alias("reused"), F.count_if(F.col("l_tax") == 0).alias("cache_hits"))
+    tiles = inputs.table(spark, sf_dir, "lineitem").select("l_returnflag", F.when(F.col("l_quantity") > 25, "written").otherwise("reused").alias("action"), (F.col("l_tax") == 0).alias("from_store"))
+    return catalogue.outcomes(tiles, ["l_returnflag"])
 
 
-@query("agg16_parity", "select l_linenumber, max(abs(l_extendedprice - o_totalprice)) as worst, count(*) filter (l_discount = 0 and o_orderstatus = 'F') as both_missing, count(*) filter ((l_discount = 0) <> (o_orderstatus = 'F')) as mismatches from lineitem join orders on l_orderkey = o_orderkey group by l_linenumber")
+@query("agg16_parity", """with j as (select l_linenumber, case when l_discount <> 0 then l_extendedprice end as a, case when o_orderstatus <> 'F' then o_totalprice end as b from lineitem join orders on l_orderkey = o_orderkey)
+select l_linenumber, max(abs(a - b)) as worst, count(*) filter (a is null and b is null) as both_missing, count(*) filter ((a is null) <> (b is null)) as mismatches from j group by l_linenumber""")
 def agg16(spark, sf_dir):
     """Two samplers' answers compared: worst difference, missing in both, missing in one."""
     j = inputs.table(spark, sf_dir, "lineitem").join(inputs.table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    a, b = F.col("l_discount") == 0, F.col("o_orderstatus") == "F"
-    return j.groupBy("l_linenumber").agg(F.max(F.abs(F.col("l_extendedprice") - F.col("o_totalprice"))).alias("worst"), F.count_if(a & b).alias("both_missing"), F.count_if(a != b).alias("mismatches"))
+    a, b = F.when(F.col("l_discount") != 0, F.col("l_extendedprice")), F.when(F.col("o_orderstatus") != "F", F.col("o_totalprice"))
+    return checks.parity(j, ["l_linenumber"], a, b)
 
 
 @query("snk01_tile_write", f"with {PX} select col // 8 as bx, row // 8 as by, count(v) as n, sum(cast(v as double)) as total from px where v is not null group by 1, 2")
@@ -171,6 +172,25 @@ def snk07(spark, sf_dir):
     return out
 
 
+@query("snk07_equal_catalogues", f"""with {TILES}, {V}, n(name, n) as (select 'worlds', count(distinct world) from v union all select 'vertices', count(*) from v union all select 'tiles', count(*) from t union all select 'links', count(*) from l
+ union all select 'lattice', count(distinct ix // 2) from t union all select 'lattice_links', (select count(*) from (select distinct world, ix // 2 from l)) union all select 'test_points', (select count(*) from (select distinct y, x from v)))
+select name, n, true as equal from n""")
+def snk07_equal(spark, sf_dir):
+    """All seven tables of a catalogue built twice, from rows dealt otherwise: as many rows, and equal digests."""
+    v, t, l_ = _vertices(spark, sf_dir), _tiles(spark, sf_dir), _links(spark, sf_dir)
+    half = F.floor(F.col("ix") / 2).alias("ix")
+    tables = {
+        "worlds": v.select(F.col("world").alias("name")).distinct(), "vertices": v, "tiles": t, "links": l_, "lattice": t.select(half, F.lit(0).alias("iy")).distinct(),
+        "lattice_links": l_.select("world", half, F.lit(0).alias("iy")).distinct(), "test_points": v.select(F.col("y").alias("lat"), F.col("x").alias("lon"), F.lit(0.0).alias("height")).distinct()}
+    path, rows = storage.scratch(spark, "catalogue"), []
+    for name, df in tables.items():
+        for build, parts in ((0, 3), (1, 5)):
+            catalogue.write_table(df.repartition(parts, F.rand(build)), f"{path}/{name}/{build}", catalogue.KEYS[name], 100)
+        first, second = (spark.read.parquet(f"{path}/{name}/{build}") for build in (0, 1))
+        rows.append((name, first.count(), catalogue.digest(first) == catalogue.digest(second)))
+    return spark.createDataFrame(rows, "name string, n long, equal boolean")
+
+
 @query("snk11_dataset_swap", "select count(*) as n from part where p_size > 25")
 def snk11(spark, sf_dir):
     """A dataset is rebuilt elsewhere and takes the old one's place."""

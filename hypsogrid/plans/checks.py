@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import blocks, checks, polygons, rasters, storage, stored
+from ..operators import blocks, catalogue, checks, polygons, rasters, storage, stored
 from ..options import SamplerOptions
 from ..streaming.sampling import sample_stream, serve
 from . import grids, inputs
@@ -133,11 +133,9 @@ def val11(spark, sf_dir):
     """Worlds of fewer than 3 vertices, and links to tiles that are not declared."""
     k = F.col("c_custkey")
     c = inputs.table(spark, sf_dir, "customer").select(F.floor(k / 6).alias("world"), (k % 17).alias("ix"), "c_acctbal")
-    n = c.groupBy("world").agg(F.count_if(F.col("c_acctbal") > 0).alias("n"))
     t = inputs.table(spark, sf_dir, "supplier").select((F.col("s_suppkey") % 13).alias("ix")).distinct()
     lone = c.select("world", "ix").distinct().join(t, "ix", "left_anti")
-    few = checks.report(n, F.col("world"), [(checks.ERROR, "vertices", F.col("n") < 3, "fewer than 3 vertices")])
-    return checks.extend(few, checks.report(lone, F.concat_ws(",", "world", "ix"), [(checks.ERROR, "link", F.lit(True), "not declared")])).select("check", "subject")
+    return checks.catalogue_rules(catalogue.vertex_counts(c, c.where("c_acctbal > 0")), lone, F.concat_ws(",", "world", "ix")).select("check", "subject")
 
 
 FILES = """f as (select case p_partkey % 5 when 0 then 'd/tile_' || p_partkey || '_1.tif' when 1 then 'd/tile_x.tif' when 2 then 'd/tile_' || p_partkey || '_2.tif.tmp' when 3 then 'd/tile_-' || p_partkey || '_3.tif' else 'd/notes.txt' end as path, p_partkey as k from part)"""
@@ -186,8 +184,8 @@ def jn08(spark, sf_dir):
 
 @query("win01_first_wins", "select name, k from (select p_type as name, p_partkey as k, row_number() over (partition by p_type order by p_size desc, p_partkey) as rn from part) where rn = 1")
 def win01(spark, sf_dir):
-    df = inputs.table(spark, sf_dir, "part").groupBy(F.col("p_type").alias("name"))
-    return df.agg(F.min_by("p_partkey", F.struct((-F.col("p_size")).alias("s"), "p_partkey")).alias("k"))
+    df = inputs.table(spark, sf_dir, "part").select(F.col("p_type").alias("name"), F.col("p_partkey").alias("k"), "p_size")
+    return catalogue.first_wins(df, "name", F.struct((-F.col("p_size")).alias("s"), "k"), "k")
 
 
 CROSS = f"""{EDGES}, {{b}}, q as (select b.box, ed.*, b.west, b.south, b.east, b.north, x0 - x1 as p1, x0 - west as q1, x1 - x0 as p2, east - x0 as q2, y0 - y1 as p3, y0 - south as q3, y1 - y0 as p4, north - y0 as q4 from b join ed on ed.world = b.box),

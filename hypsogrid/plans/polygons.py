@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import polygons
+from ..operators import catalogue, polygons
+from ..sources import worlds
 from . import inputs
 from .registry import query
 
@@ -87,14 +88,13 @@ def agg02(spark, sf_dir):
 select w.world, count(v.world) as n_vertices, count(v.world) >= 3 as enough from w left join v using (world) group by w.world""")
 def jn06(spark, sf_dir):
     c = inputs.table(spark, sf_dir, "customer").select(F.floor(F.col("c_custkey") / 6).alias("world"), "c_acctbal")
-    v = c.where("c_acctbal > 0").select("world", F.lit(1).alias("seq"))
-    return c.select("world").distinct().join(v, "world", "left").groupBy("world").agg(F.count("seq").alias("n_vertices"), (F.count("seq") >= 3).alias("enough"))
+    return catalogue.vertex_counts(c, c.where("c_acctbal > 0"))
 
 
 @query("src03_first_wins", """select p_brand as name, p_partkey as position from (select *, row_number() over (partition by p_brand order by p_partkey) as rn from part) where rn = 1""")
 def src03(spark, sf_dir):
     p = inputs.table(spark, sf_dir, "part")
-    return p.groupBy(F.col("p_brand").alias("name")).agg(F.min("p_partkey").alias("position"))
+    return catalogue.first_wins(p.select(F.col("p_brand").alias("name"), F.col("p_partkey").alias("position")), "name", F.col("position"), "position")
 
 
 @query("src04_world_names", """with n as (select p_partkey, concat(case p_partkey % 3 when 0 then 'world_' when 1 then 'world-' else '' end, case when p_partkey % 7 = 0 then '' else replace(p_name, ' ', '_') end) as stem from part)
@@ -103,4 +103,5 @@ def src04(spark, sf_dir):
     k = F.col("p_partkey")
     head = F.when(k % 3 == 0, "world_").when(k % 3 == 1, "world-").otherwise("")
     stem = F.concat(head, F.when(k % 7 == 0, "").otherwise(F.replace("p_name", F.lit(" "), F.lit("_"))))
-    return inputs.table(spark, sf_dir, "part").select(k, F.regexp_replace(stem, "^world[_-](?=.)", "").alias("name"))
+    path = F.concat(F.lit("/in/"), stem, F.lit(".yaml"))
+    return inputs.table(spark, sf_dir, "part").select(k, worlds.name_of(path).alias("name"))

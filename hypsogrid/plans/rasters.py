@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import blocks, rasters, sampling
+from ..operators import blocks, checks, rasters, sampling
 from . import inputs
 from .registry import query
 
@@ -19,7 +19,8 @@ def _tiles(spark, sf_dir):
 @query("ras03_nearest_pixel", f"""with {PX}, pt as ({inputs.POINTS_SQL}) select event_id, cast(px.v as double) as height
 from (select event_id, cast(floor(u) as bigint) as c, cast(floor(v) as bigint) as r from pt) p left join px on px.col = c and px.row = r""")
 def ras03(spark, sf_dir):
-    return sampling.nearest(inputs.points(spark, sf_dir), inputs.pixels(spark, sf_dir)).select("event_id", "height")
+    """One join by block, not by pixel."""
+    return blocks.pixel_at(inputs.points(spark, sf_dir), blocks.to_blocks(inputs.pixels(spark, sf_dir), 8), 8).select("event_id", "height")
 
 
 @query("ras07_mosaic", f"""with {PX}, w as (select s_suppkey as window_id, s_suppkey * 3 % 45 as c, s_suppkey * 2 % 35 as r, 3 + s_suppkey % 9 as width, 2 + s_suppkey % 7 as height from supplier)
@@ -98,7 +99,5 @@ def jn09(spark, sf_dir):
 @query("agg15_unavailable_counts", f"""with h as (select event_id, u, v from ({inputs.POINTS_SQL})) select event_id % 16 as request, count(*) as n, count(*) filter (v > 30) as n_unavailable,
  case when count(*) filter (v > 30) = 0 then 'ok' else concat(count(*) filter (v > 30), ' of ', count(*), ' points have no height') end as message from h group by event_id % 16""")
 def agg15(spark, sf_dir):
-    bad = F.count_if(F.col("v") > 30)
-    g = inputs.points(spark, sf_dir).groupBy((F.col("event_id") % 16).alias("request")).agg(F.count(F.lit(1)).alias("n"), bad.alias("n_unavailable"))
-    text = F.when(F.col("n_unavailable") == 0, "ok").otherwise(F.format_string("%d of %d points have no height", "n_unavailable", "n"))
-    return g.withColumn("message", text)
+    sampled = inputs.points(spark, sf_dir).select((F.col("event_id") % 16).alias("request"), F.when(F.col("v") <= 30, F.col("v")).alias("height"))
+    return checks.unavailable(sampled, ["request"])

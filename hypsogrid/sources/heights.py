@@ -67,6 +67,11 @@ def read_in_pieces(source: HeightSource, windows: DataFrame, most: int) -> DataF
     return source.read(_pieces(windows, most)).select("window_id.window_id", "col", "row", "v")
 
 
+def usable_datum(datum: Column, expected: str) -> Column:
+    """Whether a source on a datum (NULL: unknown) may be used where another is expected."""
+    return datum.eqNullSafe(F.lit(expected))
+
+
 def require_datum(source: HeightSource, expected: str) -> None:
     if source.datum != expected:
         raise ValueError(f"the source has heights on {source.datum}, not on {expected}")

@@ -291,10 +291,14 @@ class _Taken:
                 self.starts.append(a)
                 self.ends.append(b)
 
-    def add(self, a: int, b: int) -> bool:
+    def free(self, a: int, b: int) -> bool:
         i = self._bisect.bisect_right(self.starts, a)
-        if (i and self.ends[i - 1] > a) or (i < len(self.starts) and self.starts[i] < b):
+        return not ((i and self.ends[i - 1] > a) or (i < len(self.starts) and self.starts[i] < b))
+
+    def add(self, a: int, b: int) -> bool:
+        if not self.free(a, b):
             return False
+        i = self._bisect.bisect_right(self.starts, a)
         self.starts.insert(i, a)
         self.ends.insert(i, b)
         return True
@@ -313,10 +317,7 @@ def _examples(text: str) -> tuple[list[tuple[list[float], bool]], list[tuple[int
     rows = []
     for c in candidates(text):
         # a part of a match that failed may well be what the rule missed: it teaches nothing
-        if c in base or c in exact or unknown.add(c[1], c[2]):
-            if c not in base and c not in exact:
-                i = unknown.starts.index(c[1])
-                del unknown.starts[i], unknown.ends[i]
+        if c in base or c in exact or unknown.free(c[1], c[2]):
             rows.append((features(text, *c), c in base))
     around = [(k, text[max(0, a - CONTEXT) : a], text[a:b], text[b : b + CONTEXT]) for k, a, b in sorted(base) if b - a < 200]
     return rows, around

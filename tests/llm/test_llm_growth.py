@@ -3,9 +3,11 @@
 import gzip
 import random
 
+import numpy as np
+
 from pyspark.sql import functions as F
 
-from hypsogrid.llm import chat, sharding, warc
+from hypsogrid.llm import chat, language_id, sharding, warc
 
 
 def test_equal_rows_are_split(spark):
@@ -58,3 +60,42 @@ def test_large_pages_share_few_files(spark, tmp_path):
     first = {html: min(i for i, _, h in pages if h == html) for _, _, html in pages}
     assert {i: r["refers_to"] for i, r in got.items()} == {i: None if first[html] == i else first[html] for i, _, html in pages}
     assert sum(r["record_type"] == "response" for r in got.values()) == len({p[2] for p in pages})
+
+
+def by_byte(model, text):
+    """A document's label probabilities, state after state and byte after byte, from the weights alone."""
+    p, h = {k: v.astype(float) for k, v in model.p.items()}, model.h
+    half = lambda v: 1 / (1 + np.exp(-2 * v))
+
+    def states(d, bytes_):
+        state, out = np.zeros(h), []
+        for b in bytes_:
+            x, a = p["table" + d][b], state @ p["u" + d]
+            z, r = half(x[:h] + a[:h]), half(x[h : 2 * h] + a[h : 2 * h])
+            n = np.tanh(r * a[2 * h :] + x[2 * h :])
+            state = z * state + (1 - z) * n
+            out.append(state)
+        return out
+
+    own, chunk, lead = list(text.encode()), language_id.CHUNK, language_id.CONTEXT
+    padded, total = [10] * lead + own + [10] * (chunk + lead), np.zeros(len(model.labels))
+    for k in range(0, len(own), chunk):
+        part = padded[k : k + chunk + 2 * lead]
+        forth, back = states("f", part[: chunk + lead])[lead:], states("b", part[lead:][::-1])[::-1]
+        for t in range(min(chunk, len(own) - k)):
+            e = np.exp(np.concatenate([forth[t], back[t]]) @ p["w"] + p["c"])
+            total += e / e.sum()
+    return total / len(own)
+
+
+def test_language_probabilities_byte_by_byte(spark):
+    model = language_id.ByteGRU(["de", "en", "fr"], seed=3)
+    texts = ["a", "ü", "one two", "x" * language_id.CHUNK, "ab " * 65 + "ç", "Ärger " * 150, None, "", "12 !?"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    for r in language_id.predict(docs, model).collect():
+        text = texts[r["doc_id"]]
+        if not text or not any(c.isalpha() for c in text):
+            assert (r["lang_pred"], r["score"]) == (language_id.UNKNOWN, 0.0)
+            continue
+        want = by_byte(model, text)
+        assert r["lang_pred"] == model.labels[want.argmax()] and abs(r["score"] - want.max()) < 1e-4

@@ -382,21 +382,21 @@ def _facts(table: DataFrame, tile_px: int, size: int) -> DataFrame:
         F.count(F.lit(1)).alias("found"), (F.count(F.lit(1)) - F.count_distinct("b")).alias("n_twice"))
 
 
-def _tile_rules(facts: DataFrame, kind: str) -> DataFrame:
-    return checks.report(facts, F.concat_ws(" ", F.lit(kind), F.concat_ws(",", "ix", "iy")), [
+def _tile_report(tiles: DataFrame, facts: DataFrame, kind: str, px: int, plausible: tuple[float, float] | None = None) -> DataFrame:
+    """All rules of declared tiles and their facts in one pass: blocks as they were written, in their place and of their
+    size, a filled window inside the tile, finite values, and if asked plausible ones."""
+    f, some = F.col("filled"), F.coalesce(F.col("n_valid"), F.lit(0)) > 0
+    out = (f["col_min"] < F.col("ix") * px) | (f["row_min"] < F.col("iy") * px) | (f["col_min"] + f["width"] > (F.col("ix") + 1) * px) | (f["row_min"] + f["height"] > (F.col("iy") + 1) * px)
+    rules = [
         (checks.ERROR, "finite", F.col("n_not_finite") > 0, "heights that are not finite"), (checks.ERROR, "size", F.col("n_odd") > 0, "blocks of another size"),
         (checks.ERROR, "place", F.col("n_strange") > 0, "blocks that belong to another tile"), (checks.ERROR, "twice", F.col("n_twice") > 0, "a block is there twice"),
-    ])
-
-
-def _windows_rules(tiles: DataFrame, facts: DataFrame, kind: str, px: int) -> DataFrame:
-    """A tile's filled window lies in the tile, and its blocks are those that were written."""
-    f = F.col("filled")
-    out = (f["col_min"] < F.col("ix") * px) | (f["row_min"] < F.col("iy") * px) | (f["col_min"] + f["width"] > (F.col("ix") + 1) * px) | (f["row_min"] + f["height"] > (F.col("iy") + 1) * px)
-    there = tiles.join(facts.select("ix", "iy", "found"), ["ix", "iy"], "left")
-    return checks.report(there, F.concat_ws(" ", F.lit(kind), F.concat_ws(",", "ix", "iy")), [
-        (checks.WARNING, "empty", F.col("n_blocks") == 0, "no valid pixel"), (checks.ERROR, "missing tile", F.coalesce("found", F.lit(0)) != F.coalesce("n_blocks", F.lit(-1)), "blocks that were written are not there"),
-        (checks.ERROR, "filled", f.isNull(), "no filled window"), (checks.ERROR, "filled", out, "the filled window leaves the tile")])
+        (checks.ERROR, "missing tile", F.coalesce("found", F.lit(0)) != F.coalesce("n_blocks", F.lit(-1)), "blocks that were written are not there"),
+        (checks.ERROR, "filled", f.isNull(), "no filled window"), (checks.ERROR, "filled", out, "the filled window leaves the tile"), (checks.WARNING, "empty", ~some, "no valid pixel"),
+    ]
+    if plausible:
+        zero = some & (F.col("min_v") == 0) & (F.col("max_v") == 0)
+        rules += [(checks.WARNING, "zero", zero, "all heights are 0"), (checks.WARNING, "range", some & ~zero & ((F.col("min_v") < plausible[0]) | (F.col("max_v") > plausible[1])), "implausible heights")]
+    return checks.report(tiles.join(facts, ["ix", "iy"], "left"), F.concat_ws(" ", F.lit(kind), F.concat_ws(",", "ix", "iy")), rules)
 
 
 def _covered(table: DataFrame, windows: DataFrame, size: int) -> DataFrame:
@@ -413,8 +413,8 @@ def _covered(table: DataFrame, windows: DataFrame, size: int) -> DataFrame:
 
 def validate_state(spark: SparkSession, path: str, at: str, options: PrepareOptions, halo: DataFrame | None = None) -> DataFrame:
     """The report of a state and the tiles that it declares. Errors of the manifest end it. Heights are read once for
-    all facts of tiles, and once for the blocks with a halo (unless given) that places are sampled from; the lattice and
-    imagery are read once for facts and once for coverage."""
+    all facts of tiles, and once for the blocks with a halo (unless given) that places are sampled from; the lattice is
+    read for facts, for coverage and for spot picks, imagery for facts and for coverage."""
     if not storage.exists(spark, f"{at}/manifest"):
         return spark.createDataFrame([(checks.ERROR, "manifest", at, "there is no manifest")], "severity string, check string, subject string, message string")
     document = manifest.read(spark.read.text(f"{at}/manifest").withColumnRenamed("value", "text"))
@@ -429,10 +429,7 @@ def validate_state(spark: SparkSession, path: str, at: str, options: PrepareOpti
     heights, geo, rgb = (_declared(spark, path, k, t) for k, t in (("heights", tiles), ("lattice", geo_tiles), ("imagery", rgb_tiles)))
     found = []
     # VAL03, VAL04
-    facts = _facts(heights, options.tile_px, size)
-    found += [_tile_rules(facts, "tile"), _windows_rules(tiles, facts, "tile", options.tile_px)]
-    if options.plausibility:
-        found.append(checks.plausibility(facts, F.concat_ws(" ", F.lit("tile"), subject), *options.plausible))
+    found.append(_tile_report(tiles, _facts(heights, options.tile_px, size), "tile", options.tile_px, options.plausible if options.plausibility else None))
     # VAL05: neighbours meet
     b = _grid(options).tile_bounds(F.col("ix"), F.col("iy"))
     seams = rasters.neighbours(tiles.select("ix", "iy", *(b[s].alias(s) for s in ("west", "south", "east", "north"))))
@@ -446,19 +443,17 @@ def validate_state(spark: SparkSession, path: str, at: str, options: PrepareOpti
     said = m["test_points"]["count"] if m["test_points"] else None
     found.append(checks.report(points.agg(F.count(F.lit(1)).alias("n")), F.lit("test points"), [(checks.ERROR, "test points", F.lit(said is None), "not declared"), (checks.ERROR, "test points", F.col("n") != F.lit(said), "another number than declared")]))
     # VAL08, VAL09: the lattice holds what a sample gives
-    geo_facts = _facts(geo, geo_px, geo_size)
     picks = blocks.spot_picks(geo.drop("build"), geo_size).withColumns({"lon": grid.LATTICE_WEST + (F.col("col") + 0.5) * _degrees(options), "lat": grid.LATTICE_NORTH - (F.col("row") + 0.5) * _degrees(options)})
     now = sample_halo(picks, halo, options).select("ix", "iy", "col", "row", F.col("v").cast("double").alias("recorded"), F.col("height").cast("float").cast("double").alias("height"))
     windows = _state(spark, at, "worlds").select(F.col("name").alias("window_id"), *lattice.NAMES)
     found += [
-        _tile_rules(geo_facts, "lattice"), _windows_rules(geo_tiles, geo_facts, "lattice", geo_px),
+        _tile_report(geo_tiles, _facts(geo, geo_px, geo_size), "lattice", geo_px),
         checks.recomputed(now, F.concat_ws(",", "ix", "iy", "col", "row"), "recorded", "height"), checks.coverage(_covered(geo, windows, geo_size), F.col("window_id")),
     ]
     # VAL10
     if m["wgs"]["rgb_pattern"]:
         scaled = windows.select("window_id", *((F.col(c) * options.wgs_height_factor).alias(c) for c in lattice.NAMES))
-        seen = _facts(rgb, rgb_px, size)
-        found += [_tile_rules(seen, "imagery"), _windows_rules(rgb_tiles, seen, "imagery", rgb_px), checks.coverage(_covered(rgb, scaled, size), F.concat_ws(" ", F.lit("imagery"), "window_id"))]
+        found += [_tile_report(rgb_tiles, _facts(rgb, rgb_px, size), "imagery", rgb_px), checks.coverage(_covered(rgb, scaled, size), F.concat_ws(" ", F.lit("imagery"), "window_id"))]
     # VAL11
     declared = lambda pairs: spark.createDataFrame([(t["ix"], t["iy"]) for t in pairs or []], "ix long, iy long")
     named = spark.createDataFrame([(w,) for w in m["worlds"] or []], "name string")

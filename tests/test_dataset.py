@@ -1,6 +1,7 @@
 """Building, sampling and validating a small dataset, and the options and sources it takes."""
 
 import random
+import re
 from dataclasses import replace
 
 import numpy as np
@@ -135,6 +136,11 @@ def test_builds_again_only_what_changed(spark, tmp_path):
     assert off < 1e-4
     with pytest.raises(dataset.WorldNotFoundError):
         data.world("three")
+    # heights are scanned twice in a whole report, the lattice three times, imagery twice
+    report = dataset.validate(spark, path)
+    report.collect()
+    plan = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert [len(re.findall(rf"FileScan parquet [^\n]*set/{kind}", plan)) for kind in dataset.KINDS] == [2, 3, 2]
     # damage is seen: a lost file, and a changed one
     lost = next(f for f in sorted((tmp_path / "set/heights").rglob("*.parquet")))
     keep = lost.read_bytes()

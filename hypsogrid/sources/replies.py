@@ -30,10 +30,15 @@ class ReplyStore:
             return spark.createDataFrame([], ENTRY + ", batch string")
         return spark.read.schema(ENTRY + ", batch string").parquet(self.path)
 
-    def sound(self, spark: SparkSession) -> DataFrame:
-        """key and body of entries that are as they were written; of several one."""
-        good = self.entries(spark).where(F.sha2("body", 256) == F.col("sha256"))
-        return good.groupBy("key").agg(F.min_by("body", F.struct("batch", "sha256")).alias("body"))
+    def _good(self, spark: SparkSession, keys: DataFrame | None) -> DataFrame:
+        """Entries that are as they were written, of `keys` alone if given: others are neither checked nor moved."""
+        found = self.entries(spark)
+        found = found if keys is None else found.join(keys.select("key").distinct(), "key", "left_semi")
+        return found.where(F.sha2("body", 256) == F.col("sha256"))
+
+    def sound(self, spark: SparkSession, keys: DataFrame | None = None) -> DataFrame:
+        """key and body of sound entries, all or those of `keys`; of several one."""
+        return self._good(spark, keys).groupBy("key").agg(F.min_by("body", F.struct("batch", "sha256")).alias("body"))
 
     def corrupt(self, spark: SparkSession) -> DataFrame:
         """key and batch of entries that are not, and do not count."""
@@ -41,8 +46,7 @@ class ReplyStore:
 
     def missing(self, wanted: DataFrame) -> DataFrame:
         """wanted (key, and more) of keys without a sound entry, each key once. Bodies are read, not shuffled."""
-        good = self.entries(wanted.sparkSession).where(F.sha2("body", 256) == F.col("sha256")).select("key")
-        return wanted.dropDuplicates(["key"]).join(good, "key", "left_anti")
+        return wanted.dropDuplicates(["key"]).join(self._good(wanted.sparkSession, wanted).select("key"), "key", "left_anti")
 
     def append(self, replies: DataFrame) -> str:
         """Commits a batch of (key, body); its name."""
@@ -62,4 +66,4 @@ class ReplyStore:
         tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
         new = self.missing(wanted).repartition(tasks, "key").mapInPandas(fetch, "key string, body binary")
         self.append(new)
-        return self.sound(spark).join(wanted.select("key").distinct(), "key", "left_semi")
+        return self.sound(spark, wanted)

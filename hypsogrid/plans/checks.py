@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import blocks, catalogue, checks, polygons, rasters, storage, stored
 from ..options import SamplerOptions
-from ..streaming.sampling import sample_stream, serve
+from ..streaming.sampling import sample_blocks, serve
 from . import grids, inputs
 from .blocks import FOUR, FOUR_JOINS, LERP, PT, PX, WIN, _blocks, _windows
 from .polygons import EDGES, MEETS
@@ -353,6 +353,6 @@ def str01(spark, sf_dir):
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet*").parquet(sf_dir)
     points = stream.select(k, (F.pmod(k * 37, F.lit(8 * inputs.WIDTH)) / 8).alias("u"), (F.pmod(k * 101, F.lit(8 * n_rows)) / 8).alias("v"))
     path = storage.scratch(spark, "stream")
-    sampled = sample_stream(points, _halo(spark, sf_dir), 8).select("event_id", "height")
+    sampled = sample_blocks(points, _halo(spark, sf_dir), 8).select("event_id", "height")
     sampled.writeStream.format("parquet").option("checkpointLocation", f"{path}-state").trigger(availableNow=True).start(path).awaitTermination()
     return spark.read.parquet(path)

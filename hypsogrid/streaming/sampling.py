@@ -7,11 +7,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from ..operators import stored
+from ..operators.sampling import bilinear
 from ..options import SamplerOptions
 from .requests import answers
 
 
-def sample_stream(points: DataFrame, halo: DataFrame, size: int, u: str = "u", v: str = "v") -> DataFrame:
+def sample_stream(points: DataFrame, pixels: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
+    """points (streaming) with `height` from a table of pixels: four joins by pixel, for rasters that are not in blocks."""
+    return bilinear(points, pixels, u, v)
+
+
+def sample_blocks(points: DataFrame, halo: DataFrame, size: int, u: str = "u", v: str = "v") -> DataFrame:
     """points (streaming) with `height`: one join by block; each micro-batch moves its own points only where the blocks
     are in buckets."""
     return stored.bilinear(points, halo, size, u, v)
@@ -34,5 +40,5 @@ def read_requests(spark: SparkSession, folder: str, options: SamplerOptions) ->
 def serve(requests: DataFrame, halo: DataFrame, size: int, options: SamplerOptions, checkpoint: str) -> DataStreamWriter:
     """A writer of answers to requests (request_id, n_points, seq, u, v, time), with the trigger of the options; the
     caller says where to."""
-    sampled = sample_stream(requests, halo, size)
+    sampled = sample_blocks(requests, halo, size)
     return answers(sampled, options.late).writeStream.outputMode("append").option("checkpointLocation", checkpoint).trigger(processingTime=options.trigger)

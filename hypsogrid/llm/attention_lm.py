@@ -13,10 +13,10 @@ Inputs are cut into blocks of BLOCK ids. A window is two blocks, and windows ove
 second block is predicted once, from itself and what lies before it in the window, by masked attention over
 many windows at once.
 
-Training: one in SHARE of the distinct windows of all training texts, at every size of the corpus, chosen by a
-hash of the window; equal windows are one, with their number as weight. They are dealt to tasks by that hash; in
-each of ROUNDS rounds every task trains on its windows from the common weights, and the weights are averaged in
-Spark. Corpus counts cover all training texts.
+Training: every window of all training texts, once. One pass over the texts counts words and ids and writes the ids
+of each text, in rows of at most PART ids; equal rows are one, with their number as weight. Rows are dealt to
+ROUNDS rounds and to tasks by their hashes; in each round every task trains on the windows of its rows from the
+common weights, and the weights are averaged in Spark.
 
 The counts of the MODEL_WORDS most frequent words at most are broadcast; occurrences of all other words leave the
 scorer with the logarithm of what their spelling gives them and are joined with the sharded counts, which
@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import shared
-from .words import _MULTIPLIER, mix, pieces, words
+from .words import pieces, words
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 END = 50256
@@ -51,7 +51,8 @@ CLASSES = HEAD + BINS
 BLOCK = 16
 NONE = 255  # no id: before the start or after the end of a text
 KEY, WIDTH = 16, 32
-SHARE = 64
+PART = 256 * BLOCK
+_LEAD = BLOCK + 1  # ids before a row that is not a text's first: a block of inputs
 ROUNDS, BLOCKS_PER_TASK, LEAST_TASKS = 6, 50_000, 4
 MODEL_WORDS = 3_000_000
 _END_WORD = 1
@@ -145,6 +146,16 @@ def _blocks(classes: np.ndarray, size: np.ndarray, end_class: int) -> tuple[np.n
     return inputs.reshape(-1, BLOCK), targets.reshape(-1, BLOCK), at
 
 
+def _sums(classes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Sums of rows by class, a row for each of 256."""
+    order = np.argsort(classes, kind="stable")
+    ordered = classes[order]
+    first = np.flatnonzero(np.diff(ordered, prepend=ordered[:1] ^ 1))
+    out = np.zeros((256, rows.shape[1]), rows.dtype)
+    out[ordered[first]] = np.add.reduceat(np.take(rows, order, 0), first, axis=0)
+    return out
+
+
 class Attention:
     """One layer: queries, keys and values are looked up by class, a bias by distance; then a hidden layer and the classes."""
 
@@ -163,36 +174,37 @@ class Attention:
 
     def _kinds(self, targets: np.ndarray):
         """For classes that begin a word and for the others: where the targets are such, and the range of classes."""
-        real, first = targets != NONE, targets < self.begins
-        return (real & first, 0, self.begins), (real & ~first, self.begins, CLASSES)
+        first = targets < self.begins
+        return (np.flatnonzero(first), 0, self.begins), (np.flatnonzero((targets != NONE) & ~first), self.begins, CLASSES)
 
     def _hidden(self, keys: np.ndarray):
-        """Queries, keys, values, weights of attention, their outcome and the hidden layer. Scores are small numbers,
-        so their exponents are taken as they are; if any overflows, the result is not finite and `log_p` says so."""
+        """Pairs of classes, values, weights of attention, their outcome and the hidden layer. Queries and keys are of
+        classes, so exponents of their scores are looked up in a table of pairs. Scores are small numbers, so their
+        exponents are taken as they are; if any overflows, the result is not finite and `log_p` says so."""
         p, now = self.p, keys[:, BLOCK:]
-        q, k, v = np.take(p["q"], now, 0), np.take(p["k"], keys, 0), np.take(p["v"], keys, 0)
-        a = q @ k.transpose(0, 2, 1)
-        a += p["near"][self.distance] + self.ahead
-        a[keys[:, 0] == NONE, :, :BLOCK] = -1e9  # the first block of a text; ends of texts lie ahead of all queries
-        np.exp(a, out=a)
-        total = a.sum(2, keepdims=True)
+        table = np.exp(p["q"] @ p["k"].T)
+        table[:, NONE] = 0  # the first block of a text; ends of texts lie ahead of all queries
+        pairs = now[:, :, None] * np.int64(256) + keys[:, None, :]
+        a = np.take(table.ravel(), pairs)
+        a *= np.exp(p["near"][self.distance] + self.ahead)
+        a /= a.sum(2, keepdims=True) + np.float32(1e-30)
+        v = np.take(p["v"], keys, 0)
         o = a @ v
-        o /= total
-        h = (o.reshape(-1, KEY) @ p["o"]).reshape(len(keys), BLOCK, WIDTH)
-        h += np.take(p["e"], now, 0)
+        h = o.reshape(-1, KEY) @ p["o"]
+        h += np.take(p["e"], now.ravel(), 0)
         np.maximum(h, 0, out=h)
-        return q, k, v, (a, total), o, h
+        return pairs, v, a, o, h
 
     def log_p(self, keys: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural log-probability of each target class, and of a word's begin in its place; 0 where there is no target.
         keys (n, 2 * BLOCK), targets (n, BLOCK)."""
-        p, h = self.p, self._hidden(keys)[-1]
+        p, h, y = self.p, self._hidden(keys)[-1], targets.ravel()
         begin = -np.logaddexp(0, -(h @ p["z"] + p["y"][0]).astype(np.float64))
-        out = np.zeros((2, *targets.shape))
-        for at, low, high in self._kinds(targets):
-            if not at.any():
+        out = np.zeros((2, len(y)))
+        for at, low, high in self._kinds(y):
+            if not len(at):
                 continue
-            logits, own = h[at] @ p["w"][:, low:high], targets[at]
+            logits, own = np.take(h, at, 0) @ p["w"][:, low:high], y[at].astype(np.int64)
             of = (logits[np.arange(len(own)), own - low] + p["b"][own]).astype(np.float64)
             np.exp(logits, out=logits)
             total = logits @ np.exp(p["b"][low:high])
@@ -201,43 +213,41 @@ class Attention:
             log_begin = begin[at]
             out[0][at] = of - np.log(total) + (log_begin if low == 0 else np.log(-np.expm1(np.minimum(log_begin, -1e-12))))
             out[1][at] = log_begin
-        return out
+        return out.reshape(2, *targets.shape)
 
     def gradients(self, keys: np.ndarray, targets: np.ndarray, weight: np.ndarray | None = None) -> dict[str, np.ndarray]:
         """Of the mean loss of an id, by the weights of the windows."""
-        p, now = self.p, keys[:, BLOCK:]
-        q, k, v, (a, total), o, h = self._hidden(keys)
-        a = a / total
-        flat, y = h.reshape(-1, WIDTH), targets.ravel()
+        p, now, y = self.p, keys[:, BLOCK:].ravel(), targets.ravel()
+        pairs, v, a, o, h = self._hidden(keys)
         w = np.repeat(np.ones(len(keys)) if weight is None else weight, BLOCK) * (y != NONE)
         w = (w / max(w.sum(), 1e-9)).astype(h.dtype)
         g = {"w": np.zeros_like(p["w"]), "b": np.zeros_like(p["b"])}
-        dz = (1 / (1 + np.exp(-(flat @ p["z"] + p["y"][0]))) - (y < self.begins)) * w
+        dz = (1 / (1 + np.exp(-(h @ p["z"] + p["y"][0]))) - (y < self.begins)) * w
         dh = dz[:, None] * p["z"]
-        g["z"], g["y"] = flat.T @ dz, dz.sum(keepdims=True)
+        g["z"], g["y"] = h.T @ dz, dz.sum(keepdims=True)
         for at, low, high in self._kinds(y):
-            e = flat[at] @ p["w"][:, low:high] + p["b"][low:high]
-            e = np.exp(e - e.max(1, keepdims=True))
-            e /= e.sum(1, keepdims=True)
-            e[np.arange(len(e)), y[at] - low] -= 1
-            e *= w[at][:, None]
-            g["w"][:, low:high], g["b"][low:high] = flat[at].T @ e, e.sum(0)
+            own, of = np.take(h, at, 0), w[at]
+            e = own @ p["w"][:, low:high]
+            e += p["b"][low:high]
+            np.exp(e, out=e)
+            e *= (of / e.sum(1))[:, None]
+            e[np.arange(len(e)), y[at].astype(np.int64) - low] -= of
+            g["w"][:, low:high], g["b"][low:high] = own.T @ e, e.sum(0)
             dh[at] += e @ p["w"][:, low:high].T
-        dh *= flat > 0
+        dh *= h > 0
         g["o"] = o.reshape(-1, KEY).T @ dh
         do = (dh @ p["o"].T).reshape(o.shape)
         da = do @ v.transpose(0, 2, 1)
-        da = a * (da - (da * a).sum(2, keepdims=True))
+        da -= (do * o).sum(2, keepdims=True)
+        da *= a
         g["near"] = np.bincount(self.distance.ravel(), np.where(self.ahead < 0, 0, da.sum(0)).ravel(), 2 * BLOCK).astype(h.dtype)
-        one = lambda x: (x.reshape(-1, 1) == np.arange(256, dtype=np.uint8)).astype(h.dtype)
-        one_now, one_keys = one(now).T, one(keys).T
-        g["e"] = one_now @ dh
-        g["q"] = one_now @ (da @ k).reshape(-1, KEY)
-        g["k"] = one_keys @ (da.transpose(0, 2, 1) @ q).reshape(-1, KEY)
-        g["v"] = one_keys @ (a.transpose(0, 2, 1) @ do).reshape(-1, KEY)
+        of_pairs = np.bincount(pairs.ravel(), da.ravel(), 1 << 16).reshape(256, 256).astype(h.dtype)
+        g["q"], g["k"] = of_pairs @ p["k"], of_pairs.T @ p["q"]
+        g["e"] = _sums(now, dh)
+        g["v"] = _sums(keys.ravel(), (a.transpose(0, 2, 1) @ do).reshape(-1, KEY))
         return g
 
-    def fit(self, keys: np.ndarray, targets: np.ndarray, weight: np.ndarray, rate: float, batch: int = 32, seed: int = 0) -> None:
+    def fit(self, keys: np.ndarray, targets: np.ndarray, weight: np.ndarray, rate: float, batch: int = 128, seed: int = 0) -> None:
         """One pass by Adam."""
         order, m, v = np.random.default_rng(seed).permutation(len(keys)), {}, {}
         for step, at in enumerate(range(0, len(order), batch), 1):
@@ -285,8 +295,9 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(True))
 
 
-def count(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """kind (w: word, s: subword), key (hash or id), c over the texts of docs; a word's first id."""
+def read(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """kind (w: word, s: subword, x: text), key (hash or id; of a text how many ids of its row come from the row before),
+    c, a word's first id, and a text's ids, 16 bits each: partial counts, and all texts in rows of at most PART ids."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         subwords, keys, counts, firsts, held = np.zeros(END + 1, np.int64), [], [], [], 0
@@ -294,12 +305,12 @@ def count(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         def flush() -> pd.DataFrame:
             k, at, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
             c = np.bincount(inverse, np.concatenate(counts)).astype(np.int64)
-            return pd.DataFrame({"kind": "w", "key": k.view(np.int64), "c": c, "first": np.concatenate(firsts)[at]})
+            return pd.DataFrame({"kind": "w", "key": k.view(np.int64), "c": c, "first": np.concatenate(firsts)[at], "ids": None})
 
         for frame in frames:
             texts = frame["text"].tolist()
             for a, b in pieces(texts):
-                _, distinct, inverse, ids, _, begins = _tokens(texts[a:b], vocabulary)
+                _, distinct, inverse, ids, size, begins = _tokens(texts[a:b], vocabulary)
                 first = np.zeros(len(distinct), np.int32)
                 begun = ids[begins]
                 first[inverse] = begun[begun != END]
@@ -311,68 +322,69 @@ def count(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
                 if held > 1 << 21:
                     yield flush()
                     keys, counts, firsts, held = [], [], [], 0
+                narrow, ends = ids.astype("<u2"), np.cumsum(size)
+                cut = [(start, at, min(at + PART, end)) for start, end in zip((ends - size).tolist(), ends.tolist()) for at in range(start, end, PART)]
+                lead = [0 if at == start else _LEAD for start, at, _ in cut]
+                yield pd.DataFrame({"kind": "x", "key": np.array(lead, np.int64), "c": 1, "first": 0, "ids": [narrow[at - n : to].tobytes() for (_, at, to), n in zip(cut, lead)]})
         if keys:
             yield flush()
         at = np.flatnonzero(subwords)
-        yield pd.DataFrame({"kind": "s", "key": at, "c": subwords[at], "first": at})
+        yield pd.DataFrame({"kind": "s", "key": at, "c": subwords[at], "first": at, "ids": None})
 
-    counted = docs.select("text").mapInPandas(run, "kind string, key long, c long, first int")
-    return counted.groupBy("kind", "key").agg(F.sum("c").alias("c"), F.min("first").alias("first"))
+    return docs.select("text").mapInPandas(run, "kind string, key long, c long, first int, ids binary")
 
 
-def _hash(rows: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each row of bytes; the rows' length is a multiple of 8."""
-    h = np.full(len(rows), 17, np.uint64)
-    with np.errstate(over="ignore"):
-        for part in np.ascontiguousarray(rows).view(np.uint64).T:
-            h = mix((h ^ part) * np.uint64(_MULTIPLIER) + np.uint64(1))
-    return h
+def count(read_: DataFrame) -> DataFrame:
+    """kind, key, c and first of all words and subwords."""
+    return read_.where("kind <> 'x'").groupBy("kind", "key").agg(F.sum("c").alias("c"), F.min("first").alias("first"))
 
 
-def sample_windows(docs: DataFrame, classes: _Classes, share: int = SHARE, vocabulary: str = VOCABULARY) -> DataFrame:
-    """window (keys, then targets, a byte each) and n, how often it occurs: one in `share` of all distinct windows."""
-    shared.bounded_batches(docs.sparkSession)
-    held = docs.sparkSession.sparkContext.broadcast(classes)
+def _windows(classes: np.ndarray, lead: int, end_class: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and targets of the windows of a row, whose first `lead` classes are the end of the row before."""
+    n = len(classes) - lead
+    blocks = -(-n // BLOCK)
+    inputs, targets = np.full((blocks + 1) * BLOCK, NONE, np.uint8), np.full(blocks * BLOCK, NONE, np.uint8)
+    inputs[BLOCK - lead + 1 : BLOCK + n] = classes[:-1]
+    if not lead:
+        inputs[BLOCK] = end_class
+    targets[:n] = classes[lead:]
+    inputs = inputs.reshape(-1, BLOCK)
+    return np.concatenate([inputs[:-1], inputs[1:]], 1), targets.reshape(-1, BLOCK)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            texts = frame["text"].tolist()
-            for a, b in pieces(texts):
-                _, _, _, ids, size, _ = _tokens(texts[a:b], vocabulary)
-                inputs, targets, _ = _blocks(held.value.of[ids], size, int(held.value.of[END]))
-                lead = np.flatnonzero(inputs[:, 0] != NONE)
-                rows = np.concatenate([inputs[lead - 1], inputs[lead], targets[lead]], 1)
-                rows = rows[_hash(rows) % np.uint64(share) == 0]
-                rows, n = np.unique(rows, axis=0, return_counts=True)
-                yield pd.DataFrame({"window": [r.tobytes() for r in rows], "n": n.astype(np.int64)})
-
-    return docs.select("text").mapInPandas(run, "window binary, n long").groupBy("window").agg(F.sum("n").alias("n"))
-
-
-def train(docs: DataFrame, classes: _Classes, vocabulary: str = VOCABULARY, rounds: int = ROUNDS, share: int = SHARE) -> Attention:
-    model = Attention(classes.frequency, classes.begins)
-    sample = shared.keep(sample_windows(docs, classes, share, vocabulary), "lm-sample")
-    tasks = max(LEAST_TASKS, sample.count() // BLOCKS_PER_TASK)
-    sample = sample.select("window", "n", F.pmod(F.xxhash64("window"), F.lit(tasks)).alias("task"))
-    spark, begins = docs.sparkSession, classes.begins
+
+def _dealt(rows: DataFrame, r: int, rounds: int, tasks: int) -> DataFrame:
+    """ids, key and number of the rows of a round, dealt to tasks."""
+    own = rows.where(F.pmod(F.xxhash64("ids"), F.lit(rounds)) == r).repartition(tasks, "ids", "key")
+    return own.groupBy("ids", "key").agg(F.count(F.lit(1)).alias("n"))
+
+
+def train(read_: DataFrame, classes: _Classes, rounds: int = ROUNDS) -> Attention:
+    """The network after one pass over all windows of what `read` gave."""
+    model, spark, begins = Attention(classes.frequency, classes.begins), read_.sparkSession, classes.begins
+    rows = read_.where("kind = 'x'").select("ids", "key")
+    blocks = rows.agg(F.coalesce(F.sum(F.octet_length("ids")), F.lit(0)).alias("n")).first()["n"] // (2 * BLOCK)
+    tasks = max(LEAST_TASKS, blocks // (rounds * BLOCKS_PER_TASK))
+    of = spark.sparkContext.broadcast(classes.of)
     for r in range(rounds):
         held = spark.sparkContext.broadcast(model.flat())
 
         def run(frames: Iterator[pd.DataFrame], r: int = r, held=held) -> Iterator[pd.DataFrame]:
-            parts = [(np.frombuffer(b"".join(f["window"]), np.uint8).reshape(len(f), -1), f["n"].to_numpy()) for f in frames if len(f)]
-            if not parts:
+            found = sorted((t for f in frames for t in zip(f["ids"], f["key"].tolist(), f["n"].tolist())))  # in one order, however they come
+            if not found:
                 return
-            data, n = (np.concatenate(x) for x in zip(*parts))
-            order = np.lexsort(data.T[::-1])  # rows may come in another order when a task runs again
-            data, n = data[order], n[order].astype(np.float64)
+            end_class, parts = int(of.value[END]), []
+            for ids, lead, n in found:
+                keys, targets = _windows(of.value[np.frombuffer(ids, "<u2")], lead, end_class)
+                parts.append((keys, targets, np.full(len(keys), float(n))))
+            keys, targets, n = (np.concatenate(x) for x in zip(*parts))
             own = Attention(np.ones(CLASSES), begins)
             own.load(held.value)
-            own.fit(data[:, : 2 * BLOCK], data[:, 2 * BLOCK :], n, 0.02 * 0.7**r, seed=r)
-            flat = own.flat().astype(np.float64) * len(data)
-            yield pd.DataFrame({"i": np.arange(len(flat)), "x": flat, "n": len(data)})
+            own.fit(keys, targets, n, 0.02 * 0.7**r, seed=r)
+            flat = own.flat().astype(np.float64) * len(keys)
+            yield pd.DataFrame({"i": np.arange(len(flat)), "x": flat, "n": len(keys)})
 
         # one row for each weight and task; what comes to the driver is one row for each weight
-        each = sample.repartition(tasks, "task").select("window", "n").mapInPandas(run, "i int, x double, n long")
+        each = _dealt(rows, r, rounds, tasks).mapInPandas(run, "i int, x double, n long")
         mean = each.groupBy("i").agg((F.sum("x") / F.sum("n")).alias("x")).orderBy("i").toPandas()
         if len(mean):
             model.load(mean["x"].to_numpy())
@@ -424,7 +436,8 @@ class Model:
 def fit(learned: DataFrame, vocabulary: str = VOCABULARY, model_words: int = MODEL_WORDS) -> Model:
     """learned: the training texts, in a column `text` without NULL."""
     shared.bounded_batches(learned.sparkSession)
-    counts = shared.keep(count(learned, vocabulary), "lm-counts")
+    found = shared.keep(read(learned, vocabulary), "lm-texts")
+    counts = shared.keep(count(found), "lm-counts")
     all_words = counts.where("kind = 'w'").select("key", "c", "first")
     bounds = [1 << k for k in range(41)]
     stats = all_words.agg(
@@ -439,7 +452,9 @@ def fit(learned: DataFrame, vocabulary: str = VOCABULARY, model_words: int = MOD
     classes = _Classes(sub, vocabulary)
     after = all_words.groupBy("first").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).toPandas()
     rest = _Rest(*(after[k].to_numpy() for k in ("first", "c", "v")))
-    return Model(train(learned, classes, vocabulary), classes, rest, table, least, counts, vocabulary)
+    net = train(found, classes)
+    shared.discard(found)
+    return Model(net, classes, rest, table, least, counts, vocabulary)
 
 
 _SCORES = "n_tokens long, n_known long, base double, score double, n_subwords long, rare array<struct<key: long, x: double>>"

@@ -119,6 +119,25 @@ def test_attention_is_causal():
     assert np.allclose(a[:8], b[:8]) and not np.allclose(a[8:], b[8:])
 
 
+def test_network_trains_on_every_window_once(spark):
+    lm = attention_lm
+    texts = [f"Word{i} and the {i % 5} others of " * (1 + 40 * (i % 41)) for i in range(45)] + ["the same text twice"] * 2
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    found = lm.read(docs).localCheckpoint()
+    ids = [[i for w in t.lower().split() for i in lm._encoding(lm.VOCABULARY).encode_ordinary(" " + w)] + [lm.END] for t in texts]
+    assert max(map(len, ids)) > 2 * lm.PART
+    cl = lm._Classes(np.bincount(np.concatenate(ids), minlength=lm.END + 1))
+    rows = found.where("kind = 'x'").collect()
+    got = [lm._windows(cl.of[np.frombuffer(r["ids"], "<u2")], r["key"], int(cl.of[lm.END])) for r in rows]
+    inputs, targets, _ = lm._blocks(cl.of[np.concatenate(ids)], np.array(list(map(len, ids))), int(cl.of[lm.END]))
+    lead = np.flatnonzero(inputs[:, 0] != lm.NONE)
+    want = np.concatenate([inputs[lead - 1], inputs[lead], targets[lead]], 1)
+    assert sorted(map(bytes, want)) == sorted(bytes(w) for k, t in got for w in np.concatenate([k, t], 1))
+    dealt = [d for r in range(lm.ROUNDS) for d in lm._dealt(found.where("kind = 'x'").select("ids", "key"), r, lm.ROUNDS, 4).collect()]
+    assert len({d["ids"] for d in dealt}) == len(dealt) and sum(d["n"] for d in dealt) == len(rows)
+    assert len([d for d in dealt if d["n"] == 2]) == 1
+
+
 def _softmax(x):
     e = np.exp(x - x.max())
     return e / e.sum()

@@ -46,3 +46,16 @@ def test_stream_equals_batch(spark, tmp_path):
     stream.writeStream.format("memory").queryName("sampled").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
     key = lambda df: sorted((r["id"], r["height"]) for r in df.collect())
     assert str(key(spark.table("sampled"))) == str(key(sampling.bilinear(pt, px, "u", "w")))
+
+
+def test_documents_of_one_file_are_parsed_by_many_tasks(spark):
+    from hypsogrid.sources import worlds
+
+    texts = ["a: [1, 2", "a: {b: [1, yes, 2.5, 1_000, 010]}", "mrs_uav_managers: {safety_area_manager: {safety_area: {horizontal: {points: [1, true, x, .inf]}}}}", "a:\tb", "- " * 250 + "a", "[" * 250 + "]" * 250]
+    docs = spark.createDataFrame([(i, t) for i in range(40) for t in texts], "position long, text string").coalesce(1)
+    parsed = worlds.parse(docs)
+    assert parsed.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert all(0 < n for n in parsed.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect())
+    got = {r["text"]: r["parsed"] for r in parsed.where("position = 0").collect()}
+    assert [got[t]["error"] for t in texts] == ["not a YAML document", "no safety area", None, "not a YAML document", "no safety area", "no safety area"]
+    assert got[texts[2]]["points"] == ["1", "true", '"x"', "Infinity"]

@@ -17,14 +17,16 @@ FILE_ROWS = 1_000_000
 
 def write_table(df: DataFrame, path: str, keys: tuple[str, ...], file_rows: int = FILE_ROWS) -> None:
     """Writes a table so that equal rows make equal files, however they were dealt before: sorted by keys, and cut into
-    files by the rows' places in that order."""
+    files by the rows' places in that order. As many tasks as there are shuffle partitions at most write, each of them
+    whole files, so that what tasks report to the driver does not grow with the files."""
     from . import ordered
 
     n = df.count()
     placed = ordered.numbered(df, keys) if n > file_rows else df.withColumn("position", F.lit(0).cast("long"))
     files = max(1, -(-n // file_rows))
-    dealt = placed.repartitionByRange(files, F.floor(F.col("position") / file_rows)) if files > 1 else placed.coalesce(1)
-    dealt.sortWithinPartitions(*keys).drop("position").write.parquet(path)
+    tasks = min(files, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = placed.repartitionByRange(tasks, F.floor(F.col("position") / file_rows)) if files > 1 else placed.coalesce(1)
+    dealt.sortWithinPartitions(*keys).drop("position").write.option("maxRecordsPerFile", file_rows).parquet(path)
 
 
 def digest(df: DataFrame) -> str:

@@ -59,3 +59,17 @@ def test_documents_of_one_file_are_parsed_by_many_tasks(spark):
     got = {r["text"]: r["parsed"] for r in parsed.where("position = 0").collect()}
     assert [got[t]["error"] for t in texts] == ["not a YAML document", "no safety area", None, "not a YAML document", "no safety area", "no safety area"]
     assert got[texts[2]]["points"] == ["1", "true", '"x"', "Infinity"]
+
+
+def test_catalogue_files_are_whole_and_written_by_few_tasks(spark, tmp_path):
+    from hypsogrid.operators import catalogue
+
+    df = spark.range(1950).selectExpr("id % 39 as ix", "id div 39 as iy")
+    found = []
+    for build, parts in ((0, 3), (1, 7)):
+        catalogue.write_table(df.repartition(parts), str(tmp_path / str(build)), ("ix", "iy"), 100)
+        files = sorted((tmp_path / str(build)).glob("part-*"))
+        found.append([[tuple(r) for r in spark.read.parquet(str(f)).collect()] for f in files])
+        assert len({f.name.split("-")[1] for f in files}) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert found[0] == found[1] and [len(f) for f in found[0]] == [100] * 19 + [50]
+    assert [r for f in found[0] for r in f] == sorted(tuple(r) for r in df.collect())

@@ -2,11 +2,13 @@
 
 from datetime import datetime, timedelta
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from hypsogrid.operators import blocks, stored
 from hypsogrid.options import SamplerOptions
-from hypsogrid.streaming import sampling
+from hypsogrid.streaming import requests, sampling
 
 START = datetime(2024, 5, 1, 12, 0)
 
@@ -49,3 +51,65 @@ def test_availability(spark, tmp_path):
     sampling.availability(stream, "time").writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start(f"{tmp_path}/out").awaitTermination()
     got = sorted((r["window"]["start"], r["n"], r["n_unavailable"]) for r in spark.read.parquet(f"{tmp_path}/out").collect())
     assert got == [(START + timedelta(minutes=10 * k), 10, sum((10 * k + i) % 3 == 0 for i in range(10))) for k in range(6)]
+
+
+class _State:
+    """What Spark keeps of one group."""
+
+    def __init__(self):
+        self.value, self.timeout, self.watermark, self.hasTimedOut = None, None, 0, False
+
+    exists = property(lambda self: self.value is not None)
+    get = property(lambda self: self.value)
+
+    def getCurrentWatermarkMs(self):
+        return self.watermark
+
+    def update(self, value):
+        self.value = value
+
+    def remove(self):
+        self.value = self.timeout = None
+
+    def setTimeoutTimestamp(self, ms):
+        assert ms > self.watermark
+        self.timeout = ms
+
+
+def test_requests_of_a_bucket_are_answered_as_each_alone():
+    rng = np.random.default_rng(3)
+    for trial in range(15):
+        rows = [(i, n if rng.random() > 0.02 else n + 1, s if rng.random() > 0.02 else n + 5, None if rng.random() < 0.2 else float(s + i), int(1000 * (i // 4) + rng.integers(0, 2500)))
+                for i in range(40) for n in [int(rng.integers(1, 6))] for s in range(n) for _ in range(int(rng.integers(0, 3)) or 1) if rng.random() > 0.1]
+        rows.sort(key=lambda r: r[4] + int(rng.integers(0, 1500)))
+        batches = [rows[k : k + 25] for k in range(0, len(rows), 25)] + [[], []]
+        columns, outcomes = ["request_id", "n_points", "seq", "height", "ms"], []
+        for key in (lambda i: 0, lambda i: i):
+            states, found, watermark = {key(i): _State() for i in range(40)}, [], 0
+            for k, batch in enumerate(batches):
+                alive = [r for r in batch if r[4] > watermark]
+                for g, state in states.items():
+                    own, state.watermark, state.hasTimedOut = [r for r in alive if key(r[0]) == g], watermark, False
+                    if own:
+                        found += [f for f in requests._assemble((g,), iter([pd.DataFrame(own, columns=columns)]), state)]
+                for g, state in states.items():
+                    if state.timeout is not None and state.timeout < watermark:
+                        state.hasTimedOut = True
+                        found += [f for f in requests._assemble((g,), iter([]), state)]
+                watermark = max([watermark, *(r[4] - 1000 for r in batch)]) if batch else 10**6
+            assert all(s.value is None for s in states.values())
+            outcomes.append(sorted(map(repr, pd.concat(found).values.tolist())))
+        assert outcomes[0] == outcomes[1] and len(outcomes[0]) > 30
+
+
+def test_state_is_by_bucket(spark, tmp_path):
+    """As many calls of Python as buckets, not as requests."""
+    n = 300
+    rows = spark.range(2 * n).select(F.floor(F.col("id") / 2).alias("request_id"), F.lit(2).alias("n_points"), (F.col("id") % 2).cast("int").alias("seq"), F.col("id").cast("double").alias("height"), F.lit(START).alias("time"))
+    rows.write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/in")
+    q = requests.answers(stream, buckets=8).writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start(f"{tmp_path}/out")
+    q.awaitTermination()
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]) == 8
+    got = {r["request_id"]: (r["heights"], r["success"]) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert got == {i: ([2.0 * i, 2.0 * i + 1], True) for i in range(n)}

@@ -25,6 +25,8 @@ from .replies import ReplyStore
 
 #: How far, in pixels, the extent of an answer may be off.
 EXTENT_TOLERANCE_PX = 0.25
+#: Bytes of replies, or of what has been decoded, that a task gathers before it hands them on.
+HELD_BYTES = 4 << 20
 
 
 class ServiceError(OSError):
@@ -289,6 +291,19 @@ def read_service(spark: SparkSession, service: Service, window: tuple[int, int,
 # sources for builds
 
 
+def _parts(found: Iterator, size: Callable, most: int) -> Iterator[list]:
+    """What is found, in lists that end as soon as they reach `most`."""
+    part, held = [], 0
+    for x in found:
+        part.append(x)
+        held += size(x)
+        if held >= most:
+            yield part
+            part, held = [], 0
+    if part:
+        yield part
+
+
 def _bounds(windows: DataFrame, s: Service) -> list[Column]:
     col, row, w, h = (F.col(c).cast("double") for c in ("col_min", "row_min", "width", "height"))
     (x, y), r = s.origin, s.resolution
@@ -322,15 +337,19 @@ class ServiceSource:
 
         def bodies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                for row in batch.itertuples(index=False):  # one reply at a time
-                    yield pd.DataFrame([(row.key, s.body(*(int(getattr(row, n)) for n in at)))], columns=["key", "body"])
+                found = ((row.key, s.body(*(int(getattr(row, n)) for n in at))) for row in batch.itertuples(index=False))
+                for part in _parts(found, lambda x: len(x[1]), HELD_BYTES):
+                    yield pd.DataFrame(part, columns=["key", "body"])
 
         held = self.store.complete(asked.select("key", *at), bodies)
         kind = "array<float>" if s.kind == "heights" else "array<bigint>"
 
         @F.pandas_udf(kind)
-        def decode(body: pd.Series, col: pd.Series, row: pd.Series, width: pd.Series, height: pd.Series) -> pd.Series:
-            return pd.Series([s.values(b, *(int(x) for x in place)) for b, *place in zip(body, col, row, width, height)])
+        def decode(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+            for batch in batches:
+                found = (s.values(b, *(int(x) for x in place)) for b, *place in zip(*batch))
+                for part in _parts(found, lambda x: x.nbytes, HELD_BYTES):
+                    yield pd.Series(part)
 
         met = asked.join(held, "key").select("window_id", *at, decode("body", *at).alias("p")).select("window_id", *at, F.posexplode("p").alias("i", "p"))
         return met.select("window_id", (F.col("col_min") + F.col("i") % F.col("width")).alias("col"), (F.col("row_min") + F.expr("i div width")).alias("row"), "p")

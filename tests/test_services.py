@@ -7,10 +7,11 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from hypsogrid.operators.grid import TileGrid
 from hypsogrid.plans.services import FormulaTransport, client
-from hypsogrid.sources import images
+from hypsogrid.sources import images, services
 from hypsogrid.sources.replies import ReplyStore
 from hypsogrid.sources.services import Client, HttpTransport, Reply, ServiceError, ServiceSource, checked_heights, height_service, imagery_service, read_service, render
 
@@ -192,3 +193,19 @@ def test_http_on_this_machine(spark):
         assert tuple(rgba) == (103, 52, 103, 156, 128, 0)
     finally:
         server.shutdown()
+
+
+def test_a_task_holds_few_replies(spark, tmp_path, monkeypatch):
+    """Neither requests that were answered, nor replies and heights of a whole batch."""
+    transport = FormulaTransport()
+    service = height_service(Client(transport, retries=2, backoff_s=0.0), "http://made.up/heights", GRID)
+    for k in range(50):
+        service.body(k, k, 4, 3)
+    assert not transport.tried
+    made = []
+    assert [x for x in services._parts(iter(range(1, 8)), lambda x: made.append(x) or x, 6)] == [[1, 2, 3], [4, 5], [6], [7]] and made == list(range(1, 8))
+    monkeypatch.setattr(services, "HELD_BYTES", 100)
+    windows = spark.range(300).select(F.col("id").alias("window_id"), F.col("id").alias("col_min"), (F.col("id") * 2).alias("row_min"), F.lit(4).alias("width"), F.lit(3).alias("height"))
+    got = ServiceSource(service, ReplyStore(f"{tmp_path}/replies")).read(windows).collect()
+    want = {(i, c, r): 0.25 * c - 0.125 * r + 100 for i in range(300) for c in range(i, i + 4) for r in range(2 * i, 2 * i + 3) if (c + r) % 7}
+    assert {(g["window_id"], g["col"], g["row"]): g["v"] for g in got} == want and len(got) == len(want)

@@ -31,7 +31,7 @@ from __future__ import annotations
 
 import base64
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -148,12 +148,9 @@ def _blocks(classes: np.ndarray, size: np.ndarray, end_class: int) -> tuple[np.n
 
 def _sums(classes: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Sums of rows by class, a row for each of 256."""
-    order = np.argsort(classes, kind="stable")
-    ordered = classes[order]
-    first = np.flatnonzero(np.diff(ordered, prepend=ordered[:1] ^ 1))
-    out = np.zeros((256, rows.shape[1]), rows.dtype)
-    out[ordered[first]] = np.add.reduceat(np.take(rows, order, 0), first, axis=0)
-    return out
+    n = rows.shape[1]
+    places = (classes[:, None] * np.int64(n) + np.arange(n)).ravel()
+    return np.bincount(places, rows.ravel(), 256 * n).reshape(256, n).astype(rows.dtype)
 
 
 class Attention:
@@ -182,12 +179,13 @@ class Attention:
         classes, so exponents of their scores are looked up in a table of pairs. Scores are small numbers, so their
         exponents are taken as they are; if any overflows, the result is not finite and `log_p` says so."""
         p, now = self.p, keys[:, BLOCK:]
-        table = np.exp(p["q"] @ p["k"].T)
-        table[:, NONE] = 0  # the first block of a text; ends of texts lie ahead of all queries
+        table = np.zeros((256, 256), p["q"].dtype)  # NONE has 0: the first block of a text; ends of texts lie ahead of all queries
+        np.exp(p["q"][:CLASSES] @ p["k"][:CLASSES].T, out=table[:CLASSES, :CLASSES])
         pairs = now[:, :, None] * np.int64(256) + keys[:, None, :]
         a = np.take(table.ravel(), pairs)
         a *= np.exp(p["near"][self.distance] + self.ahead)
-        a /= a.sum(2, keepdims=True) + np.float32(1e-30)
+        total = a.reshape(-1, 2 * BLOCK) @ np.ones(2 * BLOCK, a.dtype) + np.float32(1e-30)
+        a *= (1 / total).reshape(-1, BLOCK, 1)
         v = np.take(p["v"], keys, 0)
         o = a @ v
         h = o.reshape(-1, KEY) @ p["o"]
@@ -205,7 +203,7 @@ class Attention:
             if not len(at):
                 continue
             logits, own = np.take(h, at, 0) @ p["w"][:, low:high], y[at].astype(np.int64)
-            of = (logits[np.arange(len(own)), own - low] + p["b"][own]).astype(np.float64)
+            of = (np.take(logits.ravel(), np.arange(len(own)) * (high - low) + own - low) + p["b"][own]).astype(np.float64)
             np.exp(logits, out=logits)
             total = logits @ np.exp(p["b"][low:high])
             if not np.isfinite(total).all():
@@ -221,24 +219,25 @@ class Attention:
         pairs, v, a, o, h = self._hidden(keys)
         w = np.repeat(np.ones(len(keys)) if weight is None else weight, BLOCK) * (y != NONE)
         w = (w / max(w.sum(), 1e-9)).astype(h.dtype)
-        g = {"w": np.zeros_like(p["w"]), "b": np.zeros_like(p["b"])}
+        g, both = {"w": np.zeros_like(p["w"]), "b": np.zeros_like(p["b"])}, np.vstack([p["w"], p["b"]])
         dz = (1 / (1 + np.exp(-(h @ p["z"] + p["y"][0]))) - (y < self.begins)) * w
         dh = dz[:, None] * p["z"]
         g["z"], g["y"] = h.T @ dz, dz.sum(keepdims=True)
         for at, low, high in self._kinds(y):
-            own, of = np.take(h, at, 0), w[at]
-            e = own @ p["w"][:, low:high]
-            e += p["b"][low:high]
+            own, of = np.ones((len(at), WIDTH + 1), h.dtype), w[at]  # the last column for `b`
+            own[:, :WIDTH] = np.take(h, at, 0)
+            e = own @ both[:, low:high]
             np.exp(e, out=e)
-            e *= (of / e.sum(1))[:, None]
+            e *= (of / (e @ np.ones(high - low, e.dtype)))[:, None]
             e[np.arange(len(e)), y[at].astype(np.int64) - low] -= of
-            g["w"][:, low:high], g["b"][low:high] = own.T @ e, e.sum(0)
+            of_both = own.T @ e
+            g["w"][:, low:high], g["b"][low:high] = of_both[:WIDTH], of_both[WIDTH]
             dh[at] += e @ p["w"][:, low:high].T
         dh *= h > 0
         g["o"] = o.reshape(-1, KEY).T @ dh
         do = (dh @ p["o"].T).reshape(o.shape)
         da = do @ v.transpose(0, 2, 1)
-        da -= (do * o).sum(2, keepdims=True)
+        da -= np.einsum("ijk,ijk->ij", do, o)[:, :, None]
         da *= a
         g["near"] = np.bincount(self.distance.ravel(), np.where(self.ahead < 0, 0, da.sum(0)).ravel(), 2 * BLOCK).astype(h.dtype)
         of_pairs = np.bincount(pairs.ravel(), da.ravel(), 1 << 16).reshape(256, 256).astype(h.dtype)
@@ -249,13 +248,22 @@ class Attention:
 
     def fit(self, keys: np.ndarray, targets: np.ndarray, weight: np.ndarray, rate: float, batch: int = 128, seed: int = 0) -> None:
         """One pass by Adam."""
-        order, m, v = np.random.default_rng(seed).permutation(len(keys)), {}, {}
+        order, x = np.random.default_rng(seed).permutation(len(keys)), self.flat()
+        m, v, names = np.zeros_like(x), np.zeros_like(x), sorted(self.p)
         for step, at in enumerate(range(0, len(order), batch), 1):
             pick = order[at : at + batch]
-            for n, g in self.gradients(keys[pick], targets[pick], weight[pick]).items():
-                m[n] = 0.9 * m.get(n, 0) + 0.1 * g
-                v[n] = 0.99 * v.get(n, 0) + 0.01 * g * g
-                self.p[n] = self.p[n] - np.float32(min(1, step / 20) * rate) * (m[n] / (1 - 0.9**step)) / (np.sqrt(v[n] / (1 - 0.99**step)) + 1e-8)
+            found = self.gradients(keys[pick], targets[pick], weight[pick])
+            g = np.concatenate([found[n].ravel() for n in names])
+            m += np.float32(0.1) * (g - m)
+            g *= g
+            v += np.float32(0.01) * (g - v)
+            np.sqrt(v, out=g)
+            g *= np.float32(1 / np.sqrt(1 - 0.99**step))
+            g += np.float32(1e-8)
+            np.divide(m, g, out=g)
+            g *= np.float32(min(1, step / 20) * rate / (1 - 0.9**step))
+            x -= g
+            self.load(x)
 
     def flat(self) -> np.ndarray:
         return np.concatenate([self.p[k].ravel() for k in sorted(self.p)])
@@ -264,7 +272,7 @@ class Attention:
         at = 0
         for k in sorted(self.p):
             n = self.p[k].size
-            self.p[k] = flat[at : at + n].reshape(self.p[k].shape).astype(np.float32)
+            self.p[k] = flat[at : at + n].reshape(self.p[k].shape).astype(np.float32, copy=False)
             at += n
 
 
@@ -352,10 +360,25 @@ def _windows(classes: np.ndarray, lead: int, end_class: int) -> tuple[np.ndarray
     return np.concatenate([inputs[:-1], inputs[1:]], 1), targets.reshape(-1, BLOCK)
 
 
-def _dealt(rows: DataFrame, r: int, rounds: int, tasks: int) -> DataFrame:
-    """ids, key and number of the rows of a round, dealt to tasks."""
-    own = rows.where(F.pmod(F.xxhash64("ids"), F.lit(rounds)) == r).repartition(tasks, "ids", "key")
-    return own.groupBy("ids", "key").agg(F.count(F.lit(1)).alias("n"))
+def _dealt(rows: DataFrame, r: int, rounds: int, tasks: int, narrow: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """ids, key and number of the rows of a round, dealt to tasks. narrow: makes ids, key and n of them first."""
+    own = rows.where(F.pmod(F.xxhash64("ids"), F.lit(rounds)) == r)
+    own = own.withColumn("n", F.lit(1).cast("long")) if narrow is None else narrow(own)
+    return own.repartition(tasks, "ids", "key").groupBy("ids", "key").agg(F.sum("n").alias("n"))
+
+
+def _narrow(rows: DataFrame, of) -> DataFrame:
+    """ids, key -> classes in place of ids, 8 bits each, and n: equal rows of a batch are one, so that of many copies
+    few are moved to the task that gets them all. of: the broadcast class of each id."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            seen: dict[tuple[bytes, int], int] = {}
+            for row in zip(f["ids"], f["key"].tolist()):
+                seen[row] = seen.get(row, 0) + 1
+            yield pd.DataFrame({"ids": [of.value[np.frombuffer(ids, "<u2")].tobytes() for ids, _ in seen], "key": np.array([k for _, k in seen], np.int64), "n": np.array(list(seen.values()), np.int64)})
+
+    return rows.mapInPandas(run, "ids binary, key long, n long")
 
 
 def train(read_: DataFrame, classes: _Classes, rounds: int = ROUNDS) -> Attention:
@@ -374,20 +397,20 @@ def train(read_: DataFrame, classes: _Classes, rounds: int = ROUNDS) -> Attentio
                 return
             end_class, parts = int(of.value[END]), []
             for ids, lead, n in found:
-                keys, targets = _windows(of.value[np.frombuffer(ids, "<u2")], lead, end_class)
+                keys, targets = _windows(np.frombuffer(ids, np.uint8), lead, end_class)
                 parts.append((keys, targets, np.full(len(keys), float(n))))
             keys, targets, n = (np.concatenate(x) for x in zip(*parts))
             own = Attention(np.ones(CLASSES), begins)
             own.load(held.value)
             own.fit(keys, targets, n, 0.02 * 0.7**r, seed=r)
-            flat = own.flat().astype(np.float64) * len(keys)
-            yield pd.DataFrame({"i": np.arange(len(flat)), "x": flat, "n": len(keys)})
+            flat = np.append(own.flat().astype(np.float64), 1) * len(keys)  # and the windows, after the weights
+            yield pd.DataFrame({"i": np.arange(len(flat)), "x": flat})
 
         # one row for each weight and task; what comes to the driver is one row for each weight
-        each = _dealt(rows, r, rounds, tasks).mapInPandas(run, "i int, x double, n long")
-        mean = each.groupBy("i").agg((F.sum("x") / F.sum("n")).alias("x")).orderBy("i").toPandas()
-        if len(mean):
-            model.load(mean["x"].to_numpy())
+        each = _dealt(rows, r, rounds, tasks, lambda own: _narrow(own, of)).mapInPandas(run, "i int, x double")
+        sums = each.groupBy("i").agg(F.sum("x").alias("x")).orderBy("i").toPandas()["x"].to_numpy()
+        if len(sums):
+            model.load(sums[:-1] / sums[-1])
     return model
 
 
@@ -464,7 +487,7 @@ def _text_scores(net: Attention, cl: _Classes, rest: _Rest, ids: np.ndarray, siz
     """log10 probability of each text, c being the count of each word in their order; and `log_spelled` of each word."""
     inputs, targets, at = _blocks(cl.of[ids], size, int(cl.of[END]))
     keys = np.concatenate([inputs[:-1], inputs[1:]], 1)
-    found = np.concatenate([np.zeros((2, 1, BLOCK)), *(net.log_p(keys[k : k + 128], targets[1 + k : 129 + k]) for k in range(0, len(keys), 128))], 1)
+    found = np.concatenate([np.zeros((2, 1, BLOCK)), *(net.log_p(keys[k : k + 256], targets[1 + k : 257 + k]) for k in range(0, len(keys), 256))], 1)
     each, starts = (x.ravel()[at] for x in found)
     each += cl.within[ids]
     total = each[begins] - starts[begins]

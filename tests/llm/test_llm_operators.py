@@ -138,6 +138,18 @@ def test_network_trains_on_every_window_once(spark):
     assert len([d for d in dealt if d["n"] == 2]) == 1
 
 
+def test_rows_are_dealt_as_classes_and_copies_as_few(spark):
+    lm = attention_lm
+    ids = [np.arange(k, k + 50, dtype="<u2").tobytes() for k in range(3)]
+    rows = spark.createDataFrame([(i, 0) for i in ids * 200], "ids binary, key long").coalesce(1)
+    of = np.arange(lm.END + 1) % 192
+    held = spark.sparkContext.broadcast(of.astype(np.uint8))
+    narrow = lm._narrow(rows, held)
+    assert narrow.count() == 3
+    got = {bytes(r["ids"]): r["n"] for k in range(2) for r in lm._dealt(rows, k, 2, 4, lambda own: lm._narrow(own, held)).collect()}
+    assert got == {bytes(range(k, k + 50)): 200 for k in range(3)}
+
+
 def _softmax(x):
     e = np.exp(x - x.max())
     return e / e.sum()

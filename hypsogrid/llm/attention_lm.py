@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -55,8 +56,10 @@ PART = 256 * BLOCK
 _LEAD = BLOCK + 1  # ids before a row that is not a text's first: a block of inputs
 ROUNDS, BLOCKS_PER_TASK, LEAST_TASKS = 6, 50_000, 4
 MODEL_WORDS = 3_000_000
+_SIDE = 64
 _END_WORD = 1
-_CACHED = 1_000_000
+_CACHED, _SLOTS = 1_000_000, 1 << 21
+_ODD_SPACES = re.compile(r"[^\S ] [^\S ]")
 
 
 @functools.lru_cache(1)
@@ -66,47 +69,57 @@ def _encoding(name: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("subwords", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+@functools.lru_cache(1)
+def _begins(name: str) -> np.ndarray:
+    """Whether an id begins a word; the end counts as one."""
+    encoding = _encoding(name)
+    return np.array([encoding.decode_single_token_bytes(i)[:1] == b" " for i in range(END)] + [True])
+
+
 class _Subwords:
-    """Ids of words seen, in one flat array; begun anew when it holds _CACHED words."""
+    """Ids of words seen, in one flat array, found by the slots of their hashes; a word takes the slot of another one,
+    which is then encoded again when it comes. Begun anew when it holds _CACHED words."""
 
     def __init__(self, name: str):
-        self.encode = _encoding(name).encode_ordinary
+        self.encode, self.begins = _encoding(name).encode_ordinary, _begins(name)
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[int, int] = {}
-        self.flat, self.used = np.empty(1 << 16, np.uint16), 0
-        self.start, self.size = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int64)
-
-    def _add(self, key: int, word: str) -> int:
-        ids = self.encode(" " + word)
-        if self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.empty(len(self.flat) + len(ids), np.uint16)])
-        k = len(self.place)
-        if k == len(self.start):
-            self.start, self.size = (np.concatenate([x, np.empty_like(x)]) for x in (self.start, self.size))
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.start[k], self.size[k] = self.used, len(ids)
-        self.used += len(ids)
-        self.place[key] = k
-        return k
+        self.flat, self.used, self.words = np.empty(1 << 16, np.uint16), 0, 0
+        self.key, self.start, self.size = (np.zeros(_SLOTS, kind) for kind in (np.uint64, np.int64, np.int64))
+
+    def _encoded(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of words, each after a space, and how many each has. All are encoded as one text: a match of the
+        pattern holds no space but at its start, unless white space other than a space stands on both its sides."""
+        size = end - start + 1
+        first = np.cumsum(size) - size
+        joined = raw[np.repeat(start - 1 - first, size) + np.arange(int(size.sum()))]
+        joined[first] = 0x20
+        text = joined.tobytes().decode("utf-8", "replace")
+        if _ODD_SPACES.search(text):
+            each = [self.encode(" " + x) for x in text[1:].split(" ")]
+            return np.array([i for x in each for i in x], np.uint16), np.array([len(x) for x in each], np.int64)
+        ids = np.array(self.encode(text), np.uint16)
+        return ids, np.diff(np.flatnonzero(self.begins[ids]), append=len(ids))
 
     def of(self, w, distinct: np.ndarray, first_at: np.ndarray, inverse: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all words of a batch, how many each word has, and each text."""
-        if len(self.place) > _CACHED:
+        if self.words > _CACHED:
             self.clear()
-        get, raw = self.place.get, w.bytes
-        index = np.empty(len(distinct), np.int64)
-        for n, key in enumerate(distinct.tolist()):
-            k = get(key)
-            if k is None:
-                i = first_at[n]
-                k = self._add(key, raw[w.start[i] : w.end[i]].tobytes().decode("utf-8", "replace"))
-            index[n] = k
-        each = index[inverse]
-        size = self.size[each]
+        slot = (distinct % np.uint64(_SLOTS)).astype(np.int64)
+        start, size = self.start[slot], self.size[slot]
+        new = np.flatnonzero((self.key[slot] != distinct) | (size == 0))
+        if len(new):
+            ids, size[new] = self._encoded(w.bytes, w.start[first_at[new]], w.end[first_at[new]])
+            start[new] = self.used + np.cumsum(size[new]) - size[new]
+            if self.used + len(ids) > len(self.flat):
+                self.flat = np.concatenate([self.flat, np.empty(len(self.flat) + len(ids), np.uint16)])
+            self.flat[self.used : self.used + len(ids)] = ids
+            self.used, self.words = self.used + len(ids), self.words + len(new)
+            self.key[slot[new]], self.start[slot[new]], self.size[slot[new]] = distinct[new], start[new], size[new]
+        each, size = start[inverse], size[inverse]
         after = np.cumsum(size)
-        ids = self.flat[np.repeat(self.start[each] - after + size, size) + np.arange(int(after[-1]) if len(after) else 0)]
+        ids = self.flat[np.repeat(each - after + size, size) + np.arange(int(after[-1]) if len(after) else 0)]
         bounds = np.concatenate([[0], after])[w.first]
         return ids, size, np.diff(bounds)
 
@@ -147,10 +160,18 @@ def _blocks(classes: np.ndarray, size: np.ndarray, end_class: int) -> tuple[np.n
 
 
 def _sums(classes: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Sums of rows by class, a row for each of 256."""
-    n = rows.shape[1]
-    places = (classes[:, None] * np.int64(n) + np.arange(n)).ravel()
-    return np.bincount(places, rows.ravel(), 256 * n).reshape(256, n).astype(rows.dtype)
+    """Sums of rows by class, 8 bits each; a row for each of 256."""
+    order = np.argsort(classes, kind="stable")
+    count, out = np.bincount(classes, minlength=256), np.zeros((256, rows.shape[1]), rows.dtype)
+    seen = np.flatnonzero(count)
+    out[seen] = np.add.reduceat(rows.take(order, 0), (np.cumsum(count) - count)[seen], 0)
+    return out
+
+
+def _reuse_memory() -> None:
+    """glibc hands arrays above 128 KB back to the system until a larger one was freed, and each new one costs page
+    faults, a third of the time of a step here. Once an array of 16 MB was freed, it keeps those up to that size."""
+    np.empty(16 << 20, np.uint8)
 
 
 class Attention:
@@ -170,84 +191,103 @@ class Attention:
         self.ahead = np.where(j > i, np.float32(-1e9), np.float32(0))
 
     def _kinds(self, targets: np.ndarray):
-        """For classes that begin a word and for the others: where the targets are such, and the range of classes."""
-        first = targets < self.begins
-        return (np.flatnonzero(first), 0, self.begins), (np.flatnonzero((targets != NONE) & ~first), self.begins, CLASSES)
-
-    def _hidden(self, keys: np.ndarray):
-        """Pairs of classes, values, weights of attention, their outcome and the hidden layer. Queries and keys are of
-        classes, so exponents of their scores are looked up in a table of pairs. Scores are small numbers, so their
-        exponents are taken as they are; if any overflows, the result is not finite and `log_p` says so."""
-        p, now = self.p, keys[:, BLOCK:]
+        """The targets in order of kind: those that begin a word, the others, and no targets. Then, for both kinds, the
+        range of places and the range of classes."""
+        first, none = targets < self.begins, targets == NONE
+        parts = np.flatnonzero(first), np.flatnonzero(~(first | none)), np.flatnonzero(none)
+        n, m = len(parts[0]), len(parts[0]) + len(parts[1])
+        return np.concatenate(parts), [x for x in ((slice(0, n), 0, self.begins), (slice(n, m), self.begins, CLASSES)) if x[0].start < x[0].stop]
+
+    def _scores_of_pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Exponents of scores: by query and key, and by place in the window, where what lies ahead has 0. Scores are
+        small numbers, so their exponents are taken as they are; if any overflows, the result is not finite and `log_p` says so."""
+        p = self.p
         table = np.zeros((256, 256), p["q"].dtype)  # NONE has 0: the first block of a text; ends of texts lie ahead of all queries
-        np.exp(p["q"][:CLASSES] @ p["k"][:CLASSES].T, out=table[:CLASSES, :CLASSES])
-        pairs = now[:, :, None] * np.int64(256) + keys[:, None, :]
-        a = np.take(table.ravel(), pairs)
-        a *= np.exp(p["near"][self.distance] + self.ahead)
+        table[:CLASSES, :CLASSES] = np.exp(p["q"][:CLASSES] @ p["k"][:CLASSES].T)
+        return table.ravel(), np.exp(p["near"][self.distance] + self.ahead)
+
+    def _hidden(self, keys: np.ndarray, order: np.ndarray, of_pairs: tuple[np.ndarray, np.ndarray]):
+        """Pairs of classes, values, weights of attention, their outcome and, in the given order of targets, inputs, outcome
+        and the hidden layer. Queries and keys are of classes, so exponents of their scores are looked up in a table of pairs."""
+        p, of_keys = self.p, keys.astype(np.int64)
+        now = of_keys[:, BLOCK:]
+        pairs = (now << 8)[:, :, None] + of_keys[:, None, :]
+        a = of_pairs[0].take(pairs)
+        a *= of_pairs[1]
         total = a.reshape(-1, 2 * BLOCK) @ np.ones(2 * BLOCK, a.dtype) + np.float32(1e-30)
         a *= (1 / total).reshape(-1, BLOCK, 1)
-        v = np.take(p["v"], keys, 0)
+        v = p["v"].take(of_keys, 0)
         o = a @ v
-        h = o.reshape(-1, KEY) @ p["o"]
-        h += np.take(p["e"], now.ravel(), 0)
+        ordered, own = o.reshape(-1, KEY).take(order, 0), keys[:, BLOCK:].ravel()[order]
+        h = ordered @ p["o"]
+        h += p["e"].take(own, 0)
         np.maximum(h, 0, out=h)
-        return pairs, v, a, o, h
+        return pairs, v, a, o, own, ordered, h
 
-    def log_p(self, keys: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    def log_p(self, keys: np.ndarray, targets: np.ndarray, batch: int = 128) -> np.ndarray:
         """Natural log-probability of each target class, and of a word's begin in its place; 0 where there is no target.
         keys (n, 2 * BLOCK), targets (n, BLOCK)."""
-        p, h, y = self.p, self._hidden(keys)[-1], targets.ravel()
-        begin = -np.logaddexp(0, -(h @ p["z"] + p["y"][0]).astype(np.float64))
-        out = np.zeros((2, len(y)))
-        for at, low, high in self._kinds(y):
-            if not len(at):
-                continue
-            logits, own = np.take(h, at, 0) @ p["w"][:, low:high], y[at].astype(np.int64)
-            of = (np.take(logits.ravel(), np.arange(len(own)) * (high - low) + own - low) + p["b"][own]).astype(np.float64)
+        of_pairs, out = self._scores_of_pairs(), np.zeros((2, targets.size))
+        exp_b = np.exp(self.p["b"])
+        for k in range(0, len(keys), batch):
+            self._log_p(keys[k : k + batch], targets[k : k + batch].ravel(), of_pairs, exp_b, out[:, k * BLOCK : (k + batch) * BLOCK])
+        return out.reshape(2, *targets.shape)
+
+    def _log_p(self, keys: np.ndarray, y: np.ndarray, of_pairs: tuple[np.ndarray, np.ndarray], exp_b: np.ndarray, out: np.ndarray) -> None:
+        p = self.p
+        order, kinds = self._kinds(y)
+        h, y = self._hidden(keys, order, of_pairs)[-1], y[order].astype(np.int64)
+        z = (h @ p["z"] + p["y"][0]).astype(np.float64)
+        for at, low, high in kinds:
+            logits, own = h[at] @ p["w"][:, low:high], y[at]
+            of = (logits.ravel().take(np.arange(len(own)) * (high - low) + own - low) + p["b"][own]).astype(np.float64)
             np.exp(logits, out=logits)
-            total = logits @ np.exp(p["b"][low:high])
+            total = logits @ exp_b[low:high]
             if not np.isfinite(total).all():
                 raise FloatingPointError("the network's scores are out of range")
-            log_begin = begin[at]
-            out[0][at] = of - np.log(total) + (log_begin if low == 0 else np.log(-np.expm1(np.minimum(log_begin, -1e-12))))
-            out[1][at] = log_begin
-        return out.reshape(2, *targets.shape)
+            log_begin = -np.logaddexp(0, -z[at])
+            out[0, order[at]] = of - np.log(total) + (log_begin if low == 0 else log_begin - z[at])
+            out[1, order[at]] = log_begin
 
     def gradients(self, keys: np.ndarray, targets: np.ndarray, weight: np.ndarray | None = None) -> dict[str, np.ndarray]:
         """Of the mean loss of an id, by the weights of the windows."""
-        p, now, y = self.p, keys[:, BLOCK:].ravel(), targets.ravel()
-        pairs, v, a, o, h = self._hidden(keys)
-        w = np.repeat(np.ones(len(keys)) if weight is None else weight, BLOCK) * (y != NONE)
+        p = self.p
+        order, kinds = self._kinds(targets.ravel())
+        pairs, v, a, o, now, ordered, h = self._hidden(keys, order, self._scores_of_pairs())
+        y, last = targets.ravel()[order].astype(np.int64), kinds[-1][0].stop if kinds else 0
+        w = np.repeat(np.ones(len(keys)) if weight is None else weight, BLOCK)[order]
+        w[last:] = 0
         w = (w / max(w.sum(), 1e-9)).astype(h.dtype)
-        g, both = {"w": np.zeros_like(p["w"]), "b": np.zeros_like(p["b"])}, np.vstack([p["w"], p["b"]])
+        g, dh = {"w": np.zeros_like(p["w"]), "b": np.zeros_like(p["b"])}, np.zeros_like(h)
+        for at, low, high in kinds:
+            own, of, exp_b = h[at], w[at], np.exp(p["b"][low:high])
+            e = own @ p["w"][:, low:high]
+            np.exp(e, out=e)
+            total = e @ exp_b
+            e.ravel()[np.arange(len(e)) * (high - low) + y[at] - low] -= total / exp_b[y[at] - low]
+            of = of / total  # rows of `e` times this and columns times exp_b are the losses' slopes
+            g["w"][:, low:high], g["b"][low:high] = ((own * of[:, None]).T @ e) * exp_b, (of @ e) * exp_b
+            np.matmul(e, (p["w"][:, low:high] * exp_b).T, out=dh[at])
+            dh[at] *= of[:, None]
         dz = (1 / (1 + np.exp(-(h @ p["z"] + p["y"][0]))) - (y < self.begins)) * w
-        dh = dz[:, None] * p["z"]
         g["z"], g["y"] = h.T @ dz, dz.sum(keepdims=True)
-        for at, low, high in self._kinds(y):
-            own, of = np.ones((len(at), WIDTH + 1), h.dtype), w[at]  # the last column for `b`
-            own[:, :WIDTH] = np.take(h, at, 0)
-            e = own @ both[:, low:high]
-            np.exp(e, out=e)
-            e *= (of / (e @ np.ones(high - low, e.dtype)))[:, None]
-            e[np.arange(len(e)), y[at].astype(np.int64) - low] -= of
-            of_both = own.T @ e
-            g["w"][:, low:high], g["b"][low:high] = of_both[:WIDTH], of_both[WIDTH]
-            dh[at] += e @ p["w"][:, low:high].T
+        dh += dz[:, None] * p["z"]
         dh *= h > 0
-        g["o"] = o.reshape(-1, KEY).T @ dh
-        do = (dh @ p["o"].T).reshape(o.shape)
+        g["o"], g["e"] = ordered.T @ dh, _sums(now, dh)
+        do = np.empty_like(o)
+        do.reshape(-1, KEY)[order] = dh @ p["o"].T
         da = do @ v.transpose(0, 2, 1)
         da -= np.einsum("ijk,ijk->ij", do, o)[:, :, None]
         da *= a
         g["near"] = np.bincount(self.distance.ravel(), np.where(self.ahead < 0, 0, da.sum(0)).ravel(), 2 * BLOCK).astype(h.dtype)
         of_pairs = np.bincount(pairs.ravel(), da.ravel(), 1 << 16).reshape(256, 256).astype(h.dtype)
         g["q"], g["k"] = of_pairs @ p["k"], of_pairs.T @ p["q"]
-        g["e"] = _sums(now, dh)
         g["v"] = _sums(keys.ravel(), (a.transpose(0, 2, 1) @ do).reshape(-1, KEY))
         return g
 
     def fit(self, keys: np.ndarray, targets: np.ndarray, weight: np.ndarray, rate: float, batch: int = 128, seed: int = 0) -> None:
         """One pass by Adam."""
+        _reuse_memory()
         order, x = np.random.default_rng(seed).permutation(len(keys)), self.flat()
         m, v, names = np.zeros_like(x), np.zeros_like(x), sorted(self.p)
         for step, at in enumerate(range(0, len(order), batch), 1):
@@ -280,7 +320,7 @@ class _Classes:
     """Class of each id, log of its share of the class, the classes' frequencies, and how many hold ids that begin a word."""
 
     def __init__(self, counts: np.ndarray, vocabulary: str = VOCABULARY):
-        begins = np.array([_encoding(vocabulary).decode_single_token_bytes(i)[:1] == b" " for i in range(END)] + [True])
+        begins = _begins(vocabulary)
         order = np.argsort(-counts, kind="stable")
         smooth = counts + 0.5
         self.of = np.empty(len(counts), np.uint8)
@@ -308,6 +348,7 @@ def read(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     c, a word's first id, and a text's ids, 16 bits each: partial counts, and all texts in rows of at most PART ids."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        _reuse_memory()
         subwords, keys, counts, firsts, held = np.zeros(END + 1, np.int64), [], [], [], 0
 
         def flush() -> pd.DataFrame:
@@ -387,7 +428,7 @@ def train(read_: DataFrame, classes: _Classes, rounds: int = ROUNDS) -> Attentio
     rows = read_.where("kind = 'x'").select("ids", "key")
     blocks = rows.agg(F.coalesce(F.sum(F.octet_length("ids")), F.lit(0)).alias("n")).first()["n"] // (2 * BLOCK)
     tasks = max(LEAST_TASKS, blocks // (rounds * BLOCKS_PER_TASK))
-    of = spark.sparkContext.broadcast(classes.of)
+    of, sums = spark.sparkContext.broadcast(classes.of), [f"x{k}" for k in range(_SIDE)]
     for r in range(rounds):
         held = spark.sparkContext.broadcast(model.flat())
 
@@ -404,13 +445,16 @@ def train(read_: DataFrame, classes: _Classes, rounds: int = ROUNDS) -> Attentio
             own.load(held.value)
             own.fit(keys, targets, n, 0.02 * 0.7**r, seed=r)
             flat = np.append(own.flat().astype(np.float64), 1) * len(keys)  # and the windows, after the weights
-            yield pd.DataFrame({"i": np.arange(len(flat)), "x": flat})
-
-        # one row for each weight and task; what comes to the driver is one row for each weight
-        each = _dealt(rows, r, rounds, tasks, lambda own: _narrow(own, of)).mapInPandas(run, "i int, x double")
-        sums = each.groupBy("i").agg(F.sum("x").alias("x")).orderBy("i").toPandas()["x"].to_numpy()
-        if len(sums):
-            model.load(sums[:-1] / sums[-1])
+            flat = np.append(flat, np.zeros(-len(flat) % _SIDE)).reshape(-1, _SIDE)
+            yield pd.DataFrame(flat, columns=sums).assign(i=np.arange(len(flat)))
+
+        # _SIDE weights of a task are a row, so that their places are not moved with each; what comes to the driver is
+        # their sums, once
+        each = _dealt(rows, r, rounds, tasks, lambda own: _narrow(own, of)).mapInPandas(run, ", ".join([*(f"{x} double" for x in sums), "i int"]))
+        found = each.groupBy("i").agg(*(F.sum(x).alias(x) for x in sums)).orderBy("i").toPandas()[sums].to_numpy().ravel()
+        if len(found):
+            n = len(model.flat())
+            model.load(found[:n] / found[n])
     return model
 
 
@@ -459,7 +503,7 @@ class Model:
 def fit(learned: DataFrame, vocabulary: str = VOCABULARY, model_words: int = MODEL_WORDS) -> Model:
     """learned: the training texts, in a column `text` without NULL."""
     shared.bounded_batches(learned.sparkSession)
-    found = shared.keep(read(learned, vocabulary), "lm-texts")
+    found = shared.keep(read(learned, vocabulary), "lm-texts", "zstd")
     counts = shared.keep(count(found), "lm-counts")
     all_words = counts.where("kind = 'w'").select("key", "c", "first")
     bounds = [1 << k for k in range(41)]
@@ -480,15 +524,14 @@ def fit(learned: DataFrame, vocabulary: str = VOCABULARY, model_words: int = MOD
     return Model(net, classes, rest, table, least, counts, vocabulary)
 
 
-_SCORES = "n_tokens long, n_known long, base double, score double, n_subwords long, rare array<struct<key: long, x: double>>"
+_SCORES = "n_tokens long, n_known long, base double, score double, n_subwords long, rare array<long>, rare_x array<double>"
 
 
 def _text_scores(net: Attention, cl: _Classes, rest: _Rest, ids: np.ndarray, size: np.ndarray, begins: np.ndarray, c: np.ndarray):
     """log10 probability of each text, c being the count of each word in their order; and `log_spelled` of each word."""
     inputs, targets, at = _blocks(cl.of[ids], size, int(cl.of[END]))
     keys = np.concatenate([inputs[:-1], inputs[1:]], 1)
-    found = np.concatenate([np.zeros((2, 1, BLOCK)), *(net.log_p(keys[k : k + 256], targets[1 + k : 257 + k]) for k in range(0, len(keys), 256))], 1)
-    each, starts = (x.ravel()[at] for x in found)
+    each, starts = (x.ravel()[at - BLOCK] for x in net.log_p(keys, targets[1:]))  # the first block has no targets
     each += cl.within[ids]
     total = each[begins] - starts[begins]
     word = ids[begins] != END
@@ -501,15 +544,20 @@ def _text_scores(net: Attention, cl: _Classes, rest: _Rest, ids: np.ndarray, siz
     return np.bincount(text, total, len(size)) / np.log(10), x
 
 
+def _parts(x: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
+    return [x[i:j] for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+
+
 def _scores(model: Model, text: Column) -> Column:
     """A struct of _SCORES for each text. Where the broadcast table lacks some words, `rare` has the occurrences of
-    words that are not in it, and base, n_known and score are without their counts."""
+    words that are not in it, `rare_x` what is left to their spelling, and base, n_known and score are without their counts."""
     spark = model.counts.sparkSession
     held = spark.sparkContext.broadcast((model.net.p, model.net.begins, model.classes, model.rest, model.words))
     vocabulary, whole = model.vocabulary, model.least == 1
 
     @F.pandas_udf(_SCORES)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        _reuse_memory()
         p, first_classes, cl, rest, t = held.value
         net = Attention(begins=first_classes, p=p)
         for batch in batches:
@@ -526,9 +574,9 @@ def _scores(model: Model, text: Column) -> Column:
                 parts.append(pd.DataFrame({
                     "n_tokens": np.diff(w.first) + 1, "n_known": np.bincount(text, known[inverse], b - a).astype(np.int64) + (c_end > 0),
                     "base": np.bincount(text, base[inverse], b - a) + t.log10(c_end), "score": score, "n_subwords": size,
-                    "rare": [[{"key": k, "x": v} for k, v in zip(keys[i:j].tolist(), x[rare[i:j]].tolist())] for i, j in zip(bounds[:-1], bounds[1:])],
+                    "rare": _parts(keys, bounds), "rare_x": _parts(x[rare], bounds),
                 }))
-            yield pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({k.split()[0]: [] for k in _SCORES.split(", ")[:6]})
+            yield pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({k.split()[0]: [] for k in _SCORES.split(", ")})
 
     return run(text)
 
@@ -537,12 +585,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """docs (with a column `text` without NULL, which goes) with n_tokens, n_known, base, score and n_subwords."""
     rest = [c for c in docs.columns if c != "text"]
     numbers = ["n_tokens", "n_known", "base", "score", "n_subwords"]
-    scored = docs.withColumn("_s", _scores(model, F.col("text"))).select(*rest, *(f"_s.{c}" for c in [*numbers, "rare"]))
+    scored = docs.withColumn("_s", _scores(model, F.col("text"))).select(*rest, *(f"_s.{c}" for c in [*numbers, "rare", "rare_x"]))
     if model.least == 1:
-        return scored.drop("rare")
+        return scored.drop("rare", "rare_x")
     scored = shared.keep(scored.withColumn("_key", F.expr("uuid()")), "lm-scores")
     counts = model.counts.where((F.col("kind") == "w") & (F.col("c") < model.least)).select("key", "c")
-    each = scored.select("_key", F.explode("rare").alias("r")).select("_key", "r.key", "r.x").join(counts, "key", "left").withColumn("c", F.coalesce("c", F.lit(0)))
+    each = scored.select("_key", F.inline(F.arrays_zip(F.col("rare").alias("key"), F.col("rare_x").alias("x")))).join(counts, "key", "left").withColumn("c", F.coalesce("c", F.lit(0)))
     sums = each.groupBy("_key").agg(
         F.sum(F.log10((F.col("c") + 0.5) / (model.words.n + 0.5 * (model.words.v + 1)))).alias("_base"),
         F.count(F.when(F.col("c") > 0, 1)).alias("_known"), (F.sum(F.log1p(F.col("c") * F.exp(-F.col("x")))) / float(np.log(10))).alias("_score"),

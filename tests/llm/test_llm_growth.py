@@ -2,12 +2,15 @@
 
 import gzip
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 
 from pyspark.sql import functions as F
 
-from hypsogrid.llm import chat, language_id, sharding, warc
+from hypsogrid.llm import attention_lm, chat, language_id, sharding, shared, warc
 
 
 def test_equal_rows_are_split(spark):
@@ -99,3 +102,63 @@ def test_language_probabilities_byte_by_byte(spark):
             continue
         want = by_byte(model, text)
         assert r["lang_pred"] == model.labels[want.argmax()] and abs(r["score"] - want.max()) < 1e-4
+
+
+def test_new_words_are_encoded_at_once():
+    """The ids of each word alone, by few calls, also where words take each other's slots and hold odd white space."""
+    rng = random.Random(5)
+    odd = ["\u00a0", "x\u00a0", "\u2003y", "a\u00a0b", "\x1c", "'s", "don't", "\ufffd", "漢字", "e\u0301", "12ab", "\ud800"]
+    plain = ["".join(rng.choice("abé1'.") for _ in range(rng.randrange(1, 9))) for _ in range(3000)]
+    slots = attention_lm._SLOTS
+    encode = attention_lm._encoding(attention_lm.VOCABULARY).encode_ordinary
+    for number, of_words in ((slots, plain), (64, plain + odd), (slots, odd * 3)):
+        attention_lm._SLOTS = number
+        try:
+            attention_lm._subwords.cache_clear()
+            found, calls = attention_lm._subwords(attention_lm.VOCABULARY), []
+            found.encode = lambda text, calls=calls: calls.append(1) or encode(text)
+            texts = [" ".join(rng.choices(of_words, k=50)) for _ in range(100)] + ["", " \t "]
+            for part in (texts, texts[::-1]):
+                ids, size = attention_lm._tokens(part, attention_lm.VOCABULARY)[3:5]
+                each = [w.encode("utf-8", "surrogatepass").decode("utf-8", "replace") for t in part for w in [*t.replace("\t", " ").split(" "), "\n"] if w]
+        finally:
+            attention_lm._SLOTS = slots
+            attention_lm._subwords.cache_clear()
+        want, n = [], []
+        for t in part:
+            own = [i for w in t.replace("\t", " ").split(" ") if w for i in encode(" " + w.encode("utf-8", "surrogatepass").decode("utf-8", "replace"))] + [attention_lm.END]
+            want += own
+            n.append(len(own))
+        assert ids.tolist() == want and size.tolist() == n
+        assert of_words is not plain or len(calls) <= 2
+
+
+def test_steps_of_training_reuse_memory():
+    """A step asked the system for its arrays anew: some 8 page faults a window, a third of its time."""
+    code = """
+import resource
+import numpy as np
+from hypsogrid.llm import attention_lm as lm
+rng = np.random.default_rng(0)
+keys, targets = (rng.integers(0, lm.CLASSES, (5120, n), np.uint8) for n in (32, 16))
+m = lm.Attention(np.ones(lm.CLASSES))
+m.fit(keys[:512], targets[:512], np.ones(512), 0.02)
+before = resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+m.fit(keys, targets, np.ones(5120), 0.02)
+print((resource.getrusage(resource.RUSAGE_SELF).ru_minflt - before) / 5120)
+"""
+    run = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[2], capture_output=True, text=True, timeout=120, check=True)
+    assert float(run.stdout) < 2
+
+
+def test_kept_texts_are_compressed(spark):
+    rng = np.random.default_rng(1)
+    ids = [(rng.integers(0, 64, 4000).astype("<u2") ** 2 % 50000).astype("<u2").tobytes() for _ in range(50)]
+    df = spark.createDataFrame([(x,) for x in ids], "ids binary").coalesce(1)
+    sizes = []
+    for codec in (None, "zstd"):
+        kept = shared.keep(df, "sizes", codec)
+        sizes.append(sum(f.stat().st_size for f in Path(kept._kept_at.removeprefix("file:").replace("//", "/", 1)).glob("*.parquet")))
+        assert sorted(bytes(r["ids"]) for r in kept.collect()) == sorted(ids)
+        shared.discard(kept)
+    assert sizes[1] < 0.8 * sizes[0]
